@@ -54,12 +54,12 @@ def rf_importance(df: DataFrame, features: Sequence[str], label: str = "y",
 
 def feature_selection(df: DataFrame, features: Sequence[str], label: str = "y",
                       k: int = DEFAULT_TOP_K, threshold: float = DEFAULT_VARIANCE_THRESHOLD,
-                      seed: int = DEFAULT_SEED, trees: int = DEFAULT_TREES):
+                      seed: int = DEFAULT_SEED, trees: int = DEFAULT_TREES, max_depth: int | None = None):
     """variance filter -> forest on the kept columns -> top ``k`` by importance.
 
     Returns ``(selected columns, forest model)``; apply with ``df.select(*cols)``.
     """
     kept = variance_filter(df, features, threshold)
-    imp, model = rf_importance(df, kept, label, trees=trees, seed=seed)
+    imp, model = rf_importance(df, kept, label, trees=trees, seed=seed, max_depth=max_depth)
     cols = [r["feature"] for r in top_k(imp, k).collect()]
     return cols, model
