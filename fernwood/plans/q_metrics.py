@@ -40,18 +40,22 @@ def confusion_matrix(spark, sf_dir):
     return M.confusion_matrix(multiclass_scores(spark, sf_dir), ["model"])
 
 
-@register("binary_metrics", sql=f"""WITH {BINARY_SCORES_SQL}, {_AUC_SQL},
-c AS (SELECT model, sum(CASE WHEN y_true = 1 AND y_pred = 1 THEN 1 ELSE 0 END) AS tp,
+_COUNTS_SQL = """c AS (SELECT model, sum(CASE WHEN y_true = 1 AND y_pred = 1 THEN 1 ELSE 0 END) AS tp,
              sum(CASE WHEN y_true <> 1 AND y_pred = 1 THEN 1 ELSE 0 END) AS fp,
              sum(CASE WHEN y_true = 1 AND y_pred <> 1 THEN 1 ELSE 0 END) AS fn,
              sum(CASE WHEN y_true <> 1 AND y_pred <> 1 THEN 1 ELSE 0 END) AS tn, count(*) AS n
-      FROM scores GROUP BY model)
-SELECT c.model, round((tp + tn) / n, 6) AS accuracy,
+      FROM scores GROUP BY model)"""
+BM_SELECT = """SELECT c.model, round((tp + tn) / n, 6) AS accuracy,
        round(CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END, 6) AS precision,
        round(CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END, 6) AS recall,
        round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END, 6) AS f1,
        round(auc, 6) AS auc
-FROM c JOIN auc ON c.model = auc.model""")
+FROM c JOIN auc ON c.model = auc.model"""
+# the binary metrics of the stand-in scores as a CTE named ``bm``
+BM_CTE = f"{BINARY_SCORES_SQL}, {_AUC_SQL}, {_COUNTS_SQL}, bm AS ({BM_SELECT})"
+
+
+@register("binary_metrics", sql=f"WITH {BINARY_SCORES_SQL}, {_AUC_SQL}, {_COUNTS_SQL} {BM_SELECT}")
 def binary_metrics(spark, sf_dir):
     """Accuracy, precision, recall, F1 and AUC per model."""
     m = M.binary_metrics(binary_scores(spark, sf_dir), ["model"])
@@ -198,7 +202,7 @@ def _nsl_dim(spark) -> DataFrame:
     return spark.createDataFrame([(i, n, c) for i, n, c in LABELS], "label_id int, name string, category string")
 
 
-@register("f1_by_category", sql=f"""WITH {MULTI_SCORES_SQL}, {_NSL_DIM_SQL},
+F1_CAT_SQL = f"""WITH {MULTI_SCORES_SQL}, {_NSL_DIM_SQL},
 s AS (SELECT model, t.category AS true_cat, coalesce(p.category, 'unknown') AS pred_cat
       FROM mscores JOIN nsl t ON mscores.y_true = t.label_id LEFT JOIN nsl p ON mscores.y_pred = p.label_id),
 cats AS (SELECT DISTINCT category FROM nsl),
@@ -209,7 +213,10 @@ c AS (SELECT g.model, g.category,
              count(*) FILTER (WHERE s.pred_cat = g.category) AS n_pred
       FROM g JOIN s ON g.model = s.model GROUP BY g.model, g.category)
 SELECT model, category, round(CASE WHEN n_true + n_pred = 0 THEN 0 ELSE 2 * tp / (n_true + n_pred) END, 6) AS f1
-FROM c""")
+FROM c"""
+
+
+@register("f1_by_category", sql=F1_CAT_SQL)
 def f1_by_category(spark, sf_dir):
     """F1 per attack category of fine-grained predictions (all dictionary categories)."""
     dim = _nsl_dim(spark).select("label_id", "category")

@@ -79,10 +79,10 @@ EVENT_LABELS_SQL = "event_labels(label_id, name, category) AS (VALUES " + ", ".j
 SCORE_RULES = [("len_1000", 1000.0), ("len_3000", 3000.0), ("len_300", 300.0)]
 
 
-def binary_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def binary_scores(spark: SparkSession, sf_dir: str, truth: str = "toxic") -> DataFrame:
     """``(model, row_id, y_true, y_pred, y_prob)``; ``y_prob = n/(n+s)``, ``y_pred = y_prob >= 0.5``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col(truth).alias("toxic"))
     base = docs.join(labels, "doc_id", "inner")
     rules = F.array(*[F.struct(F.lit(m).alias("model"), F.lit(s).alias("scale"))
                       for m, s in SCORE_RULES])
@@ -97,6 +97,10 @@ def binary_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def binary_scores_sql(truth: str = "toxic") -> str:
+    return BINARY_SCORES_SQL.replace("l.toxic AS y_true", f"l.{truth} AS y_true")
+
+
 BINARY_SCORES_SQL = """rules(model, scale) AS (VALUES """ + ", ".join(
     f"('{m}', CAST({s} AS DOUBLE))" for m, s in SCORE_RULES) + """),
 scores AS (
