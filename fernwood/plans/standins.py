@@ -43,7 +43,11 @@ def event_label_frames(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
 
 
 def connection_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    return shape_connection(table(spark, sf_dir, "events"))
+
+
+def shape_connection(ev: DataFrame) -> DataFrame:
+    """Rename/cast ``events`` columns into the connection-log shape (batch or stream)."""
     df = ev.select(
         F.col("event_id").alias("key"),
         F.when(F.col("event_id") % 5 == 0, "test").otherwise("train").alias("split"),

@@ -21,7 +21,8 @@ def scan_headerless_csv(spark: SparkSession, path: str, schema: StructType | Non
     reader = spark.read.schema(schema).option("header", "false") \
         .option("encoding", encoding).option("mode", mode)
     if timestamp_format:
-        reader = reader.option("timestampFormat", timestamp_format)
+        reader = reader.option("timestampFormat", timestamp_format) \
+            .option("timestampNTZFormat", timestamp_format)
     return reader.csv(path)
 
 
