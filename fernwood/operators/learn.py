@@ -133,8 +133,9 @@ def grid_search(estimator: Estimator, grid: list, train: DataFrame, evaluator: E
 
     Returns ``(best model, best params as dict, best mean score, all scores)``.
     """
+    n_folds = int(train.agg(F.max("fold")).first()[0]) + 1
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator,
-                        foldCol="fold", parallelism=parallelism, seed=SEED)
+                        foldCol="fold", numFolds=n_folds, parallelism=parallelism, seed=SEED)
     cvm = cv.fit(train)
     scores = list(cvm.avgMetrics)
     best = max(range(len(scores)), key=lambda i: (scores[i], -i))
