@@ -10,8 +10,11 @@ order is cut into range buckets first:
    equal keys always share a bucket;
 3. a window partitioned by ``(group, bucket)`` gives the running total inside
    the bucket (one shuffle, spread over all buckets);
-4. bucket totals (taken from the same shuffled output) give the offset of each
-   bucket through a prefix sum over the small totals table.
+4. bucket totals (one light aggregate with map-side combine, collected: groups
+   x buckets rows) give the offset of each bucket through a prefix sum.
+
+Bounds and totals are small and collected, so the only full shuffle is the
+window's.
 
 The sum of (3) and (4) is exactly the global running total.  Approximate
 bounds only affect balance, never the result.  Callers pre-aggregate by the
@@ -24,6 +27,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _G = "_fw_group"
 _B = "_fw_bucket"
@@ -67,43 +71,60 @@ def running_total(
     groups = list(group_cols) or [_G]
     data = df if group_cols else df.withColumn(_G, F.lit(0))
     data = data.withColumn(_K, F.col(first).cast("double") * (1.0 if first_asc else -1.0))
+    spark = df.sparkSession
 
+    # job 1 (light): bucket bounds, groups x (n_buckets - 1) numbers, kept as a local table
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = data.groupBy(*groups).agg(
-        F.percentile_approx(_K, probs, accuracy).alias("_fw_bounds"))
-    # bounded: one row of n_buckets-1 doubles per group
+    bounds = _local(data.groupBy(*groups).agg(
+        F.percentile_approx(_K, probs, accuracy).alias("_fw_bounds")))
     bucketed = (
         data.join(F.broadcast(bounds), groups, "inner")
         .withColumn(_B, F.size(F.filter("_fw_bounds", lambda b: b < F.col(_K))))
         .drop("_fw_bounds")
     )
 
+    # job 2 (light): per-bucket totals with map-side combine; offsets are their prefix sums
+    totals = bucketed.groupBy(*groups, _B).agg(*[F.sum(src).alias(out) for out, src in sums.items()])
+    rows = sorted(totals.collect(), key=lambda r: (tuple(str(r[g]) for g in groups), r[_B]))
+    zero = {out: _zero(totals.schema[out].dataType) for out in sums}
+    running: dict = {}
+    offs = []
+    for r in rows:
+        gk = tuple(r[g] for g in groups)
+        acc = running.get(gk, dict(zero))
+        offs.append((*gk, r[_B], *[acc[out] for out in sums]))
+        running[gk] = {out: acc[out] + (r[out] if r[out] is not None else zero[out]) for out in sums}
+    off_schema = T.StructType(
+        [data.schema[g] for g in groups] + [T.StructField(_B, T.IntegerType())]
+        + [T.StructField(f"_fw_off_{out}", totals.schema[out].dataType) for out in sums])
+    offsets = spark.createDataFrame(offs, off_schema)
+
+    # the one heavy step: a window per (group, bucket), offsets added from a bounded broadcast
     inner = Window.partitionBy(*groups, _B).orderBy(*_order_exprs(order)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*groups, _B)
-    windowed = bucketed
-    for out, src in sums.items():
-        windowed = windowed.withColumn(out, F.sum(F.col(src)).over(inner))
-        windowed = windowed.withColumn(f"_fw_tot_{out}", F.sum(F.col(src)).over(whole))
-
-    totals = windowed.groupBy(*groups, _B).agg(
-        *[F.first(f"_fw_tot_{out}").alias(f"_fw_tot_{out}") for out in sums])
-    before = Window.partitionBy(*groups).orderBy(_B).rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *groups, _B,
-        *[F.coalesce(F.sum(f"_fw_tot_{out}").over(before), F.lit(0)).alias(f"_fw_off_{out}")
-          for out in sums])
-    # bounded: groups x n_buckets rows
+    windowed = bucketed.withColumns({out: F.sum(F.col(src)).over(inner) for out, src in sums.items()})
     out_df = windowed.join(F.broadcast(offsets), [*groups, _B], "inner")
-    for out in sums:
-        out_df = out_df.withColumn(out, F.col(out) + F.col(f"_fw_off_{out}"))
-    drop = [_K, _B] + [f"_fw_tot_{o}" for o in sums] + [f"_fw_off_{o}" for o in sums]
+    out_df = out_df.withColumns({out: F.col(out) + F.col(f"_fw_off_{out}") for out in sums})
+    drop = [_K, _B] + [f"_fw_off_{o}" for o in sums]
     if not group_cols:
         drop.append(_G)
     return out_df.drop(*drop)
 
 
+def _zero(dtype):
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return 0.0
+    if isinstance(dtype, T.DecimalType):
+        import decimal
+        return decimal.Decimal(0)
+    return 0
+
+
+def _local(small: DataFrame) -> DataFrame:
+    """A small computed table as a local one, so later plans do not recompute it."""
+    return small.sparkSession.createDataFrame(small.collect(), small.schema)
+
+
 def global_rank(
     df: DataFrame,
     order: Sequence[tuple[str, bool]],
