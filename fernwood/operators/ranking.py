@@ -34,10 +34,14 @@ _B = "_fw_bucket"
 _K = "_fw_bkey"
 
 
+# Bucket assignment compares a row with every bound, so the count stays bounded
+MAX_BUCKETS = 512
+
+
 def default_buckets(df: DataFrame) -> int:
     """Buckets per group: a few per shuffle partition, so every task gets work."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    return max(8, 4 * parts)
+    return min(MAX_BUCKETS, max(8, 4 * parts))
 
 
 def _order_exprs(order: Sequence[tuple[str, bool]]):
