@@ -124,8 +124,8 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     """
     spark = docs.sparkSession
     pieces = spark.sparkContext.broadcast(load_pieces(model_path))  # the vocabulary: fixed size
-    schema = docs.select(id_col).schema.add("n_words", "bigint").add("n_distinct_words", "bigint").add(
-        "n_tokens", "bigint")
+    schema = docs.select(id_col).schema.add("n_words", "long").add("n_distinct_words", "long").add(
+        "n_tokens", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = PrefixTrie(pieces.value, max_nodes)
