@@ -20,20 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fernwood.operators.quantiles import numeric_columns
-from fernwood.operators.ranking import running_total, string_order_key
+from fernwood.operators.ranking import global_rank
+from fernwood.session import write_scratch
 
-# Row count under which a vocabulary or dimension table may be broadcast
-BROADCAST_ROWS = 1_000_000
-# Distinct values per column that one task may sort when fitting a vocabulary
-SINGLE_TASK_VALUES = 2_000_000
 # Levels one-hot encoding will create per column before refusing
 MAX_ONE_HOT_LEVELS = 1000
 
 
-def _maybe_broadcast(small: DataFrame, n_rows: int) -> DataFrame:
-    return F.broadcast(small) if n_rows <= BROADCAST_ROWS else small
-
-
 @dataclass
 class Vocabulary:
     """``(feature, value, id)`` with ids 0..n-1 per feature; ``sizes`` is ``{feature: n}``."""
@@ -52,11 +45,9 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     ])).alias("s")).select("s.*").where(F.col("value").isNotNull())
 
 
-def _rank_values(distinct: DataFrame, sizes: dict[str, int], offset: dict[str, int] | None = None) -> DataFrame:
+def _rank_values(distinct: DataFrame, offset: dict[str, int] | None = None) -> DataFrame:
     """``id = offset + rank - 1`` of each value in byte order, per feature."""
-    buckets = 1 if (max(sizes.values(), default=0) <= SINGLE_TASK_VALUES) else None
-    keyed = distinct.withColumn("_ok", string_order_key("value")).withColumn("_one", F.lit(1).cast("long"))
-    ranked = running_total(keyed, [("_ok", True), ("value", True)], {"_r": "_one"}, ["feature"], buckets)
+    ranked = global_rank(distinct, [("value", True)], ["feature"], "_r")
     off = F.lit(0)
     if offset:
         off = F.coalesce(F.element_at(F.create_map(*[x for k, v in offset.items()
@@ -72,35 +63,23 @@ def fit_vocabulary(df: DataFrame, cols: Sequence[str]) -> Vocabulary:
              distinct.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
     for c in cols:
         sizes.setdefault(c, 0)
-    return Vocabulary(_materialize(_rank_values(distinct, sizes), sum(sizes.values())), sizes)
-
-
-def _materialize(table: DataFrame, n_rows: int) -> DataFrame:
-    """Fitted tables are reused by every transform: keep them from being recomputed.
-
-    Small ones become a local table (a fitted statistic); large ones are cut
-    from their lineage with a reliable checkpoint in the shared folder.
-    """
-    if n_rows <= BROADCAST_ROWS:
-        return table.sparkSession.createDataFrame(table.collect(), table.schema)
-    return table.checkpoint(eager=True)
+    return Vocabulary(write_scratch(_rank_values(distinct), "vocabulary"), sizes)
 
 
 def extend_vocabulary(vocab: Vocabulary, df: DataFrame, cols: Sequence[str]) -> Vocabulary:
     """A new vocabulary with values unseen at fit time appended (sorted among themselves)."""
     seen = _long_values(df, cols).distinct()
     known = vocab.table.select("feature", "value")
-    new = seen.join(_maybe_broadcast(known, vocab.rows), ["feature", "value"], "left_anti")
+    new = seen.join(known, ["feature", "value"], "left_anti")
     new_sizes = {r["feature"]: r["n"] for r in
                  new.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not new_sizes:
         return vocab
-    appended = _rank_values(new, new_sizes, offset={c: vocab.sizes.get(c, 0) for c in new_sizes})
+    appended = _rank_values(new, offset={c: vocab.sizes.get(c, 0) for c in new_sizes})
     sizes = dict(vocab.sizes)
     for c, n in new_sizes.items():
         sizes[c] = sizes.get(c, 0) + n
-    appended = _materialize(appended, sum(new_sizes.values()))
-    return Vocabulary(vocab.table.unionByName(appended), sizes)
+    return Vocabulary(vocab.table.unionByName(write_scratch(appended, "vocabulary")), sizes)
 
 
 def ordinal_transform(df: DataFrame, vocab: Vocabulary, cols: Sequence[str],
@@ -116,7 +95,6 @@ def ordinal_transform(df: DataFrame, vocab: Vocabulary, cols: Sequence[str],
     for c in cols:
         v = vocab.table.where(F.col("feature") == c).select(
             F.col("value").alias(f"_v_{c}"), F.col("id").alias(f"_id_{c}"))
-        v = _maybe_broadcast(v, vocab.sizes.get(c, 0))
         out = out.join(v, out[c].cast("string") == F.col(f"_v_{c}"), "left") \
             .withColumn(c, F.col(f"_id_{c}")).drop(f"_v_{c}", f"_id_{c}")
     return out, vocab

@@ -10,9 +10,8 @@ task, which does not survive a high-cardinality column at scale.  Here:
 
 * columns are stacked to ``(column, value)`` and pre-aggregated to distinct
   values with counts (map-side combine, so a hot value is one row);
-* cumulative counts per column come from :func:`running_total`: a plain
-  window per column while the distinct values of every column stay under a
-  checked limit, range buckets (no single-task window) beyond it;
+* cumulative counts per column come from :func:`running_total` (range buckets, no
+  single-task window);
 * the few rows that hold the target ranks are found with an equi-join on the
   column name against a tiny broadcast table of targets.
 
@@ -32,9 +31,6 @@ from pyspark.sql.types import NumericType, BooleanType
 
 from fernwood.operators.ranking import running_total
 
-# Distinct values one task may order for a single column before range buckets are used
-SINGLE_TASK_LIMIT = 2_000_000
-
 
 def numeric_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list[str]:
     """Columns of ``cols`` (default: all) that exist and are numeric; booleans excluded."""
@@ -58,8 +54,7 @@ def value_counts(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] =
 
 
 def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   method: str = "exact", group_cols: Sequence[str] = (),
-                   single_task_limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
+                   method: str = "exact", group_cols: Sequence[str] = ()) -> DataFrame:
     """Small table ``(group..., feature, prob, quantile)`` of linear quantiles.
 
     The answer has groups x columns x probs rows and is returned as a local
@@ -84,14 +79,9 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     keys = [*group_cols, "feature"]
     vc = value_counts(df, cols, group_cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stats = vc.groupBy(*keys).agg(F.count(F.lit(1)).alias("nd"),
-                                      F.sum("cnt").alias("n")).collect()
+        stats = vc.groupBy(*keys).agg(F.sum("cnt").alias("n")).collect()
         if not stats:
             return _empty(spark, df, group_cols)
-        # size check: one task per column only while its distinct values are bounded
-        max_nd = max(r["nd"] for r in stats)
-        buckets = 1 if max_nd <= single_task_limit else None
-
         # target ranks per (column, prob): h = (n-1)q, floor and ceil (0-based)
         trows = []
         for r in stats:
@@ -103,7 +93,7 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                             + ["feature string", "prob double", "h double", "lo long", "hi long"])
         targets = spark.createDataFrame(trows, tschema)
         ranks = targets.select(*keys, "prob", F.explode(F.array("lo", "hi")).alias("r"))
-        cum = running_total(vc, [("value", True)], {"cum": "cnt"}, keys, n_buckets=buckets)
+        cum = running_total(vc, [("value", True)], {"cum": "cnt"}, keys)
         # bounded: columns x probs x 2 rows per group
         hits = (
             cum.join(F.broadcast(ranks), keys, "inner")

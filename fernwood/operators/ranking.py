@@ -2,50 +2,39 @@
 
 ``Window.orderBy(...)`` with no ``partitionBy`` moves every row to a single
 task; a ``partitionBy(class)`` window does the same for a hot class.  Here the
-order is cut into range buckets first:
-
-1. bucket bounds per group come from one ``percentile_approx`` pass (a small
-   table: groups x buckets numbers, broadcast);
-2. each row gets ``bucket = #bounds < key``, which is monotone in the key, so
-   equal keys always share a bucket;
-3. a window partitioned by ``(group, bucket)`` gives the running total inside
-   the bucket (one shuffle, spread over all buckets);
-4. bucket totals (one light aggregate with map-side combine, collected: groups
-   x buckets rows) give the offset of each bucket through a prefix sum.
-
-Bounds and totals are small and collected, so the only full shuffle is the
-window's.
-
-The sum of (3) and (4) is exactly the global running total.  Approximate
-bounds only affect balance, never the result.  Callers pre-aggregate by the
-order key first (distinct scores, distinct values), so a hot value is one row.
+rows are dealt out by range over the whole order tuple (groups, then the order
+columns, tie-breaker included):
+
+1. ``repartitionByRange`` on ``(groups, order)`` cuts the global order into buckets.
+   The bounds are whole tuples, so a hot group, a long common string prefix or a
+   skewed number is cut like anything else; the bucket number is written with the row;
+2. a window partitioned by ``(groups, bucket)`` gives the running total inside the
+   bucket;
+3. one row per ``(groups, bucket)`` holds the bucket's totals; their prefix sum per
+   group is what the group's earlier buckets add.
+
+The sum of (2) and (3) is exactly the running total, for any number of buckets and any
+size.  Order and groups follow Spark's own rules for null and NaN, and null groups are
+groups like any other.  Rows that agree on the whole order tuple share a bucket, so an
+order should end with a unique column, or the caller pre-aggregates by the order columns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_G = "_fw_group"
-_B = "_fw_bucket"
-_K = "_fw_bkey"
 
+from fernwood.session import write_scratch
 
-# Bucket assignment compares a row with every bound, so the count stays bounded
-MAX_BUCKETS = 512
+_B = "_fw_bucket"
 
 
 def default_buckets(df: DataFrame) -> int:
-    """Buckets per group: a few per shuffle partition, so every task gets work."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    return min(MAX_BUCKETS, max(8, 4 * parts))
-
-
-def _order_exprs(order: Sequence[tuple[str, bool]]):
-    return [F.col(c).asc() if asc else F.col(c).desc() for c, asc in order]
+    """As many buckets as the session has shuffle partitions."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
 
 
 def running_total(
@@ -54,79 +43,36 @@ def running_total(
     sums: dict[str, str],
     group_cols: Sequence[str] = (),
     n_buckets: int | None = None,
-    accuracy: int = 10000,
 ) -> DataFrame:
     """Append inclusive running sums along ``order`` within ``group_cols``.
 
-    ``order`` is a list of ``(column, ascending)``; the first column must be
-    numeric and drives the range buckets.  ``sums`` maps output column name to
-    the column being summed.  The order should be total (add a unique
-    tie-breaker) when the caller needs row ranks.
+    ``order`` is a list of ``(column, ascending)`` of any orderable types; ``sums`` maps
+    output column name to the column being summed.  The order should be total (add a
+    unique tie-breaker) when the caller needs row ranks.
     """
     n_buckets = n_buckets or default_buckets(df)
-    if n_buckets == 1:
-        # caller checked that every group is small enough for one task
-        if not group_cols:
-            raise ValueError("a single bucket without groups would be a one-task window")
-        w = Window.partitionBy(*group_cols).orderBy(*_order_exprs(order)).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        return df.withColumns({out: F.sum(F.col(src)).over(w) for out, src in sums.items()})
-    first, first_asc = order[0]
-    groups = list(group_cols) or [_G]
-    data = df if group_cols else df.withColumn(_G, F.lit(0))
-    data = data.withColumn(_K, F.col(first).cast("double") * (1.0 if first_asc else -1.0))
-    spark = df.sparkSession
-
-    # job 1 (light): bucket bounds, groups x (n_buckets - 1) numbers, kept as a local table
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = _local(data.groupBy(*groups).agg(
-        F.percentile_approx(_K, probs, accuracy).alias("_fw_bounds")))
-    bucketed = (
-        data.join(F.broadcast(bounds), groups, "inner")
-        .withColumn(_B, F.size(F.filter("_fw_bounds", lambda b: b < F.col(_K))))
-        .drop("_fw_bounds")
-    )
-
-    # job 2 (light): per-bucket totals with map-side combine; offsets are their prefix sums
-    totals = bucketed.groupBy(*groups, _B).agg(*[F.sum(src).alias(out) for out, src in sums.items()])
-    rows = sorted(totals.collect(), key=lambda r: (tuple(str(r[g]) for g in groups), r[_B]))
-    zero = {out: _zero(totals.schema[out].dataType) for out in sums}
-    running: dict = {}
-    offs = []
-    for r in rows:
-        gk = tuple(r[g] for g in groups)
-        acc = running.get(gk, dict(zero))
-        offs.append((*gk, r[_B], *[acc[out] for out in sums]))
-        running[gk] = {out: acc[out] + (r[out] if r[out] is not None else zero[out]) for out in sums}
-    off_schema = T.StructType(
-        [data.schema[g] for g in groups] + [T.StructField(_B, T.IntegerType())]
-        + [T.StructField(f"_fw_off_{out}", totals.schema[out].dataType) for out in sums])
-    offsets = spark.createDataFrame(offs, off_schema)
-
-    # the one heavy step: a window per (group, bucket), offsets added from a bounded broadcast
-    inner = Window.partitionBy(*groups, _B).orderBy(*_order_exprs(order)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    windowed = bucketed.withColumns({out: F.sum(F.col(src)).over(inner) for out, src in sums.items()})
-    out_df = windowed.join(F.broadcast(offsets), [*groups, _B], "inner")
-    out_df = out_df.withColumns({out: F.col(out) + F.col(f"_fw_off_{out}") for out in sums})
-    drop = [_K, _B] + [f"_fw_off_{o}" for o in sums]
-    if not group_cols:
-        drop.append(_G)
-    return out_df.drop(*drop)
-
+    by = [F.col(c).asc() if asc else F.col(c).desc() for c, asc in order]
+    groups = list(group_cols)
+    data = write_scratch(
+        df.repartitionByRange(n_buckets, *[F.col(g).asc() for g in groups], *by)
+        .withColumn(_B, F.spark_partition_id()), "ranked")
 
-def _zero(dtype):
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return 0.0
-    if isinstance(dtype, T.DecimalType):
-        import decimal
-        return decimal.Decimal(0)
-    return 0
-
-
-def _local(small: DataFrame) -> DataFrame:
-    """A small computed table as a local one, so later plans do not recompute it."""
-    return small.sparkSession.createDataFrame(small.collect(), small.schema)
+    inner = Window.partitionBy(*groups, _B).orderBy(*by).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    rows = data.withColumns({out: F.sum(src).over(inner) for out, src in sums.items()})
+
+    # at most one row per group and bucket it touches: groups + buckets rows in all
+    totals = data.groupBy(*groups, _B).agg(*[F.sum(src).alias(f"_fw_{out}") for out, src in sums.items()])
+    before = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(_B).rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *[F.col(g).alias(f"_fw_g{i}") for i, g in enumerate(groups)], F.col(_B).alias("_fw_b"),
+        *[F.coalesce(F.sum(f"_fw_{out}").over(before), F.lit(0)).alias(f"_fw_{out}") for out in sums])
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_fw_g{i}")) for i, g in enumerate(groups)],
+                  F.col(_B) == F.col("_fw_b"))
+    joined = rows.join(offsets, same, "inner")
+    return joined.withColumns({out: F.coalesce(out, F.lit(0)) + F.col(f"_fw_{out}") for out in sums}).select(
+        *df.columns, *sums)
 
 
 def global_rank(
@@ -140,14 +86,3 @@ def global_rank(
     ones = df.withColumn("_fw_one", F.lit(1).cast("long"))
     ranked = running_total(ones, order, {out: "_fw_one"}, group_cols, n_buckets)
     return ranked.drop("_fw_one")
-
-
-def string_order_key(col: str) -> F.Column:
-    """A double that never decreases as the string grows in byte order.
-
-    The first 6 bytes, right-padded, read as a big-endian integer.  Equal
-    prefixes share a bucket; the window still orders by the full string.
-    """
-    # hex() of a string is the hex of its UTF-8 bytes; rpad pads or truncates to 6 bytes
-    hexed = F.rpad(F.hex(F.substring(F.col(col), 1, 6)), 12, "0")
-    return F.conv(hexed, 16, 10).cast("double")

@@ -26,8 +26,6 @@ from fernwood.operators.ranking import global_rank
 
 # Rows of a fitted or bounded table that may be broadcast
 BROADCAST_ROWS = 1_000_000
-# Class size one task may rank with a plain window
-SINGLE_TASK_ROWS = 2_000_000
 # Synthetic rows produced by one task
 CHUNK_ROWS = 100_000
 
@@ -37,11 +35,6 @@ def class_counts(df: DataFrame, label: str) -> dict[int, int]:
     return {r[0]: r[1] for r in df.groupBy(label).count().collect()}
 
 
-def _rank_in_class(df: DataFrame, label: str, order: list[tuple[str, bool]], sizes: dict, out: str):
-    buckets = 1 if max(sizes.values(), default=0) <= SINGLE_TASK_ROWS else None
-    return global_rank(df, order, [label], out, n_buckets=buckets)
-
-
 def _quotas(counts: dict, total_draw: int) -> dict:
     """Largest-remainder allocation of ``total_draw`` rows over classes (ties by class)."""
     n = sum(counts.values())
@@ -64,7 +57,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     counts = class_counts(df, label)
     quotas = _quotas(counts, math.ceil(test_size * sum(counts.values())))
     h = df.withColumn("_h", hash32(F.col(key), seed))
-    ranked = _rank_in_class(h, label, [("_h", True), (key, True)], counts, "_rk")
+    ranked = global_rank(h, [("_h", True), (key, True)], [label], "_rk")
     q = F.create_map(*[x for c, v in quotas.items() for x in (F.lit(c), F.lit(v))])
     return ranked.withColumn(out, F.when(F.col("_rk") <= F.element_at(q, F.col(label)), "holdout")
                              .otherwise("train")).drop("_h", "_rk")
@@ -73,9 +66,8 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42,
                      out: str = "fold") -> DataFrame:
     """``fold = (rank - 1) mod k`` with the rank inside the class in hash order."""
-    counts = class_counts(df, label)
     h = df.withColumn("_h", hash32(F.col(key), seed))
-    ranked = _rank_in_class(h, label, [("_h", True), (key, True)], counts, "_rk")
+    ranked = global_rank(h, [("_h", True), (key, True)], [label], "_rk")
     return ranked.withColumn(out, F.pmod(F.col("_rk") - 1, F.lit(k)).cast("int")).drop("_h", "_rk")
 
 
@@ -164,7 +156,7 @@ def knn_within_class(df: DataFrame, key: str, label: str, features: str, k: int,
         pts = pts.where(F.col("cls").isin(list(classes)))
     pts = pts.withColumn("p", _projection("x"))
     sizes = class_counts(pts, "cls")
-    ranked = _rank_in_class(pts, "cls", [("p", True), ("key", True)], sizes, "r")
+    ranked = global_rank(pts, [("p", True), ("key", True)], ["cls"], "r")
 
     # 1) upper radius from the k rank-neighbours on each side
     offs = F.array(*[F.lit(o) for o in range(-k, k + 1) if o != 0])
@@ -227,7 +219,7 @@ def smote(df: DataFrame, key: str, label: str, features: str, targets: Sequence[
         F.col(label).alias("cls"), F.col(key).alias("key"),
         F.transform(features, lambda v: v.cast("double")).alias("x"))
     pool_rows = sum(h for h, _ in plan.values())
-    base_ranked = _rank_in_class(pool, "cls", [("key", True)], {c: h for c, (h, _) in plan.items()}, "br")
+    base_ranked = global_rank(pool, [("key", True)], ["cls"], "br")
     knn = knn_within_class(df.where(F.col(label).isin(list(plan))), key, label, features, k)
 
     n_tasks = max(1, min(len(chunks), int(spark.conf.get("spark.sql.shuffle.partitions", "8"))))

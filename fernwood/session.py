@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -39,9 +39,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a local one only if unset."""
+    """Return the session's checkpoint folder, setting a local one only if unset.
+
+    A folder of this machine is no use to executors elsewhere, so on anything but a
+    ``local[...]`` master an unset ``spark.checkpoint.dir`` is an error.
+    """
     current = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if not master.startswith("local[") and master != "local":
+            raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that all executors share (master is {master})")
         current = tempfile.mkdtemp(prefix="fernwood-ckpt-", dir="/tmp")
         spark.conf.set(_CHECKPOINT_KEY, current)
     if not spark.sparkContext.getCheckpointDir():
@@ -53,3 +60,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def write_scratch(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written Parquet table in the shared folder: computed once, lineage cut.
+
+    The folder is deleted when the driver's JVM ends.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

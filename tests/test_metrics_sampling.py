@@ -108,16 +108,26 @@ def test_balanced_weights(spark):
     assert wf[2] == pytest.approx(8 / 3)
 
 
-def test_bucketed_running_total_equals_window(spark):
-    rows = [(i, float((i * 37) % 101), i % 3) for i in range(3000)] + [(10000 + i, 5.0, 0) for i in range(1500)]
-    df = spark.createDataFrame(rows, "key long, v double, g int")
-    got = running_total(df, [("v", True), ("key", True)], {"cum": "v"}, ["g"], n_buckets=16)
-    w = Window.partitionBy("g").orderBy("v", "key").rowsBetween(Window.unboundedPreceding, 0)
-    want = df.withColumn("want", F.sum("v").over(w))
-    diff = got.join(want, ["key"]).where(F.abs(F.col("cum") - F.col("want")) > 1e-6).count()
-    assert diff == 0
-    r = global_rank(df, [("v", False), ("key", True)], out="rk", n_buckets=12)
-    assert sorted(x["rk"] for x in r.collect()) == list(range(1, len(rows) + 1))
+@pytest.mark.parametrize("buckets", [1, 4, 1000])
+def test_running_total_equals_a_plain_window(spark, buckets):
+    nan = float("nan")
+    rows = ([(i, float((i * 37) % 101), f"https://example.org/a/long/common/prefix/{i % 7}", i % 3 or None)
+             for i in range(600)]
+            + [(1000 + i, 5.0, "same", 0) for i in range(300)]
+            + [(2000 + i, nan if i % 2 else None, None, 1) for i in range(60)])
+    df = spark.createDataFrame(rows, "key long, v double, s string, g int")
+    df = df.withColumn("one", F.lit(1).cast("long"))
+    orders = [("v", True), ("v", False), ("s", True), ("s", False)]
+    for column, up in orders if buckets < 100 else orders[1:3]:
+        got = running_total(df, [(column, up), ("key", True)], {"cum": "one"}, ["g"], n_buckets=buckets)
+        by = F.col(column).asc() if up else F.col(column).desc()
+        w = Window.partitionBy("g").orderBy(by, "key").rowsBetween(Window.unboundedPreceding, 0)
+        want = df.withColumn("want", F.sum("one").over(w)).select("key", "want")
+        joined = got.join(want, "key")
+        assert joined.count() == len(rows)
+        assert joined.where(F.col("cum") != F.col("want")).count() == 0
+    ranks = global_rank(df, [("v", False), ("key", True)], out="rk", n_buckets=buckets)
+    assert sorted(x["rk"] for x in ranks.collect()) == list(range(1, len(rows) + 1))
 
 
 def test_partition_invariance(spark):
