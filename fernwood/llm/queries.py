@@ -58,3 +58,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return exact_duplicates(table(spark, sf_dir, "documents"), digest_all=True).withColumn(
         "group_size", F.col("group_size").cast("long"))
+
+
+@_query()
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in documents: verified, substitution-tolerant overlaps."""
+    from fernwood.llm.decontaminate import contaminated_passages
+
+    return contaminated_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
