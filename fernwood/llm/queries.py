@@ -66,3 +66,11 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fernwood.llm.decontaminate import contaminated_passages
 
     return contaminated_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query()
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, with its source's words and target."""
+    from fernwood.llm.mixing import mixed_amounts
+
+    return mixed_amounts(table(spark, sf_dir, "documents"))
