@@ -74,3 +74,27 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fernwood.llm.mixing import mixed_amounts
 
     return mixed_amounts(table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as packed rows of token ids."""
+    from fernwood.llm.packing import packed_rows
+
+    return packed_rows(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+
+
+@_query()
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: counts and digest of the base spans, and all spans."""
+    from fernwood.llm.secrets import secret_spans, span_digest
+
+    return span_digest(secret_spans(table(spark, sf_dir, "documents")), ("assign", "access", "hex"))
+
+
+@_query()
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the rows that are not held out."""
+    from fernwood.llm.byte_cnn import quality_scores
+
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
