@@ -68,6 +68,31 @@ def salted_lookup(rows: DataFrame, table: DataFrame, key: str, spread: Column,
     return salted.join(wanted, [key, "_salt"], how).drop("_salt")
 
 
+#: bits per bit map of Spark's bitmap functions, and the most bit maps that are broadcast (64 MB)
+_BITS = 32768
+MAX_BITMAPS = 16384
+
+
+def maybe_among(rows: DataFrame, keys: DataFrame, key: Sequence[str], flag: str) -> DataFrame:
+    """``rows`` with a boolean ``flag``: false only for rows whose ``key`` is surely not in ``keys``.
+
+    A Bloom-like test without a shuffle of ``rows``: the hashes of ``keys`` are set in bit
+    maps of at most 64 MB in all, which are broadcast.  A wrong true is possible, so an exact
+    step has to follow; a null key is tested like any value.
+    """
+    n_keys, n_maps = keys.count(), 1
+    while n_maps < MAX_BITMAPS and n_maps * _BITS < 16 * n_keys:
+        n_maps *= 2
+    slot = F.pmod(F.xxhash64(*key), F.lit(n_maps * _BITS))
+    number, bit = F.floor(slot / _BITS).cast("int"), F.pmod(slot, F.lit(_BITS)).cast("int")
+    maps = keys.groupBy(number.alias("_map")).agg(F.bitmap_construct_agg(bit.cast("long")).alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_bit") / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    found = rows.withColumns({"_map": number, "_bit": bit}).join(F.broadcast(maps), "_map", "left").withColumn(
+        "_byte", byte)
+    hit = F.coalesce(F.expr("mod(shiftright(_byte, mod(_bit, 8)), 2)") == 1, F.lit(False))
+    return found.withColumn(flag, hit).drop("_map", "_bit", "_bits", "_byte")
+
+
 # ---------------------------------------------------------------- word hashing in tasks
 
 _M1 = np.uint64(0xBF58476D1CE4E5B9)

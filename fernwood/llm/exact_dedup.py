@@ -23,12 +23,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fernwood.llm.common import SALTS, lower_ascii, salt_of, salted_groups, written
+from fernwood.llm.common import SALTS, lower_ascii, maybe_among, salt_of, salted_groups, written
 
 PREFIX_CHARS = 64
-#: bits per entry of Spark's bitmap functions, and the most of them that are broadcast (64 MB)
-_BITS = 32768
-MAX_BITMAPS = 16384
 
 
 def _shape(text: Column) -> tuple[Column, Column]:
@@ -44,12 +41,6 @@ def _repeated(rows: DataFrame, keys: list[str], spread: str) -> DataFrame:
             .join(groups.filter("_n > 1").drop("_n"), [*keys, "_salt"], "left_semi").drop("_salt"))
 
 
-def _slot(n_maps: int) -> tuple[Column, Column]:
-    """Bit map number and bit of a row's (length, prefix hash)."""
-    h = F.pmod(F.xxhash64("_len", "_prefix"), F.lit(n_maps * _BITS))
-    return F.floor(h / _BITS).cast("int"), F.pmod(h, F.lit(_BITS)).cast("int")
-
-
 def candidate_rows(docs: DataFrame, text: Column, id_col: str) -> DataFrame:
     """Steps 1 and 2: (id, length, prefix hash) of the rows that may have an equal."""
     length, prefix = _shape(text)
@@ -74,21 +65,11 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     candidates = candidate_rows(docs, text, id_col)
 
     pairs = candidates.select("_len", "_prefix").distinct()
-    n_pairs = pairs.count()
-    n_maps = 1
-    while n_maps < MAX_BITMAPS and n_maps * _BITS < 16 * n_pairs:
-        n_maps *= 2
-    number, bit = _slot(n_maps)
-    maps = pairs.groupBy(number.alias("_map")).agg(F.bitmap_construct_agg(bit.cast("long")).alias("_bits"))
-
     length, prefix = _shape(text)
     rows = docs.select(F.col(id_col).alias("_id"), length.alias("_len"), prefix.alias("_prefix"), text.alias("_text"))
-    rows = rows.withColumns({"_map": number, "_bit": bit}).join(F.broadcast(maps), "_map", "left")
-    byte = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_bit") / 8).cast("int") + 1, 1)), 16, 10).cast("int")
-    hit = F.coalesce(F.expr("mod(shiftright(_byte, mod(_bit, 8)), 2)") == 1, F.lit(False))
+    rows, hit = maybe_among(rows, pairs, ["_len", "_prefix"], "_hit"), F.col("_hit")
     digest = F.sha2(lower_ascii(F.col("_text")), 256)
-    rows = rows.withColumn("_byte", byte).select(
-        "_id", hit.alias("_hit"), (digest if digest_all else F.when(hit, digest)).alias("text_sha256"))
+    rows = rows.select("_id", hit, (digest if digest_all else F.when(hit, digest)).alias("text_sha256"))
     rows = written(rows, "digests")
 
     groups = salted_groups(rows.filter("_hit"), ["text_sha256"], F.col("_id"),

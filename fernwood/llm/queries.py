@@ -98,3 +98,24 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fernwood.llm.byte_cnn import quality_scores
 
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: the rules that the task fixes
+URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
+             ("allow", "org", "/fr/"))
+
+
+@_query()
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's url: by rule, else by segmented words and naive Bayes."""
+    from fernwood.llm.url_filter import url_verdicts
+
+    return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@_query()
+def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose 2-word shingle sets are linked at a Jaccard of 0.8 or more."""
+    from fernwood.llm.near_dup import near_duplicate_groups
+
+    return near_duplicate_groups(table(spark, sf_dir, "documents"), size=2)
