@@ -119,3 +119,11 @@ def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fernwood.llm.near_dup import near_duplicate_groups
 
     return near_duplicate_groups(table(spark, sf_dir, "documents"), size=2)
+
+
+@_query()
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the base spans, and all spans."""
+    from fernwood.llm.pii import personal_data, span_digest
+
+    return span_digest(personal_data(table(spark, sf_dir, "documents")))
