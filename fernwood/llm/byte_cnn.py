@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fernwood.llm.common import slices, text_bytes
+from fernwood.llm.common import fresh, slices, text_bytes
 
 UNIT = 32
 STEP = 8
@@ -194,6 +195,32 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def scored_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
+                 max_rows: int, out: str) -> DataFrame:
+    """All columns of ``docs`` and ``out``, the score of a network fitted on rows that are not held out."""
+    spark = docs.sparkSession
+    texts, marks = training_sample(docs, labels, label_col, lambda i: i.isNotNull() & ~held_out(i), max_rows,
+                                   id_col, text_col)
+    net = spark.sparkContext.broadcast(fit(texts, marks) if 0 < sum(marks) < len(marks) else None)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            score = np.full(b.num_rows, 0.5) if net.value is None else predict(net.value, b.column(at))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score, pa.float64())],
+                                             names=[*b.schema.names, out])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             label_col: str = "quality", max_rows: int = 1000, threshold: float = 0.3) -> DataFrame:
+    """The rows whose score reaches ``threshold``, columns unchanged."""
+    score = fresh("_score", docs.columns)
+    return scored_rows(docs, labels, id_col, text_col, label_col, max_rows, score).filter(
+        F.col(score) >= threshold).drop(score)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    label_col: str = "quality", max_rows: int = 1000, threshold: float = 0.3) -> DataFrame:
     """``id_col, held_out, score, predicted`` for every row of ``docs``.
@@ -203,17 +230,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     equal scores; without any usable label the score is 0.5; an empty table gives an empty
     result.  A null id is never held out.
     """
-    spark = docs.sparkSession
-    texts, marks = training_sample(docs, labels, label_col, lambda i: i.isNotNull() & ~held_out(i), max_rows,
-                                   id_col, text_col)
-    net = spark.sparkContext.broadcast(fit(texts, marks) if 0 < sum(marks) < len(marks) else None)
-    schema = docs.select(id_col).schema.add("score", "double")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            score = np.full(b.num_rows, 0.5) if net.value is None else predict(net.value, b.column(1))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score, pa.float64())], names=[id_col, "score"])
-
-    scored = docs.select(id_col, text_col).mapInArrow(run, schema)
-    return scored.select(id_col, held_out(F.col(id_col)).alias("held_out"), "score",
-                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+    scored = scored_rows(docs.select(id_col, text_col), labels, id_col, text_col, label_col, max_rows, "_score")
+    return scored.select(id_col, held_out(F.col(id_col)).alias("held_out"), F.col("_score").alias("score"),
+                         (F.col("_score") >= threshold).cast("int").alias("predicted"))

@@ -26,6 +26,14 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def fresh(name: str, taken: Sequence[str]) -> str:
+    """``name``, with underscores behind it until no column in ``taken`` has it."""
+    names = {c.lower() for c in taken}
+    while name.lower() in names:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a written table in the shared checkpoint folder (cuts the lineage)."""
     spark = df.sparkSession
@@ -151,25 +159,38 @@ FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = SPACE,
-                block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of every A-Z-folded word, in order, and each row's word offsets.
+NO_FOLD = np.arange(256, dtype=np.uint8)
 
-    Words are maximal runs of bytes not in ``breaks``.  The hash is a polynomial over the
-    bytes, so it needs no per-word Python; it is made in blocks that end between words.
-    """
-    n = len(data)
-    if n == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = SPACE):
+    """Start and end byte of every word (run of bytes not in ``breaks``), each row's word offsets,
+    and which bytes are inside a word."""
     inside = ~breaks[data]
-    start = inside.copy()
+    start, last = inside.copy(), inside.copy()
     start[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
     first = offsets[:-1][offsets[:-1] < offsets[1:]]
     start[first] = inside[first]
+    last[first[first > 0] - 1] = inside[first[first > 0] - 1]
     starts = np.flatnonzero(start)
-    word_offsets = np.searchsorted(starts, offsets)
-    if len(starts) == 0:
-        return np.zeros(0, np.uint64), word_offsets
+    return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets), inside
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = SPACE,
+                block: int = 1 << 20, fold: np.ndarray = FOLD) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word in order, A-Z folded by default, and each row's word offsets.
+
+    The hash is a polynomial over the bytes, so it needs no per-word Python; it is made in
+    blocks that end between words.
+    """
+    if len(data) == 0:
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+    starts, _, word_offsets, inside = word_spans(data, offsets, breaks)
+    return _hashes(data, starts, inside, block, fold), word_offsets
+
+
+def _hashes(data, starts, inside, block, fold) -> np.ndarray:
+    n = len(data)
     out = np.empty(len(starts), dtype=np.uint64)
     lo = 0
     while lo < len(starts):
@@ -177,11 +198,22 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = SPAC
         hi = max(hi - 1, lo + 1) if hi < len(starts) else hi
         a, b = int(starts[lo]), int(starts[hi]) if hi < len(starts) else n
         up, down = _powers(b - a)
-        part = (FOLD[data[a:b]].astype(np.uint64) + np.uint64(1)) * inside[a:b] * up[:b - a]
+        part = (fold[data[a:b]].astype(np.uint64) + np.uint64(1)) * inside[a:b] * up[:b - a]
         at = starts[lo:hi] - a
         out[lo:hi] = np.add.reduceat(part, at) * down[at]
         lo = hi
-    return mix64(out), word_offsets
+    return mix64(out)
+
+
+def distinct_words(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = SPACE, block: int = 1 << 20):
+    """The distinct words of all rows: start and end byte of one occurrence each, the number of
+    the distinct word that every word is, and each row's word offsets.  Case counts."""
+    if len(data) == 0:
+        none = np.zeros(0, np.int64)
+        return none, none, none, np.zeros(len(offsets), np.int64)
+    starts, ends, word_offsets, inside = word_spans(data, offsets, breaks)
+    _, one, number = np.unique(_hashes(data, starts, inside, block, NO_FOLD), return_index=True, return_inverse=True)
+    return starts[one], ends[one], number, word_offsets
 
 
 def shingle_hashes(words: np.ndarray, word_offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fernwood.llm.common import WORD_PATTERN, written
+from fernwood.llm.common import WORD_PATTERN, fresh, written
 from fernwood.operators.ranking import global_rank, running_total
 
 GOLDEN = 0.6180339887498949
@@ -139,3 +139,19 @@ def mixed_amounts(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFra
     rest = placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))
     return full.unionByName(rest).select(
         F.col("_id").alias(id_col), "size", "source_size", "target", "taken", "source")
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """``docs`` as the mix takes them, columns unchanged: a document's rows repeat as often as its
+    words are taken, rounded to whole documents.
+
+    A document without words is never taken.  Rows that share an id share its copies: each
+    is repeated as often as the one of them with the most words taken per word.
+    """
+    amounts = mixed_amounts(docs, id_col=id_col, **options).filter("taken > 0").groupBy(id_col).agg(
+        F.max(F.round(F.col("taken") / F.col("size")).cast("int")).alias("_times")).filter("_times > 0")
+    amounts = amounts.withColumnRenamed(id_col, "_taken")
+    copy = fresh("_copy", docs.columns)
+    joined = docs.join(amounts, docs[id_col].eqNullSafe(amounts["_taken"]))
+    return joined.select(*[docs[c] for c in docs.columns],
+                         F.explode(F.sequence(F.lit(1), amounts["_times"])).alias(copy)).drop(copy)

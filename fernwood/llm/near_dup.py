@@ -78,7 +78,7 @@ def _arrays(column: pa.Array) -> list[np.ndarray]:
 
 
 def sketches(docs: DataFrame, size: int, k: int, id_col: str, text_col: str) -> DataFrame:
-    """``(_row, _id, n, s1, s2, sketch)`` of every row, written."""
+    """``(_row, _id, _h, n, s1, s2, sketch)`` of every row, written; ``_h`` is a hash of the text."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,11 +86,11 @@ def sketches(docs: DataFrame, size: int, k: int, id_col: str, text_col: str) ->
             sets = [(len(v), a, b, v[:k].copy()) for v, a, b in set_rows(batch.column(1), size)]
             n, s1, s2, low = zip(*sets, strict=True) if sets else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(x, pa.int64()) for x in (n, s1, s2)), _longs(list(low))],
-                names=["_id", "n", "s1", "s2", "sketch"])
+                [batch.column(0), batch.column(2), *(pa.array(x, pa.int64()) for x in (n, s1, s2)), _longs(list(low))],
+                names=["_id", "_h", "n", "s1", "s2", "sketch"])
 
-    rows = docs.select(F.col(id_col).alias("_id"), text_col).mapInArrow(
-        run, f"_id {kind}, n long, s1 long, s2 long, sketch array<long>")
+    rows = docs.select(F.col(id_col).alias("_id"), text_col, F.xxhash64(F.coalesce(text_col, F.lit("")))).mapInArrow(
+        run, f"_id {kind}, _h long, n long, s1 long, s2 long, sketch array<long>")
     return written(rows.withColumn("_row", F.monotonically_increasing_id()), "sketches")
 
 
@@ -225,23 +225,14 @@ def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return entries.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def near_duplicate_groups(docs: DataFrame, size: int = 5, percent: int = 80, k: int = 64, id_col: str = "doc_id",
-                          text_col: str = "text", rounds: int = 4, enough: int = 4) -> DataFrame:
-    """One row per input row: ``id_col, n_shingles, component_id, kept``.
-
-    ``component_id`` is the smallest id of the row's group, ``kept`` says whether it is the
-    row's own.  A text with fewer than ``size`` words has its whole sequence as its one
-    shingle; null, empty and white-space texts have none and are groups of their own.
-    Repeated rows are separate documents with equal sets.  Null ids take part; a group's
-    smallest id is null only if all its ids are.  An empty table gives an empty result; other
-    columns are ignored.  ``rounds`` and ``enough`` only set when pivots give way to comparing
-    all open pairs, they change no result.
-    """
+def grouped_rows(docs: DataFrame, size: int, percent: int, k: int, id_col: str, text_col: str, rounds: int,
+                 enough: int) -> DataFrame:
+    """``(_row, _id, _h, n, label, component_id)`` of every row; ``label`` names its group."""
     rows = sketches(docs, size, k, id_col, text_col)
     filled = rows.filter("n > 0")
     classes = salted_groups(filled, ["n", "s1", "s2"], F.col("_row"), {"node": (F.min("_row"), "min")})
     members = written(filled.withColumn("_salt", salt_of("_row")).join(classes, ["n", "s1", "s2", "_salt"]).select(
-        "_row", "_id", "n", "s1", "node", F.when(F.col("_row") == F.col("node"), F.col("sketch")).alias("sketch")),
+        "_row", "_id", "_h", "n", "s1", "node", F.when(F.col("_row") == F.col("node"), F.col("sketch")).alias("sketch")),
         "members")
     nodes = members.filter(F.col("sketch").isNotNull()).select("node", "_id", "n", "s1", "sketch")
 
@@ -293,13 +284,12 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, percent: int = 80, k:
     if not found.isEmpty():
         labels = components(links.unionByName(found))
 
-    grouped = written(salted_lookup_left(members.select("_row", "_id", "n", "node"), labels), "grouped")
+    grouped = written(salted_lookup_left(members.select("_row", "_id", "_h", "n", "node"), labels), "grouped")
     smallest = salted_groups(grouped, ["label"], F.col("_row"), {"component_id": (F.min("_id"), "min")})
     out = grouped.withColumn("_salt", salt_of("_row")).join(smallest, ["label", "_salt"])
-    empty = rows.filter("n = 0").withColumn("component_id", F.col("_id"))
-    return out.select("_id", "n", "component_id").unionByName(empty.select("_id", "n", "component_id")).select(
-        F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
-        F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    empty = rows.filter("n = 0").withColumns({"component_id": F.col("_id"), "label": F.col("_row")})
+    columns = ["_row", "_id", "_h", "n", "label", "component_id"]
+    return out.select(columns).unionByName(empty.select(columns))
 
 
 def salted_lookup_left(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -309,12 +299,35 @@ def salted_lookup_left(members: DataFrame, labels: DataFrame) -> DataFrame:
     return salted_lookup(members, all_labels, "node", F.col("_row"))
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """One document of each near-duplicate group (the smallest id), columns unchanged.
+def near_duplicate_groups(docs: DataFrame, size: int = 5, percent: int = 80, k: int = 64, id_col: str = "doc_id",
+                          text_col: str = "text", rounds: int = 4, enough: int = 4) -> DataFrame:
+    """One row per input row: ``id_col, n_shingles, component_id, kept``.
+
+    ``component_id`` is the smallest id of the row's group, ``kept`` says whether it is the
+    row's own.  A text with fewer than ``size`` words has its whole sequence as its one
+    shingle; null, empty and white-space texts have none and are groups of their own.
+    Repeated rows are separate documents with equal sets.  Null ids take part; a group's
+    smallest id is null only if all its ids are.  An empty table gives an empty result; other
+    columns are ignored.  ``rounds`` and ``enough`` only set when pivots give way to comparing
+    all open pairs, they change no result.
+    """
+    out = grouped_rows(docs, size, percent, k, id_col, text_col, rounds, enough)
+    return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
+                      F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80, k: int = 64, id_col: str = "doc_id",
+                 text_col: str = "text", rounds: int = 4, enough: int = 4) -> DataFrame:
+    """``docs`` with one document of each near-duplicate group, columns unchanged.
 
-    Rows that repeat a kept id with the same text are the same document; one of them stays.
-    Rows with a null id stay.
+    The smallest id of a group stays (of rows that share it, the one with the smallest text
+    hash, and one row of those that are the same).
     """
-    kept = near_duplicate_groups(docs, id_col=id_col, **options).filter("kept").select(
-        F.col(id_col).alias("_kept")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept"]), "left_semi")
+    groups = grouped_rows(docs, size, percent, k, id_col, text_col, rounds, enough)
+    chosen = written(groups.filter(F.col("_id").eqNullSafe(F.col("component_id"))).groupBy("label").agg(
+        F.min(F.struct("_h", "_id")).alias("x"), F.count(F.lit(1)).alias("c")).select("x._id", "x._h", "c"), "chosen")
+    text_hash = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+    kept = docs.join(chosen, docs[id_col].eqNullSafe(chosen["_id"]) & (text_hash == chosen["_h"]), "left_semi")
+    # texts are only shuffled to drop repeated rows where there are any
+    repeated = not chosen.filter("c > 1").isEmpty()
+    return kept.dropDuplicates([id_col, text_col]) if repeated else kept
