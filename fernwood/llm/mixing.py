@@ -71,7 +71,7 @@ def mixing_plan(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
     """
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
     sized = written(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"),
-                                size.alias("size")), "sizes")
+                                size.alias("size"), F.xxhash64(F.col(text_col)).alias("_text")), "sizes")
     sources = written(source_targets(sized, weights, share, max_repeat), "targets")
     docs_of = sized.join(sources, sized["source"].eqNullSafe(sources["source"])).drop(sources["source"])
     order = docs_of.withColumn("_h", F.xxhash64("_id", F.lit(seed)))
@@ -126,32 +126,35 @@ def slot_sources(wanted: DataFrame, n: int, k: int) -> DataFrame:
         "slot", "_sid", "source_size", "_goal", "_blocks", "_need")
 
 
+def _amounts(docs: DataFrame, **options) -> DataFrame:
+    placed, pieces = mixing_plan(docs, **options)
+    # the end position is unique among the documents of a source that have words
+    taken = pieces.groupBy("_sid", "_end").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
+    full = placed.filter("size > 0").join(taken, ["_sid", "_end"], "left").withColumn(
+        "taken", F.coalesce("taken", F.lit(0).cast("long")))
+    return full.unionByName(placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long")))
+
+
 def mixed_amounts(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """One row per document: ``id_col, size, source_size, target, taken, source``.
 
     ``taken`` is the number of words the mix takes, repeats counted.
     """
-    placed, pieces = mixing_plan(docs, id_col=id_col, **options)
-    # the end position is unique among the documents of a source that have words
-    taken = pieces.groupBy("_sid", "_end").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
-    full = placed.filter("size > 0").join(taken, ["_sid", "_end"], "left").withColumn(
-        "taken", F.coalesce("taken", F.lit(0).cast("long")))
-    rest = placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))
-    return full.unionByName(rest).select(
+    return _amounts(docs, id_col=id_col, **options).select(
         F.col("_id").alias(id_col), "size", "source_size", "target", "taken", "source")
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` as the mix takes them, columns unchanged: a document's rows repeat as often as its
     words are taken, rounded to whole documents.
 
-    A document without words is never taken.  Rows that share an id share its copies: each
-    is repeated as often as the one of them with the most words taken per word.
+    A document without words is never taken.  Rows with the same id and text are the same
+    document: each of them is repeated as often as the one with the most words taken.
     """
-    amounts = mixed_amounts(docs, id_col=id_col, **options).filter("taken > 0").groupBy(id_col).agg(
-        F.max(F.round(F.col("taken") / F.col("size")).cast("int")).alias("_times")).filter("_times > 0")
-    amounts = amounts.withColumnRenamed(id_col, "_taken")
+    amounts = _amounts(docs, id_col=id_col, text_col=text_col, **options).filter("taken > 0").groupBy(
+        "_id", "_text").agg(F.max(F.round(F.col("taken") / F.col("size")).cast("int")).alias("_times"))
+    amounts = amounts.filter("_times > 0")
     copy = fresh("_copy", docs.columns)
-    joined = docs.join(amounts, docs[id_col].eqNullSafe(amounts["_taken"]))
-    return joined.select(*[docs[c] for c in docs.columns],
-                         F.explode(F.sequence(F.lit(1), amounts["_times"])).alias(copy)).drop(copy)
+    same = docs[id_col].eqNullSafe(amounts["_id"]) & (F.xxhash64(docs[text_col]) == amounts["_text"])
+    return docs.join(amounts, same).select(
+        *[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), amounts["_times"])).alias(copy)).drop(copy)

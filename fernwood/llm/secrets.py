@@ -43,7 +43,8 @@ SENSITIVE = ("password", "passwd", "secret", "token", "api_?key", "credential",
              "auth", "bearer", "signature")
 _NEAR = re.compile("|".join(SENSITIVE), re.ASCII | re.IGNORECASE)
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]+")
-_IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{3,39}")
+# words joined by underscores, each with a short number at most: random strings do not look so
+_IDENTIFIER = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z]+[0-9]{0,2}(?:_[A-Za-z]+[0-9]{0,2})*(?![A-Za-z0-9_])", re.ASCII)
 #: texts without this hold no base span and no candidate
 _SOME = "(?i:" + "|".join(SENSITIVE) + ")|AKIA|[0-9a-f]{24}"
 
@@ -109,7 +110,8 @@ def identifier_dictionary(docs: DataFrame, text_col: str = "text", size: int = 2
                     mine: set[str] = set()
                     for near in _NEAR.finditer(text):
                         for m in _IDENTIFIER.finditer(text, max(0, near.start() - around), near.end() + around):
-                            mine.add(m.group())
+                            if 4 <= m.end() - m.start() <= 40:
+                                mine.add(m.group())
                     words += sorted(mine)
                 yield pa.RecordBatch.from_arrays([pa.array(words, pa.string())], names=["word"])
 
