@@ -140,14 +140,16 @@ def gradients(net: Filters, batch: Packed, y: np.ndarray) -> list[np.ndarray]:
     return [*grads, pooled.T @ g, np.array([g.sum()])]
 
 
-def fit(texts: list[str], labels: list[int], epochs: int = 5, batch: int = 16, rate: float = 4e-3,
+def fit(texts: list[str], labels: list[int], steps: int = 400, batch: int = 16, rate: float = 4e-3,
         seed: int = 5) -> Filters:
-    """Train on a bounded sample; every whole text is used in every epoch."""
+    """Train on a bounded sample for ``steps`` batches, in whole passes; texts are used whole."""
     net, rng = new_filters(), np.random.default_rng(seed)
     y = np.asarray(labels, np.float32)
     moments = [(np.zeros_like(a), np.zeros_like(a)) for a in net.arrays()]
-    step, total = 0, max(1, epochs * -(-len(texts) // batch))
-    for _ in range(epochs):
+    per_pass = max(1, -(-len(texts) // batch))
+    passes = max(1, -(-steps // per_pass))
+    step, total = 0, passes * per_pass
+    for _ in range(passes):
         order = rng.permutation(len(texts))
         for lo in range(0, len(texts), batch):
             pick = order[lo:lo + batch]

@@ -7,10 +7,10 @@ replaced.  Several fixed masks ignore different positions.
 1. every window of every benchmark item is hashed under every mask (the test hashes);
 2. every window of every document is hashed the same way and matched with them;
 3. around each hit the two texts are compared word by word along their common alignment:
-   the overlap is the run of positions around the hit that scores best with +1 for an equal
-   and -2 for a substituted word (extended until the score falls ``drop`` below its best);
+   the overlap is the longest run of positions around the hit of which at least
+   ``min_identity`` agree, cut to begin and end with an equal word;
 4. an overlap counts when it has at least ``min_words`` words (or the whole item, when that
-   is shorter, but at least ``min_item`` words) and at least ``min_identity`` of them agree.
+   is shorter, but at least ``min_item`` words).
 
 Words are runs of ASCII letters, digits and non-ASCII characters, with A-Z folded; hashes
 are 64 bits wide and every reported overlap has been compared word by word.
@@ -89,26 +89,30 @@ class SeedIndex:
         return np.concatenate(left), np.concatenate(right)
 
 
-def extend(equal: np.ndarray, at: int, drop: int) -> tuple[int, int]:
-    """Best-scoring run [start, end) of an alignment around position ``at``."""
-    score = np.where(equal, 1, -2)
+def extend(equal: np.ndarray, at: int, identity: float) -> tuple[int, int]:
+    """The longest run [start, end) over position ``at`` with at least ``identity`` equal words.
 
-    def side(s: np.ndarray) -> int:
-        if not len(s):
-            return 0
-        total = np.cumsum(s)
-        best = np.maximum.accumulate(np.maximum(total, 0))
-        stop = np.flatnonzero(best - total > drop)
-        total = total[:stop[0]] if len(stop) else total
-        if not len(total) or total.max() <= 0:
-            return 0
-        return int(total.argmax()) + 1
-
-    return at - side(score[:at][::-1]), at + side(score[at:])
+    With the gains 1 - identity for an equal and -identity for another word, a run has enough
+    equal words when its gains sum to 0 or more.
+    """
+    total = np.concatenate(([0.0], np.cumsum(np.where(equal, 1 - identity, -identity))))
+    # the highest sum at or behind each end; the last end that reaches a start's sum is its best
+    behind = np.maximum.accumulate(total[at + 1:][::-1])[::-1]
+    starts = np.flatnonzero(equal[:at + 1])
+    reach = len(behind) - np.searchsorted(behind[::-1], total[starts] - 1e-9)
+    ok = reach > 0
+    if not ok.any():
+        return at, at
+    starts, ends = starts[ok], at + reach[ok]
+    best = int((ends - starts).argmax())
+    start, end = int(starts[best]), int(ends[best])
+    while end > start and not equal[end - 1]:
+        end -= 1
+    return start, end
 
 
 def overlaps(index: SeedIndex, words: np.ndarray, lo: int, hi: int, left: np.ndarray, right: np.ndarray,
-             min_words: int, min_identity: float, min_item: int, drop: int):
+             min_words: int, min_identity: float, min_item: int):
     """Verified overlaps of the text ``words[lo:hi]``: (item, start, end, item start, equal words)."""
     done: dict[tuple[int, int], int] = {}
     item_of, item_offsets = index.item_of, index.offsets
@@ -119,11 +123,11 @@ def overlaps(index: SeedIndex, words: np.ndarray, lo: int, hi: int, left: np.nda
         a, b = int(item_offsets[item]), int(item_offsets[item + 1])
         x, y = max(lo, a + diagonal), min(hi, b + diagonal)
         equal = words[x:y] == index.words[x - diagonal:y - diagonal]
-        s, e = extend(equal, i - x, drop)
-        done[(item, diagonal)] = x + e
+        s, e = extend(equal, i - x, min_identity)
+        done[(item, diagonal)] = max(i, x + e)
         same = int(equal[s:e].sum())
         need = min(min_words, max(min_item, b - a))
-        if e - s >= need and same >= min_identity * (e - s):
+        if e - s >= need:
             yield item, x + s - lo, x + e - lo, x + s - diagonal - a, same
 
 
@@ -145,7 +149,7 @@ def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_wor
 
 def contaminated_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           item_col: str = "item_id", item_text_col: str = "text", min_words: int = 13,
-                          min_identity: float = 0.8, min_item: int = 8, drop: int = 6,
+                          min_identity: float = 0.8, min_item: int = 8,
                           block_words: int = 2_000_000) -> DataFrame:
     """Verified overlaps: ``id_col, item_id, start_word, end_word, item_start_word, same_words``.
 
@@ -175,11 +179,11 @@ def contaminated_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "
                     order = np.argsort(left, kind="stable")
                     left, right = left[order], right[order]
                     rows = np.searchsorted(at, left, side="right") - 1
-                    for row in np.unique(rows):
-                        mine = rows == row
+                    for mine in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(rows)) + 1):
+                        row = int(rows[mine[0]])
                         found += [(lo + row, *x) for x in overlaps(
                             index, words, int(at[row]), int(at[row + 1]), left[mine], right[mine],
-                            min_words, min_identity, min_item, drop)]
+                            min_words, min_identity, min_item)]
                 if found:
                     cols = list(zip(*found, strict=True))
                     yield pa.RecordBatch.from_arrays(

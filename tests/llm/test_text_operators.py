@@ -109,7 +109,7 @@ def unpack(rows, row_tokens):
         ids = packing.matrix([r.input_ids], row_tokens)[0]
         positions = packing.matrix([r.position_ids], row_tokens)[0]
         assert r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] == r.n_tokens <= row_tokens
-        for a, b, doc, start in zip(r.cu_seqlens, r.cu_seqlens[1:], r.doc_ids, r.doc_starts, strict=True):
+        for a, b, doc, start in zip(r.cu_seqlens[:-1], r.cu_seqlens[1:], r.doc_ids, r.doc_starts, strict=True):
             assert positions[a:b].tolist() == list(range(b - a))
             parts.setdefault((doc, start), []).append(ids[a:b].tolist())
     return parts
@@ -242,16 +242,18 @@ def test_gradients_equal_differences():
     texts, y = ["Some text here, with words.", "LOUD!! LOUD!!", "a | b | c | d", ""], np.array([1, 0, 0, 1], np.float32)
     data, offsets = common.text_bytes(pa.array(texts))
     net = byte_cnn.new_filters(4, 3)
+    net.shape_bias += 0.05  # away from the kink of chunks without bytes
+    net.rhythm_bias -= 0.05
     batch = byte_cnn.Packed(data, offsets)
     for array, grad in zip(net.arrays(), byte_cnn.gradients(net, batch, y), strict=True):
         at = np.unravel_index(np.abs(grad).argmax(), grad.shape)
         loss = []
-        for step in (1e-2, -1e-2):
+        for step in (1e-3, -1e-3):
             array[at] += step
             p = byte_cnn.sigmoid(batch.forward(net)[0].astype(float))
             loss.append(-np.mean(y * np.log(p) + (1 - y) * np.log(1 - p)))
             array[at] -= step
-        assert (loss[0] - loss[1]) / 2e-2 == pytest.approx(float(grad[at]), rel=0.1, abs=1e-3)
+        assert (loss[0] - loss[1]) / 2e-3 == pytest.approx(float(grad[at]), rel=0.1, abs=2e-3)
 
 
 def test_quality_on_held_out_rows(spark):
