@@ -12,8 +12,9 @@ replaced.  Several fixed masks ignore different positions.
 4. an overlap counts when it has at least ``min_words`` words (or the whole item, when that
    is shorter, but at least ``min_item`` words).
 
-Words are runs of ASCII letters, digits and non-ASCII characters, with A-Z folded; hashes
-are 64 bits wide and every reported overlap has been compared word by word.
+Words are runs of ASCII letters, digits and non-ASCII characters of the lower-cased text
+(letters of all scripts); hashes are 64 bits wide, and a reported overlap has been compared
+by the hash of each word.
 
 The documents never move: the job is one narrow pass.  The benchmark is the stated query
 set; it is cut into blocks of at most ``block_words`` words, and each block's hashes are
@@ -134,7 +135,7 @@ def overlaps(index: SeedIndex, words: np.ndarray, lo: int, hi: int, left: np.nda
 def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[SeedIndex]:
     """The benchmark in blocks of bounded size, streamed through the driver one by one."""
     ids, texts, size = [], [], 0
-    rows = benchmark.select(id_col, text_col).filter(F.col(text_col).isNotNull())
+    rows = benchmark.select(id_col, F.lower(text_col)).filter(F.col(text_col).isNotNull())
     for row in rows.toLocalIterator():
         n = len(row[1]) // 2 + 1
         if texts and size + n > block_words:
@@ -194,7 +195,7 @@ def contaminated_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "
 
     out = None
     for index in benchmark_blocks(benchmark, item_col, item_text_col, block_words):
-        part = docs.select(id_col, text_col).mapInArrow(scan(spark.sparkContext.broadcast(index)), schema)
+        part = docs.select(id_col, F.lower(text_col)).mapInArrow(scan(spark.sparkContext.broadcast(index)), schema)
         out = part if out is None else out.unionByName(part)
     return spark.createDataFrame([], schema) if out is None else out
 
