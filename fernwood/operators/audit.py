@@ -85,7 +85,7 @@ def category_distribution(df: DataFrame, label_dim: DataFrame, label: str = "lab
                           split: str = "split", splits: Sequence[str] = ("train", "test")) -> DataFrame:
     """Category counts per split side by side (``pivot`` on the split)."""
     dim = label_dim.select(F.col("name").alias(label), "category")
-    joined = df.select(label, split).join(F.broadcast(dim), label, "inner")
+    joined = df.select(label, split).join(dim, label, "inner")
     wide = joined.groupBy("category").pivot(split, list(splits)).agg(F.count(F.lit(1)))
     return wide.select("category", *[F.coalesce(F.col(s), F.lit(0)).cast("long").alias(f"n_{s}")
                                      for s in splits])

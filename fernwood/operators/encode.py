@@ -19,12 +19,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fernwood.operators.audit import check_missing
 from fernwood.operators.quantiles import numeric_columns
 from fernwood.operators.ranking import global_rank
 from fernwood.session import write_scratch
 
-# Levels one-hot encoding will create per column before refusing
-MAX_ONE_HOT_LEVELS = 1000
 
 
 @dataclass
@@ -100,15 +99,22 @@ def ordinal_transform(df: DataFrame, vocab: Vocabulary, cols: Sequence[str],
     return out, vocab
 
 
-def fit_one_hot(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
-    """D3 fit: the pinned, sorted levels of each low-cardinality column."""
-    rows = _long_values(df, cols).distinct().collect() if cols else []
+def fit_one_hot(df: DataFrame, cols: Sequence[str], max_levels: int = 1000) -> dict[str, list[str]]:
+    """D3 fit: the pinned, sorted levels of each low-cardinality column.
+
+    Levels become columns of the plan, so a column with more than ``max_levels`` of them is
+    refused; they are counted before any of them comes to the driver.
+    """
+    if not cols:
+        return {}
+    distinct = write_scratch(_long_values(df, cols).distinct(), "levels")
+    for r in distinct.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_levels).collect():
+        raise ValueError(f"{r['feature']} has {r['n']} levels, more than max_levels={max_levels}; "
+                         "use an ordinal encoding or raise max_levels")
     levels: dict[str, list[str]] = {c: [] for c in cols}
-    for r in rows:
+    for r in distinct.collect():
         levels[r["feature"]].append(r["value"])
     for c in cols:
-        if len(levels[c]) > MAX_ONE_HOT_LEVELS:
-            raise ValueError(f"{c} has {len(levels[c])} levels; use an ordinal encoding")
         levels[c].sort(key=lambda s: s.encode("utf-8"))
     return levels
 
@@ -170,7 +176,7 @@ def make_labels(df: DataFrame, task: str = "binary", label: str = "label",
         raise ValueError(f"task {task!r} needs a label dictionary")
     idcol = "label_id" if task == "multiclass" else "category_id"
     dim = label_dim.select(F.col("name").alias("_lname"), F.col(idcol).alias("_lid"))
-    joined = df.join(F.broadcast(dim), df[label] == F.col("_lname"), "left")
+    joined = df.join(dim, df[label] == F.col("_lname"), "left")
     checked = F.when(F.col("_lid").isNull(),
                      F.raise_error(F.concat(F.lit("label not in dictionary: "), F.col(label).cast("string")))
                      ).otherwise(F.col("_lid")).cast("int")
@@ -189,6 +195,7 @@ class PreprocessModel:
     feature_cols: list[str]
     label_dim: DataFrame | None = None
     drop_cols: list[str] = field(default_factory=list)
+    missing: tuple[int, list[str]] = (0, [])
 
     def transform(self, df: DataFrame, key: str = "key", label: str = "label",
                   normal: str = "normal") -> tuple[DataFrame, "PreprocessModel"]:
@@ -201,7 +208,7 @@ class PreprocessModel:
         keep = [c for c in [key] if c in scaled.columns] + self.feature_cols + ["y"]
         extra = [c for c in scaled.columns if c not in keep and c not in self.feature_cols]
         model = PreprocessModel(self.task, self.ordinal_cols, self.one_hot_levels, vocab,
-                                self.scaler, self.feature_cols, self.label_dim, self.drop_cols)
+                                self.scaler, self.feature_cols, self.label_dim, self.drop_cols, self.missing)
         return scaled.select(*keep, *[c for c in extra if c == "split"]), model
 
 
@@ -209,13 +216,17 @@ def preprocess_fit(df: DataFrame, task: str, ordinal_cols: Sequence[str], one_ho
                    label_dim: DataFrame | None = None, key: str = "key", label: str = "label",
                    drop_cols: Sequence[str] = ("difficulty",), passthrough: Sequence[str] = ("split",),
                    scale_cols: Sequence[str] | None = None) -> PreprocessModel:
-    """Audit-free fit of labels, ordinal ids, one-hot levels and scaling on ``df``.
+    """Audit, then fit of labels, ordinal ids, one-hot levels and scaling on ``df``.
+
+    The audit counts missing cells in one pass and warns (``missing`` of the model keeps the
+    total and the columns); nothing is filled.
 
     Scaling covers every feature (ids and one-hot columns included) unless
     ``scale_cols`` narrows it.
     """
     if task not in TASKS:
         raise ValueError(f"unknown task {task!r}; expected one of {TASKS}")
+    missing = check_missing(df)
     vocab = fit_vocabulary(df, ordinal_cols)
     levels = fit_one_hot(df, one_hot_cols)
     enc, _ = ordinal_transform(df, vocab, ordinal_cols, extend=False)
@@ -224,4 +235,4 @@ def preprocess_fit(df: DataFrame, task: str, ordinal_cols: Sequence[str], one_ho
     features = [c for c in enc.columns if c not in skip]
     scaler = fit_scaler(enc, list(scale_cols) if scale_cols is not None else features)
     return PreprocessModel(task, list(ordinal_cols), levels, vocab, scaler, features,
-                           label_dim, list(drop_cols))
+                           label_dim, list(drop_cols), missing)

@@ -62,10 +62,14 @@ def decision_tree(max_depth=None, min_instances_per_node=1, impurity="gini", lab
 
 def forest(trees=100, max_depth=None, min_instances_per_node=1, label="y",
            weight_col: str | None = None, seed=SEED, max_bins=64) -> RandomForestClassifier:
-    """H3/H4: a seeded forest."""
+    """H3/H4: a seeded forest.
+
+    Deep trees have many open nodes: with room for their statistics a level takes few passes,
+    and cached node ids spare walking every tree from its root for each row.
+    """
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees,
                                 maxDepth=_depth(max_depth), minInstancesPerNode=min_instances_per_node,
-                                seed=seed, maxBins=max_bins)
+                                seed=seed, maxBins=max_bins, maxMemoryInMB=1024, cacheNodeIds=True)
     if weight_col:
         rf.setWeightCol(weight_col)
     return rf
@@ -143,6 +147,23 @@ def grid_search(estimator: Estimator, grid: list, train: DataFrame, evaluator: E
     return cvm.bestModel, params, scores[best], scores
 
 
+def evaluate(model: Model, df: DataFrame, name: str, task: str = "binary", key: str = "key",
+             label: str = "y") -> DataFrame:
+    """Long metrics ``(model, task, metric, class_id, value)`` of a model on a test set.
+
+    Binary: accuracy, precision, recall, f1 and auc; otherwise accuracy and the macro
+    averages over the union of true and predicted classes.
+    """
+    from fernwood.operators import metrics as M
+    from fernwood.operators.compare import metrics_long
+
+    s = score(model, df, name, key, label)
+    if task == "binary":
+        return metrics_long(M.binary_metrics(s, ["model"]), task, ["accuracy", "precision", "recall", "f1", "auc"])
+    macro = M.accuracy(s, ["model"]).join(M.macro_prf(s, ["model"]), "model")
+    return metrics_long(macro, task, ["accuracy", "precision_macro", "recall_macro", "f1_macro"])
+
+
 def dt_grid(dt: DecisionTreeClassifier, spec: dict = DT_PARAM_GRID) -> list:
     return (ParamGridBuilder()
             .addGrid(dt.maxDepth, [_depth(d) for d in spec["max_depth"]])

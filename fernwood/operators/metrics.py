@@ -211,27 +211,25 @@ def known_class_accuracy(scores: DataFrame, unseen_ids: Sequence[int] = (),
     return out
 
 
+def rare_classes(scores: DataFrame, group: Sequence[str] = (), min_count: int = 5) -> DataFrame:
+    """``(group..., y_true, n)`` of the true classes with fewer than ``min_count`` rows."""
+    return scores.groupBy(*group, "y_true").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < min_count)
+
+
 def rare_class_accuracy(scores: DataFrame, group: Sequence[str] = (), min_count: int = 5) -> DataFrame:
     """Accuracy after dropping true classes with fewer than ``min_count`` rows.
 
-    Also returns the dropped classes (sorted) and the number of rows scored.
+    Also returns the number of rows scored and of classes dropped (:func:`rare_classes`
+    lists them).  Everything follows from the counts per class.
     """
-    counts = scores.groupBy(*group, "y_true").agg(F.count(F.lit(1)).alias("_c"))
-    rare = counts.where(F.col("_c") < min_count).select(*group, "y_true")
-    dropped = rare.groupBy(*group).agg(F.array_sort(F.collect_list("y_true")).alias("rare_classes"))
-    # rare classes are few by definition (< min_count rows each)
-    kept = scores.join(F.broadcast(rare), [*group, "y_true"], "left_anti")
-    acc = kept.groupBy(*group).agg(
-        F.avg((F.col("y_true") == F.col("y_pred")).cast("double")).alias("known_class_accuracy"),
-        F.count(F.lit(1)).alias("n_scored"))
-    full = accuracy(scores, group).withColumnRenamed("accuracy", "full_accuracy")
-    if not group:
-        z = F.lit(0)
-        out = full.withColumn("_g", z).join(acc.withColumn("_g", z), "_g", "left") \
-            .join(dropped.withColumn("_g", z), "_g", "left").drop("_g")
-    else:
-        out = full.join(acc, list(group), "left").join(dropped, list(group), "left")
-    return out.withColumn("rare_classes", F.coalesce("rare_classes", F.array().cast("array<int>")))
+    per = scores.groupBy(*group, "y_true").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum((F.col("y_true") == F.col("y_pred")).cast("long")).alias("_hit"))
+    kept = F.col("_n") >= min_count
+    return per.groupBy(*group).agg(
+        (F.sum("_hit") / F.sum("_n")).alias("full_accuracy"),
+        (F.sum(F.when(kept, F.col("_hit"))) / F.sum(F.when(kept, F.col("_n")))).alias("known_class_accuracy"),
+        F.coalesce(F.sum(F.when(kept, F.col("_n"))), F.lit(0)).alias("n_scored"),
+        F.count_if(~kept).alias("n_rare"))
 
 
 def f1_by_category(scores: DataFrame, label_to_category: DataFrame, group: Sequence[str] = ()) -> DataFrame:
@@ -241,12 +239,12 @@ def f1_by_category(scores: DataFrame, label_to_category: DataFrame, group: Seque
     becomes ``unknown``; every category of the dictionary is reported.
     """
     dim = label_to_category.select(F.col("label_id").cast("int").alias("_id"), F.col("category"))
-    t = scores.join(F.broadcast(dim.withColumnRenamed("category", "true_cat")),
+    t = scores.join(dim.withColumnRenamed("category", "true_cat"),
                     F.col("y_true") == F.col("_id"), "left").drop("_id")
     t = t.withColumn("true_cat", F.when(F.col("true_cat").isNull(), F.raise_error(
         F.concat(F.lit("true label without category: "), F.col("y_true").cast("string"))))
         .otherwise(F.col("true_cat")))
-    p = t.join(F.broadcast(dim.withColumnRenamed("category", "pred_cat")),
+    p = t.join(dim.withColumnRenamed("category", "pred_cat"),
                F.col("y_pred") == F.col("_id"), "left").drop("_id") \
         .withColumn("pred_cat", F.coalesce("pred_cat", F.lit("unknown")))
     cats = [r["category"] for r in dim.select("category").distinct().collect()]

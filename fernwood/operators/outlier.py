@@ -55,12 +55,17 @@ def fit_bounds(df: DataFrame, cols: Sequence[str], k: float = IQR_K,
     return Bounds(fences, cols, skipped)
 
 
+def _outside(v, lo: float, hi: float):
+    """Strictly outside the fences; a null or NaN is not (Spark orders NaN above all numbers)."""
+    return ~F.isnan(v) & ((v < F.lit(lo)) | (v > F.lit(hi)))
+
+
 def outlier_counts(df: DataFrame, bounds: Bounds) -> DataFrame:
     """``(column, n_outliers, n_rows)`` for every requested column, one aggregate pass."""
     spark = df.sparkSession
     aggs = [F.count(F.lit(1)).alias("_n")]
     for c, (_, _, lo, hi) in bounds.fences.items():
-        aggs.append(F.sum(F.when((F.col(c) < F.lit(lo)) | (F.col(c) > F.lit(hi)), 1)
+        aggs.append(F.sum(F.when(_outside(F.col(c).cast("double"), lo, hi), 1)
                           .otherwise(0)).cast("long").alias(c))
     row = df.agg(*aggs)
     stacked = [F.struct(F.lit(c).alias("feature"),
@@ -78,18 +83,14 @@ def detect_outliers_iqr(df: DataFrame, cols: Sequence[str], method: str = "exact
 
 
 def clip(df: DataFrame, bounds: Bounds) -> DataFrame:
-    """Clip each fitted column to its fences; rows kept, nulls stay null, type kept."""
+    """Clip each fitted column to its fences; rows kept, nulls and NaN stay, the result is double."""
     fields = {f.name: f.dataType for f in df.schema.fields}
     clipped = {}
     for c, (_, _, lo, hi) in bounds.fences.items():
         if c not in fields:
             continue
         v = F.col(c).cast("double")
-        clipped[c] = F.when(F.col(c).isNull(), F.lit(None)).otherwise(
-            F.least(F.greatest(v, F.lit(lo)), F.lit(hi)))
-        if fields[c].typeName() != "double":
-            # pandas keeps an int column int only when nothing moved; we return double
-            clipped[c] = clipped[c].cast("double")
+        clipped[c] = F.when(v.isNull() | F.isnan(v), v).otherwise(F.least(F.greatest(v, F.lit(lo)), F.lit(hi)))
     return df.withColumns(clipped) if clipped else df
 
 

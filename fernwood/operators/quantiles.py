@@ -43,7 +43,11 @@ def numeric_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list[st
 def stack_long(df: DataFrame, cols: Sequence[str], name: str = "feature",
                value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Unpivot ``cols`` to ``(keep..., name, value double)``."""
-    return df.select(*keep, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+    def present(c):
+        v = F.col(c).cast("double")
+        return F.when(~F.isnan(v), v).alias(c)
+
+    return df.select(*keep, *[present(c) for c in cols]).unpivot(
         list(keep), list(cols), name, value)
 
 

@@ -41,7 +41,7 @@ def _quotas(counts: dict, total_draw: int) -> dict:
     exact = {c: total_draw * v / n for c, v in counts.items()}
     floor = {c: math.floor(x) for c, x in exact.items()}
     left = total_draw - sum(floor.values())
-    order = sorted(counts, key=lambda c: (-(exact[c] - floor[c]), c))
+    order = sorted(counts, key=lambda c: (-(exact[c] - floor[c]), c is not None, c))
     for c in order[:left]:
         floor[c] += 1
     return floor
@@ -58,9 +58,9 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     quotas = _quotas(counts, math.ceil(test_size * sum(counts.values())))
     h = df.withColumn("_h", hash32(F.col(key), seed))
     ranked = global_rank(h, [("_h", True), (key, True)], [label], "_rk")
-    q = F.create_map(*[x for c, v in quotas.items() for x in (F.lit(c), F.lit(v))])
-    return ranked.withColumn(out, F.when(F.col("_rk") <= F.element_at(q, F.col(label)), "holdout")
-                             .otherwise("train")).drop("_h", "_rk")
+    q = df.sparkSession.createDataFrame(list(quotas.items()), f"_class {df.schema[label].dataType.simpleString()}, _quota long")
+    return ranked.join(q, ranked[label].eqNullSafe(q["_class"])).withColumn(
+        out, F.when(F.col("_rk") <= F.col("_quota"), "holdout").otherwise("train")).drop("_h", "_rk", "_class", "_quota")
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42,
@@ -94,9 +94,7 @@ def smote_plan(df: DataFrame, label: str, targets: Sequence[int], strategy="auto
     """``(class_id, have, want, to_make)``; ``auto`` grows each target to the majority count."""
     counts = df.groupBy(F.col(label).alias("class_id")).agg(F.count(F.lit(1)).alias("have"))
     if strategy == "auto":
-        want = F.max("have").over(Window.partitionBy(F.lit(0)))
-        # the counts table has one row per class
-        planned = counts.withColumn("want", want)
+        planned = counts.withColumn("want", F.lit(counts.agg(F.max("have")).first()[0]))
     else:
         m = F.create_map(*[x for c, v in dict(strategy).items() for x in (F.lit(int(c)), F.lit(int(v)))])
         planned = counts.withColumn("want", F.element_at(m, F.col("class_id")).cast("long"))
@@ -107,10 +105,8 @@ def smote_plan(df: DataFrame, label: str, targets: Sequence[int], strategy="auto
 def balanced_weights(df: DataFrame, label: str) -> DataFrame:
     """``weight = N / (K * n_c)`` over the K classes present."""
     counts = df.groupBy(F.col(label).alias("class_id")).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(F.lit(0))
-    # one row per class
-    return counts.select("class_id", (F.sum("n").over(w) / (F.count(F.lit(1)).over(w) * F.col("n")))
-                         .alias("weight"))
+    total, classes = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
+    return counts.select("class_id", (F.lit(total) / (F.lit(classes) * F.col("n"))).alias("weight"))
 
 
 def balanced_weights_fixed_k(df: DataFrame, label: str, k: int) -> DataFrame:
@@ -137,6 +133,17 @@ def with_weights(df: DataFrame, label: str, weights: DataFrame, out: str = "weig
     return df.join(F.broadcast(w), label, "left").withColumn(out, F.coalesce(F.col(out), F.lit(1.0)))
 
 
+def resample_by_weight(df: DataFrame, key: str, weight: str, seed: int = 42) -> DataFrame:
+    """Rows repeated ``weight`` times on average, for learners without a weight column.
+
+    A row gets the whole part of its weight, and one more with the chance of the rest, drawn
+    from a hash of its key.
+    """
+    whole = F.floor(weight)
+    copies = whole + (unit_draw(F.col(key), seed) < F.col(weight) - whole).cast("long")
+    return df.where(copies > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies))).drop("_copy")
+
+
 def _projection(features: str) -> F.Column:
     """``u . x`` with ``u = (1, ..., 1) / sqrt(d)``: a unit direction, so the 1-D gap bounds the distance."""
     arr = F.col(features)

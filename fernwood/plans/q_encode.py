@@ -11,8 +11,8 @@ from fernwood.functions import rounded
 from fernwood.operators import audit, encode, outlier
 from fernwood.operators import select as sel
 from fernwood.plans.registry import register
-from fernwood.plans.standins import (CONN_CATEGORICAL, CONNECTION_SQL, EVENT_LABELS_SQL, NORMAL_LABEL,
-                                     connection_log, event_label_frames)
+from fernwood.plans.standins import (CONN_CATEGORICAL, CONNECTION_SQL, EVENT_LABELS_SQL, NORMAL_LABEL, UNSEEN_SQL,
+                                     connection_log, event_label_frames, unseen_case)
 from fernwood.schema import FIVE_CATEGORIES, compose_label_dim
 from fernwood.sources.tables import table
 
@@ -28,7 +28,7 @@ def ordinal_encode_fit(spark, sf_dir):
     return v.table
 
 
-@register("ordinal_encode_unseen", sql=f"""WITH {CONNECTION_SQL},
+@register("ordinal_encode_unseen", sql=f"""WITH {UNSEEN_SQL},
 tv AS (SELECT label AS value, row_number() OVER (ORDER BY label) - 1 AS id
        FROM (SELECT DISTINCT label FROM conn WHERE split = 'train')),
 nv AS (SELECT value, (SELECT count(*) FROM tv) + row_number() OVER (ORDER BY value) - 1 AS id
@@ -38,7 +38,7 @@ v AS (SELECT * FROM tv UNION ALL SELECT * FROM nv)
 SELECT key, CAST(id AS INTEGER) AS label_id FROM conn JOIN v ON conn.label = v.value WHERE split = 'test'""")
 def ordinal_encode_unseen(spark, sf_dir):
     """Fit on train, transform test; the unseen value gets the next id (new vocabulary returned)."""
-    c = connection_log(spark, sf_dir)
+    c = unseen_case(connection_log(spark, sf_dir))
     vocab = encode.fit_vocabulary(c.where(F.col("split") == "train"), ["label"])
     out, _ = encode.ordinal_transform(c.where(F.col("split") == "test").select("key", "label"), vocab, ["label"])
     return out.select("key", F.col("label").alias("label_id"))

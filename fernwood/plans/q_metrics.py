@@ -184,28 +184,35 @@ rare AS (SELECT model, y_true FROM ds GROUP BY model, y_true HAVING count(*) < 5
 full_acc AS (SELECT model, avg(CASE WHEN y_true = y_pred THEN 1.0 ELSE 0.0 END) AS full_accuracy FROM ds GROUP BY model),
 kept AS (SELECT model, avg(CASE WHEN y_true = y_pred THEN 1.0 ELSE 0.0 END) AS known_class_accuracy, count(*) AS n_scored
          FROM ds WHERE (model, y_true) NOT IN (SELECT (model, y_true) FROM rare) GROUP BY model),
-dr AS (SELECT model, list_sort(list(y_true)) AS rare_classes FROM rare GROUP BY model)
+dr AS (SELECT model, count(*) AS n_rare FROM rare GROUP BY model)
 SELECT f.model, round(full_accuracy, 6) AS full_accuracy, round(known_class_accuracy, 6) AS known_class_accuracy,
-       n_scored, coalesce(rare_classes, []::INTEGER[]) AS rare_classes
+       coalesce(n_scored, 0) AS n_scored, coalesce(n_rare, 0) AS n_rare
 FROM full_acc f LEFT JOIN kept k ON f.model = k.model LEFT JOIN dr ON f.model = dr.model""")
 def rare_class_accuracy(spark, sf_dir):
-    """Accuracy without true classes that have fewer than 5 rows; lists them."""
+    """Accuracy without true classes that have fewer than 5 rows (listed by ``rare_classes``)."""
     r = M.rare_class_accuracy(_digit_scores(spark, sf_dir), ["model"], min_count=5)
     return _r(r, ["full_accuracy", "known_class_accuracy"])
 
 
-_NSL_DIM_SQL = "nsl(label_id, name, category) AS (VALUES " + ", ".join(
+@register("rare_classes", sql=f"""WITH {_DIGITS_SQL}
+SELECT model, y_true, count(*) AS n FROM ds GROUP BY model, y_true HAVING count(*) < 5""")
+def rare_classes(spark, sf_dir):
+    """The true classes with fewer than 5 rows."""
+    return M.rare_classes(_digit_scores(spark, sf_dir), ["model"], min_count=5)
+
+
+_DICTIONARY_SQL = "label_dictionary(label_id, name, category) AS (VALUES " + ", ".join(
     f"({i}, '{n}', '{c}')" for i, n, c in LABELS) + ")"
 
 
-def _nsl_dim(spark) -> DataFrame:
+def _label_dictionary(spark) -> DataFrame:
     return spark.createDataFrame([(i, n, c) for i, n, c in LABELS], "label_id int, name string, category string")
 
 
-F1_CAT_SQL = f"""WITH {MULTI_SCORES_SQL}, {_NSL_DIM_SQL},
+F1_CAT_SQL = f"""WITH {MULTI_SCORES_SQL}, {_DICTIONARY_SQL},
 s AS (SELECT model, t.category AS true_cat, coalesce(p.category, 'unknown') AS pred_cat
-      FROM mscores JOIN nsl t ON mscores.y_true = t.label_id LEFT JOIN nsl p ON mscores.y_pred = p.label_id),
-cats AS (SELECT DISTINCT category FROM nsl),
+      FROM mscores JOIN label_dictionary t ON mscores.y_true = t.label_id LEFT JOIN label_dictionary p ON mscores.y_pred = p.label_id),
+cats AS (SELECT DISTINCT category FROM label_dictionary),
 g AS (SELECT DISTINCT model, category FROM mscores, cats),
 c AS (SELECT g.model, g.category,
              count(*) FILTER (WHERE s.true_cat = g.category AND s.pred_cat = g.category) AS tp,
@@ -219,14 +226,14 @@ FROM c"""
 @register("f1_by_category", sql=F1_CAT_SQL)
 def f1_by_category(spark, sf_dir):
     """F1 per attack category of fine-grained predictions (all dictionary categories)."""
-    dim = _nsl_dim(spark).select("label_id", "category")
+    dim = _label_dictionary(spark).select("label_id", "category")
     return _r(M.f1_by_category(multiclass_scores(spark, sf_dir), dim, ["model"]), ["f1"])
 
 
-@register("f1_by_label_map", sql=f"""WITH {MULTI_SCORES_SQL}, {_NSL_DIM_SQL},
+@register("f1_by_label_map", sql=f"""WITH {MULTI_SCORES_SQL}, {_DICTIONARY_SQL},
 mp AS (SELECT label_id, category FROM (
          SELECT label_id, category, row_number() OVER (PARTITION BY category ORDER BY label_id DESC) AS r
-         FROM nsl WHERE label_id < 10) WHERE r = 1),
+         FROM label_dictionary) WHERE r = 1),
 g AS (SELECT DISTINCT model, label_id, category FROM mscores, mp),
 c AS (SELECT g.model, g.category,
              count(*) FILTER (WHERE s.y_true = g.label_id AND s.y_pred = g.label_id) AS tp,
@@ -238,10 +245,9 @@ FROM c""")
 def f1_by_label_map(spark, sf_dir):
     """One-vs-rest F1 per mapped label keyed by category; the last label of a category wins.
 
-    The mapping is the first ten dictionary rows (the label ids the predictions use).
+    The mapping is the whole dictionary.
     """
-    dim = _nsl_dim(spark).where(F.col("label_id") < 10) \
-        .select(F.col("label_id").alias("position"), "label_id", "category")
+    dim = _label_dictionary(spark).select(F.col("label_id").alias("position"), "label_id", "category")
     return _r(M.f1_by_label_map(multiclass_scores(spark, sf_dir), dim, ["model"]), ["f1"])
 
 

@@ -36,15 +36,15 @@ def top_k_features(spark, sf_dir):
     return top.select("position", "feature", rounded(F.col("importance")).alias("importance"))
 
 
-_LOGITS = "list_transform(list_slice(embedding, 1, 10), lambda v: CAST(v AS DOUBLE))"
+_LOGITS = "list_transform(embedding, lambda v: CAST(v AS DOUBLE))"
 
 
 @register("argmax_predict", sql=f"""SELECT vec_id, label AS y_true,
   CAST(list_position({_LOGITS}, list_max({_LOGITS})) - 1 AS INTEGER) AS y_pred FROM embeddings""")
 def argmax_predict(spark, sf_dir):
-    """Predicted class = argmax of a score row (first ten embedding values as class scores)."""
+    """Predicted class = argmax of a score row (the 64 embedding values as class scores)."""
     e = table(spark, sf_dir, "embeddings")
-    logits = F.transform(F.slice("embedding", 1, 10), lambda v: v.cast("double"))
+    logits = F.transform("embedding", lambda v: v.cast("double"))
     return e.select("vec_id", F.col("label").alias("y_true"), argmax(logits).alias("y_pred"))
 
 
@@ -55,6 +55,6 @@ SELECT vec_id, CAST(unnest(range(len(ez))) AS INTEGER) AS class_id,
 def softmax_rows(spark, sf_dir):
     """Softmax of each score row, one output row per class."""
     e = table(spark, sf_dir, "embeddings")
-    logits = F.transform(F.slice("embedding", 1, 10), lambda v: v.cast("double"))
+    logits = F.transform("embedding", lambda v: v.cast("double"))
     p = e.select("vec_id", F.posexplode(softmax(logits)).alias("class_id", "prob"))
     return p.select("vec_id", F.col("class_id").cast("int").alias("class_id"), rounded(F.col("prob")).alias("prob"))

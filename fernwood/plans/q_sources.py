@@ -42,7 +42,7 @@ def label_dim_compose(spark, sf_dir):
     names, cats = event_label_frames(spark)
     dim = compose_label_dim(names, cats)
     ev = table(spark, sf_dir, "events").select(F.col("event_type").alias("name"))
-    return ev.join(F.broadcast(dim), "name", "inner").groupBy("label_id", "name", "category", "category_id") \
+    return ev.join(dim, "name", "inner").groupBy("label_id", "name", "category", "category_id") \
         .agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -108,10 +108,9 @@ newm AS (SELECT model, 'binary' AS task, 'f1' AS metric, -1 AS class_id,
                 round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END, 6) AS value FROM qn)
 SELECT * FROM lng WHERE model NOT IN (SELECT model FROM newm) UNION ALL SELECT * FROM newm""")
 def metrics_upsert(spark, sf_dir):
-    """Stored metrics (written as Parquet) with one model's rows replaced by a new evaluation."""
+    """A metrics store on disk in which one model's rows are replaced by a new evaluation."""
     path = scratch_path(spark, "metrics-store")
     D.write_metrics(metrics_table(spark, sf_dir), path, "parquet")
-    stored = D.read_metrics(spark, path, "parquet")
     from fernwood.operators import metrics as M
     from fernwood.operators.compare import metrics_long as to_long
     s = binary_scores(spark, sf_dir, truth="quality").where(F.col("model") == "len_300")
@@ -119,7 +118,8 @@ def metrics_upsert(spark, sf_dir):
     f1 = c.select("model", rounded(F.when(2 * F.col("tp") + F.col("fp") + F.col("fn") == 0, 0.0)
                                    .otherwise(2 * F.col("tp") / (2 * F.col("tp") + F.col("fp") + F.col("fn"))))
                   .alias("f1"))
-    return D.upsert_metrics(stored, to_long(f1, "binary", ["f1"]))
+    D.upsert_stored_metrics(spark, path, to_long(f1, "binary", ["f1"]))
+    return D.read_metrics(spark, path, "parquet")
 
 
 _S_COLS = ["value", "k", "hour"]

@@ -6,8 +6,9 @@ data.  These helpers give the jobs rows of the schema they expect:
 * ``connection_log``: ``events`` as a labelled log.  ``event_type`` is the
   label (``view`` plays ``normal``), ``value`` and the JSON counter ``k`` are
   long-tailed numbers, ``user_id`` is a high-cardinality category and the
-  weekday a low-cardinality one.  ``event_id % 5 = 0`` is the fixed test split;
-  the training split has no ``signup`` rows, so one label is unseen at fit time.
+  weekday a low-cardinality one.  ``event_id % 5 = 0`` is the fixed test split.
+  ``unseen_case`` drops one label from the training split, for the queries about
+  labels that are unseen at fit time.
 * ``binary_scores``: ``documents`` joined to ``labels``; three fixed scoring
   rules on the text length stand in for model outputs against ``toxic``.
 * ``multiclass_scores``: ``embeddings`` with a fixed rule as prediction.
@@ -48,7 +49,7 @@ def connection_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shape_connection(ev: DataFrame) -> DataFrame:
     """Rename/cast ``events`` columns into the connection-log shape (batch or stream)."""
-    df = ev.select(
+    return ev.select(
         F.col("event_id").alias("key"),
         F.when(F.col("event_id") % 5 == 0, "test").otherwise("train").alias("split"),
         F.col("value"),
@@ -59,7 +60,11 @@ def shape_connection(ev: DataFrame) -> DataFrame:
         F.date_format("ts", "EEE").alias("flag"),
         F.col("event_type").alias("label"),
     )
-    return df.where(~((F.col("split") == "train") & (F.col("label") == UNSEEN_IN_TRAIN)))
+
+
+def unseen_case(c: DataFrame) -> DataFrame:
+    """The log of the two queries on labels unseen at fit time: no training row has ``UNSEEN_IN_TRAIN``."""
+    return c.where(~((F.col("split") == "train") & (F.col("label") == UNSEEN_IN_TRAIN)))
 
 
 CONNECTION_SQL = """conn AS (
@@ -73,8 +78,10 @@ CONNECTION_SQL = """conn AS (
          strftime(ts, '%a') AS flag,
          event_type AS label
   FROM events
-  WHERE NOT (event_id % 5 <> 0 AND event_type = 'signup')
 )"""
+# the log of the two queries on labels unseen at fit time
+UNSEEN_SQL = CONNECTION_SQL.replace(
+    "FROM events\n", f"FROM events WHERE NOT (event_id % 5 <> 0 AND event_type = '{UNSEEN_IN_TRAIN}')\n")
 
 EVENT_LABELS_SQL = "event_labels(label_id, name, category) AS (VALUES " + ", ".join(
     f"({i}, '{n}', '{c}')" for i, n, c in EVENT_LABELS) + ")"

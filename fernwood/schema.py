@@ -93,3 +93,11 @@ def compose_label_dim(names: DataFrame, cats: DataFrame,
     return (names.join(cats, "label_id", "inner")
             .join(F.broadcast(order), "category", "left")
             .select("label_id", "name", "category", "category_id"))
+
+
+def read_id_dictionary(spark: SparkSession, path: str, value: str) -> DataFrame:
+    """``(label_id int, <value> string)`` from a JSON object file ``{"0": "name", ...}``."""
+    text = spark.read.text(path, wholetext=True)
+    entries = F.from_json("value", "map<string,string>", {"mode": "FAILFAST"})
+    return text.select(F.explode(entries).alias("k", "v")).select(
+        F.col("k").cast("int").alias("label_id"), F.col("v").alias(value))

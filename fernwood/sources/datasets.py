@@ -38,13 +38,7 @@ def save_prepared(frames: dict[str, DataFrame], path: str, task: str) -> None:
     df = parts[0]
     for p in parts[1:]:
         df = df.unionByName(p, allowMissingColumns=True)
-    spark = df.sparkSession
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy("task", "split").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("task", "split").parquet(path)
 
 
 def load_prepared(spark: SparkSession, path: str, task: str, split: str) -> DataFrame:
@@ -94,5 +88,10 @@ def read_metrics(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame
 def upsert_metrics(stored: DataFrame, new: DataFrame) -> DataFrame:
     """Replace every stored row of the models present in ``new``; keep the rest."""
     models = new.select("model").distinct()
-    # the set of models being replaced is tiny
-    return stored.join(F.broadcast(models), "model", "left_anti").unionByName(new)
+    return stored.join(models, "model", "left_anti").unionByName(new)
+
+
+def upsert_stored_metrics(spark: SparkSession, path: str, new: DataFrame, fmt: str = "parquet") -> None:
+    """The same in the store itself: only the folders of the models in ``new`` are replaced."""
+    new.select("model", "task", "metric", "class_id", "value").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("model").format(fmt).save(path)
