@@ -57,6 +57,8 @@ def _rank_values(distinct: DataFrame, offset: dict[str, int] | None = None) -> D
 
 def fit_vocabulary(df: DataFrame, cols: Sequence[str]) -> Vocabulary:
     """Sorted distinct values of each column, id = rank - 1."""
+    if not cols:
+        return Vocabulary(df.sparkSession.createDataFrame([], "feature string, value string, id int"), {})
     distinct = _long_values(df, cols).distinct()
     sizes = {r["feature"]: r["n"] for r in
              distinct.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -67,6 +69,8 @@ def fit_vocabulary(df: DataFrame, cols: Sequence[str]) -> Vocabulary:
 
 def extend_vocabulary(vocab: Vocabulary, df: DataFrame, cols: Sequence[str]) -> Vocabulary:
     """A new vocabulary with values unseen at fit time appended (sorted among themselves)."""
+    if not cols:
+        return vocab
     seen = _long_values(df, cols).distinct()
     known = vocab.table.select("feature", "value")
     new = seen.join(known, ["feature", "value"], "left_anti")

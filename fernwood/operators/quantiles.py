@@ -8,12 +8,13 @@ non-null values.
 Spark's own ``percentile`` keeps a value->count map of the whole column in one
 task, which does not survive a high-cardinality column at scale.  Here:
 
-* columns are stacked to ``(column, value)`` and pre-aggregated to distinct
-  values with counts (map-side combine, so a hot value is one row);
-* cumulative counts per column come from :func:`running_total` (range buckets, no
-  single-task window);
-* the few rows that hold the target ranks are found with an equi-join on the
-  column name against a tiny broadcast table of targets.
+* one aggregate takes the number of values and a quantile sketch per column; the sketch
+  gives, for every target, a bracket of values that must hold the target ranks;
+* one more aggregate counts the values below each bracket and keeps the distinct values
+  inside with their counts, a few hundredths of a percent of the rows: only these are
+  shuffled.  A bracket that misses its ranks is widened and counted again;
+* :func:`running_total` ranks the values inside a bracket (range buckets, no single-task
+  window), and the rows that hold the target ranks are found by an equi-join.
 
 ``method="approx"`` switches to ``percentile_approx`` for very wide frames
 where an approximate answer is acceptable.
@@ -23,13 +24,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark import StorageLevel
 from pyspark.sql.types import NumericType, BooleanType
 
 from fernwood.operators.ranking import running_total
+from fernwood.session import write_scratch
+
+#: of the quantile sketch; a rank is off by one in so many at most
+ACCURACY = 10000
 
 
 def numeric_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list[str]:
@@ -81,40 +86,62 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         raise ValueError(f"unknown quantile method {method!r}")
 
     keys = [*group_cols, "feature"]
-    vc = value_counts(df, cols, group_cols).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = vc.groupBy(*keys).agg(F.sum("cnt").alias("n")).collect()
-        if not stats:
-            return _empty(spark, df, group_cols)
-        # target ranks per (column, prob): h = (n-1)q, floor and ceil (0-based)
-        trows = []
-        for r in stats:
-            for p in probs:
-                h = (r["n"] - 1) * float(p)
-                trows.append((*[r[k] for k in keys], float(p), h, math.floor(h), math.ceil(h)))
-        key_fields = [df.schema[g].simpleString().split(":", 1)[1] for g in group_cols]
-        tschema = ", ".join([f"`{g}` {t}" for g, t in zip(group_cols, key_fields)]
-                            + ["feature string", "prob double", "h double", "lo long", "hi long"])
-        targets = spark.createDataFrame(trows, tschema)
-        ranks = targets.select(*keys, "prob", F.explode(F.array("lo", "hi")).alias("r"))
-        cum = running_total(vc, [("value", True)], {"cum": "cnt"}, keys)
-        # bounded: columns x probs x 2 rows per group
-        hits = (
-            cum.join(F.broadcast(ranks), keys, "inner")
-            .where((F.col("cum") - F.col("cnt") <= F.col("r")) & (F.col("r") < F.col("cum")))
-            .select(*keys, "prob", "r", "value")
-        )
-        found = {(*[h[k] for k in keys], h["prob"], h["r"]): h["value"] for h in hits.collect()}
-    finally:
-        vc.unpersist()
+    key_fields = [f"`{g}` {df.schema[g].dataType.simpleString()}" for g in group_cols] + ["feature string"]
+    probs = [float(p) for p in probs]
+    long = stack_long(df, cols, keep=group_cols).where(F.col("value").isNotNull())
+    around = 2.0 / ACCURACY
+    edges = [x for p in probs for x in (max(0.0, p - around), min(1.0, p + around))]
+    stats = long.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), F.max("value").alias("most"),
+        F.percentile_approx("value", edges, ACCURACY).alias("edges")).collect()
+    if not stats:
+        return _empty(spark, df, group_cols)
+
+    targets, brackets = [], {}
+    for r in stats:
+        kv = tuple(r[k] for k in keys)
+        for i, p in enumerate(probs):
+            h = (r["n"] - 1) * p
+            targets.append((*kv, i, h, math.floor(h), math.ceil(h)))
+            brackets[(*kv, i)] = (r["edges"][2 * i], r["edges"][2 * i + 1])
+    widest = {tuple(r[k] for k in keys): (r["least"], r["most"]) for r in stats}
+    found: dict = {}
+    open_targets = targets
+    while open_targets:
+        found.update(_bracketed(spark, long, keys, key_fields, open_targets, brackets))
+        # the sketch's bound makes a miss unlikely; the next round searches the whole column
+        open_targets = [t for t in open_targets if any((*t[:-3], r) not in found for r in t[-2:])]
+        brackets.update({t[:-3]: widest[t[:-4]] for t in open_targets})
     out = []
-    for t in trows:
-        *kv, p, h, lo, hi = t
-        a, b = found[(*kv, p, lo)], found[(*kv, p, hi)]
-        out.append((*kv, p, a + (b - a) * (h - lo)))
-    oschema = ", ".join([f"`{g}` {t}" for g, t in zip(group_cols, key_fields)]
-                        + ["feature string", "prob double", "quantile double"])
-    return spark.createDataFrame(out, oschema)
+    for *kv, i, h, lo, hi in targets:
+        a, b = found[(*kv, i, lo)], found[(*kv, i, hi)]
+        out.append((*kv, probs[i], a + (b - a) * (h - lo)))
+    return spark.createDataFrame(out, ", ".join([*key_fields, "prob double", "quantile double"]))
+
+
+def _bracketed(spark, long: DataFrame, keys: list[str], key_fields: list[str], targets: list, brackets: dict) -> dict:
+    """``{(key..., target, rank): value}`` of the ranks that lie in their target's bracket."""
+    rows: dict[tuple, list] = {}
+    for t in targets:
+        rows.setdefault(t[:-4], []).append((t[-4], *brackets[t[:-3]]))
+    # one row per group and column, with its brackets
+    table = spark.createDataFrame([(*kv, b) for kv, b in rows.items()], ", ".join(
+        [*[f"{f.replace('`', '`_k_', 1)}" if f.startswith("`") else f"_k_{f}" for f in key_fields],
+         "b array<struct<i:int,lo:double,hi:double>>"]))
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    met = long.join(table, same).select(*keys, "value", F.explode("b").alias("b")).where(F.col("value") <= F.col("b.hi"))
+    # below a bracket only the number counts: those values fall together into one row
+    inside = met.select(*keys, F.col("b.i").alias("i"),
+                        F.when(F.col("value") >= F.col("b.lo"), F.col("value")).alias("value"))
+    counted = write_scratch(inside.groupBy(*keys, "i", "value").agg(F.count(F.lit(1)).alias("cnt")), "brackets")
+    # nulls come first, so the running count of the values inside starts from the rows below
+    cum = running_total(counted, [("value", True)], {"cum": "cnt"}, [*keys, "i"]).where(F.col("value").isNotNull())
+    ranks = spark.createDataFrame([(*t[:-4], t[-4], r) for t in targets for r in sorted({t[-2], t[-1]})], ", ".join(
+        [*[f"{f.replace('`', '`_k_', 1)}" if f.startswith("`") else f"_k_{f}" for f in key_fields],
+         "_i int", "r long"]))
+    hits = cum.join(ranks, same & (F.col("i") == F.col("_i"))).where(
+        (F.col("cum") - F.col("cnt") <= F.col("r")) & (F.col("r") < F.col("cum")))
+    return {(*[h[k] for k in keys], h["i"], h["r"]): h["value"] for h in hits.select(*keys, "i", "r", "value").collect()}
 
 
 def _empty(spark, df, group_cols):

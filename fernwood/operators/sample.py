@@ -24,8 +24,6 @@ from pyspark.sql import functions as F
 from fernwood.functions import hash32, squared_distance, unit_draw
 from fernwood.operators.ranking import global_rank
 
-# Rows of a fitted or bounded table that may be broadcast
-BROADCAST_ROWS = 1_000_000
 # Synthetic rows produced by one task
 CHUNK_ROWS = 100_000
 
@@ -207,7 +205,7 @@ def smote(df: DataFrame, key: str, label: str, features: str, targets: Sequence[
     its ``(hash(c, i, seed, 'nbr') mod k) + 1``-th nearest same-class row,
     ``u = draw(c, i, seed, 'gap')`` and ``x_new = x + u * (x_nbr - x)``.
     Output: ``(label, sample_id, is_synthetic, features)``; synthetic ids are
-    ``-(i + 1)`` within their class.
+    ``-(offset + i + 1)`` with the rows made for smaller classes as offset, so they are unique.
     """
     counts = class_counts(df, label)
     check_smote_sizes(counts, targets, k)
@@ -217,44 +215,39 @@ def smote(df: DataFrame, key: str, label: str, features: str, targets: Sequence[
     orig = df.select(F.col(label).alias(label), F.col(key).cast("long").alias("sample_id"),
                      F.lit(False).alias("is_synthetic"),
                      F.transform(features, lambda v: v.cast("double")).alias(features))
-    chunks = [(c, j, int(min(CHUNK_ROWS, to_make - j * CHUNK_ROWS)))
-              for c, (have, to_make) in plan.items() if to_make > 0
+    offset, before = {}, 0
+    for c in sorted(plan):
+        offset[c], before = before, before + plan[c][1]
+    chunks = [(c, offset[c], h, j, int(min(CHUNK_ROWS, to_make - j * CHUNK_ROWS)))
+              for c, (h, to_make) in plan.items() if to_make > 0
               for j in range(math.ceil(to_make / CHUNK_ROWS))]
     if not chunks:
         return orig
     pool = df.where(F.col(label).isin(list(plan))).select(
         F.col(label).alias("cls"), F.col(key).alias("key"),
         F.transform(features, lambda v: v.cast("double")).alias("x"))
-    pool_rows = sum(h for h, _ in plan.values())
     base_ranked = global_rank(pool, [("key", True)], ["cls"], "br")
     knn = knn_within_class(df.where(F.col(label).isin(list(plan))), key, label, features, k)
 
-    n_tasks = max(1, min(len(chunks), int(spark.conf.get("spark.sql.shuffle.partitions", "8"))))
-    chunk_df = spark.createDataFrame(chunks, "cls int, chunk int, n int").repartition(n_tasks)
-    have_map = F.create_map(*[x for c, (h, _) in plan.items() for x in (F.lit(c), F.lit(int(h)))])
-    syn = chunk_df.select("cls", F.explode(F.sequence(
+    # a task per chunk of synthetic rows
+    chunk_df = spark.createDataFrame(chunks, "cls int, off long, have long, chunk int, n int").repartition(len(chunks))
+    syn = chunk_df.select("cls", "off", "have", F.explode(F.sequence(
         F.col("chunk") * CHUNK_ROWS, F.col("chunk") * CHUNK_ROWS + F.col("n") - 1)).alias("i"))
     syn = syn.select(
-        "cls", "i",
-        (F.pmod(hash32(F.col("cls"), F.col("i"), seed, "base"), element(have_map)) + 1).alias("br"),
+        "cls", "off", "i",
+        (F.pmod(hash32(F.col("cls"), F.col("i"), seed, "base"), F.col("have")) + 1).alias("br"),
         (F.pmod(hash32(F.col("cls"), F.col("i"), seed, "nbr"), F.lit(k)) + 1).cast("int").alias("nbr_rank"),
         unit_draw(F.col("cls"), F.col("i"), seed, "gap").alias("u"))
 
-    def maybe_b(t, n):
-        return F.broadcast(t) if n <= BROADCAST_ROWS else t
-
     base = base_ranked.select("cls", "br", F.col("key").alias("bkey"), F.col("x").alias("bx"))
-    s1 = syn.join(maybe_b(base, pool_rows), ["cls", "br"], "inner")
+    s1 = syn.join(base, ["cls", "br"], "inner")
     nb = knn.select(F.col(label).alias("cls"), F.col(key).alias("bkey"), "nbr_rank", "nbr_key")
-    s2 = s1.join(maybe_b(nb, pool_rows * k), ["cls", "bkey", "nbr_rank"], "inner")
+    s2 = s1.join(nb, ["cls", "bkey", "nbr_rank"], "inner")
     nx = pool.select(F.col("key").alias("nbr_key"), F.col("x").alias("nx"))
-    s3 = s2.join(maybe_b(nx, pool_rows), "nbr_key", "inner")
+    s3 = s2.join(nx, "nbr_key", "inner")
     new = s3.select(
-        F.col("cls").alias(label), (-(F.col("i") + 1)).cast("long").alias("sample_id"),
+        F.col("cls").alias(label), (-(F.col("off") + F.col("i") + 1)).cast("long").alias("sample_id"),
         F.lit(True).alias("is_synthetic"),
         F.zip_with("bx", "nx", lambda a, b: a + F.col("u") * (b - a)).alias(features))
     return orig.unionByName(new)
 
-
-def element(m: F.Column) -> F.Column:
-    return F.element_at(m, F.col("cls"))

@@ -163,11 +163,11 @@ def correlation_matrix(spark, sf_dir):
     return c.withColumn("r", rounded(F.col("r")))
 
 
-@register("correlated_pairs", sql=f"SELECT * FROM ({_CORR_SQL}) WHERE abs(r) >= 0.05")
+@register("correlated_pairs", sql=f"SELECT * FROM ({_CORR_SQL}) WHERE abs(r) >= 0.003")
 def correlated_pairs(spark, sf_dir):
-    """C11: pairs whose absolute correlation reaches the threshold (0.05 here)."""
+    """C11: pairs whose absolute correlation reaches the threshold (0.003 here)."""
     c = audit.correlation_matrix(table(spark, sf_dir, "lineitem"), _CORR_COLS)
-    return audit.correlated_pairs(c, 0.05).withColumn("r", rounded(F.col("r")))
+    return audit.correlated_pairs(c, 0.003).withColumn("r", rounded(F.col("r")))
 
 
 _BA_SQL = f"""WITH {CONNECTION_SQL},

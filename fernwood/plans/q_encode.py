@@ -157,15 +157,18 @@ def drop_columns(spark, sf_dir):
     return connection_log(spark, sf_dir).drop("label", "split")
 
 
-@register("select_fitted_columns", sql=f"""WITH {CONNECTION_SQL},
-v AS (SELECT var_pop(value) AS v_value, var_pop(k) AS v_k, var_pop(hour) AS v_hour, var_pop(user_id) AS v_user_id
-      FROM conn WHERE split = 'train')
-SELECT key, value, k, hour, user_id FROM conn, v WHERE split = 'test'""")
+_FIT_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("select_fitted_columns", sql=" UNION ALL ".join(
+    f"""SELECT l_orderkey, l_linenumber, '{c}' AS feature, {c} AS value FROM lineitem WHERE l_linenumber = 1
+        AND (SELECT var_pop({c}) FROM lineitem WHERE l_linenumber <> 1) > 0.01""" for c in _FIT_COLS))
 def select_fitted_columns(spark, sf_dir):
-    """B2: columns chosen on train (variance filter) projected onto the test split."""
-    c = connection_log(spark, sf_dir)
-    cols = sel.variance_filter(c.where(F.col("split") == "train"), ["value", "k", "hour", "user_id"])
-    return c.where(F.col("split") == "test").select("key", *cols)
+    """B2: columns chosen on one part of the rows (variance filter), projected onto the other part."""
+    rows = table(spark, sf_dir, "lineitem")
+    cols = sel.variance_filter(rows.where(F.col("l_linenumber") != 1), _FIT_COLS)
+    keys = ["l_orderkey", "l_linenumber"]
+    return rows.where(F.col("l_linenumber") == 1).select(*keys, *cols).unpivot(keys, cols, "feature", "value")
 
 
 def _dim_sql() -> str:

@@ -112,13 +112,15 @@ _SMOTE_SQL = f"""WITH {_TARGETS_SQL}, {_KNN_SQL},
 br AS (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS br,
               list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings
        WHERE label IN (SELECT class_id FROM plan)),
-syn AS (SELECT class_id AS cls, have, unnest(range(to_make)) AS i FROM plan WHERE to_make > 0),
-draws AS (SELECT cls, i,
+syn AS (SELECT class_id AS cls, have, off, unnest(range(to_make)) AS i FROM (
+          SELECT *, coalesce(sum(to_make) OVER (ORDER BY class_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                    AS off FROM plan) WHERE to_make > 0),
+draws AS (SELECT cls, off, i,
    {_h("CAST(cls AS VARCHAR) || '|' || CAST(i AS VARCHAR) || '|42|base'")} % have + 1 AS br,
    {_h("CAST(cls AS VARCHAR) || '|' || CAST(i AS VARCHAR) || '|42|nbr'")} % 5 + 1 AS nbr_rank,
    CAST({_h("CAST(cls AS VARCHAR) || '|' || CAST(i AS VARCHAR) || '|42|gap'")} AS DOUBLE) / 4294967296.0 AS u
    FROM syn),
-made AS (SELECT d.cls AS label, -(d.i + 1) AS sample_id, TRUE AS is_synthetic,
+made AS (SELECT d.cls AS label, -(d.off + d.i + 1) AS sample_id, TRUE AS is_synthetic,
    list_transform(list_zip(b.x, n.x), lambda z: z[1] + d.u * (z[2] - z[1])) AS x
    FROM draws d JOIN br b ON b.label = d.cls AND b.br = d.br
    JOIN knn k ON k.label = d.cls AND k.vec_id = b.vec_id AND k.nbr_rank = d.nbr_rank

@@ -16,12 +16,17 @@ _VAR_SQL = f"WITH {CONNECTION_SQL} " + " UNION ALL ".join(
     for i, c in enumerate(_VAR_COLS))
 
 
+_LINE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_LINE_VAR_SQL = " UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS feature, var_pop({c}) AS variance FROM lineitem"
+    for i, c in enumerate(_LINE_COLS))
+
+
 @register("variance_filter", sql=f"""SELECT position, feature, round(variance, 6) AS variance,
-  variance > 0.01 AS kept FROM ({_VAR_SQL})""")
+  variance > 0.01 AS kept FROM ({_LINE_VAR_SQL})""")
 def variance_filter(spark, sf_dir):
     """F1: population variance per column and whether it passes the 0.01 threshold."""
-    tr = connection_log(spark, sf_dir).where(F.col("split") == "train")
-    v = sel.column_variances(tr, _VAR_COLS)
+    v = sel.column_variances(table(spark, sf_dir, "lineitem"), _LINE_COLS)
     return v.select("position", "feature", rounded(F.col("variance")).alias("variance"),
                     (F.col("variance") > sel.DEFAULT_VARIANCE_THRESHOLD).alias("kept"))
 
