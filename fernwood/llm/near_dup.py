@@ -8,17 +8,18 @@ what links connect.
    set.  Documents with equal sets (size and a 128-bit sum of the set) form a class; from
    here on only one row per class is compared.
 2. Inverted lists of retained values.  Linked documents share a known number of retained
-   values: all of ``percent`` for sets that fit in a sketch (exact), else ``overlap_floor``
-   (k times the similarity less five standard deviations of the sampling; a link is missed
-   with a chance under one in a million).  So it is enough to list a document under its
-   rarest retained values, as many as its sketch exceeds that number, plus one: a linked
-   pair still meets in at least one list, and common shingles make no long lists.  Rarity is
-   read from a fixed number of counters over the hash space; any order would be right.
-3. Groups of near copies make long lists of documents that are all alike.  So each list is
-   first compared with one document per size class only (its pivot), links are verified, and
-   groups are formed.  What is left to compare are pairs in a list that are not in one group
-   yet.  While those are many more than the list entries another pivot is drawn; then all of
-   them are compared.  No pair that meets in a list is left out.
+   values: all of ``percent`` for sets that fit in a sketch (exact), else k times the
+   similarity less five standard deviations of the draw (a link is missed with a chance under
+   one in a million).  So it is enough to list a document under its rarest retained values, as
+   many as its sketch exceeds that number, plus three: a linked pair still meets in at least
+   three lists, and common shingles make no long lists.  Rarity is read from a fixed number of
+   counters over the hash space; any order would be right.
+3. Groups of near copies make long lists of documents that are all alike.  So long lists are
+   first compared with one document per list and size class only (its pivot, another one in
+   every list), links are verified, and groups are formed.  While the pairs of a long list that
+   are in different groups are many more than the list entries, more pivots are drawn.  Then
+   every pair of different groups that meets in three lists is compared, in short and long
+   lists.  No such pair is left out.
 4. A pair is checked by size, then by its union sketch (the k smallest values of both: the
    share that both retain estimates the similarity; below the floor it is dropped), then by
    exact Jaccard on the full sets, which are rebuilt from the texts of the documents that
@@ -39,17 +40,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fernwood.llm.common import (
-    maybe_among, mix64, salt_of, salted_groups, salted_lookup, shingle_hashes, slices, text_bytes, word_hashes, written,
+    maybe_among, mix64, shingle_hashes, slices, text_bytes, word_hashes, written,
 )
 
-COUNTERS = 1 << 20
+COUNTERS = 1 << 22
+#: lists of at most this many documents are compared without pivots
+SHORT = 16
 _LONGS = pa.list_(pa.int64())
 
 
-def overlap_floor(k: int, percent: int) -> int:
-    """Retained values that a linked pair of large sets shares, with a margin of 5 deviations."""
+def retained_overlap(n: np.ndarray, k: int, percent: int) -> np.ndarray:
+    """Retained values that a set of ``n`` shingles shares with any set it is linked with.
+
+    Exact where both sets fit in a sketch.  Else the k smallest values of the union are a draw
+    without replacement of which at least ``percent`` are shared: the mean less 5 deviations
+    for the largest possible union.
+    """
     j = percent / 100
-    return max(1, math.floor(k * j - 5 * math.sqrt(k * j * (1 - j))))
+    n = np.asarray(n, np.int64)
+    left = np.clip(1 - k * j / np.maximum(n, 1), 0, 1)
+    drawn = np.floor(k * j - 5 * np.sqrt(k * j * (1 - j) * left)).astype(np.int64)
+    return np.where(100 * n <= percent * k, -(-percent * n // 100), np.maximum(drawn, 1))
 
 
 def set_rows(column: pa.Array, size: int) -> Iterator[tuple[np.ndarray, int, int]]:
@@ -94,23 +105,26 @@ def sketches(docs: DataFrame, size: int, k: int, id_col: str, text_col: str) ->
     return written(rows.withColumn("_row", F.monotonically_increasing_id()), "sketches")
 
 
-def list_entries(nodes: DataFrame, k: int, percent: int) -> DataFrame:
-    """``(value, node, n)``: every node under its rarest retained values."""
+def list_entries(nodes: DataFrame, k: int, percent: int, shared: int) -> DataFrame:
+    """``(value, node, n)``: every node under its rarest retained values.
+
+    With ``shared`` values more than are needed to meet once, linked nodes meet ``shared`` + 1 times.
+    """
     spark = nodes.sparkSession
     slot = F.pmod(F.col("value"), F.lit(COUNTERS)).cast("int")
     counted = nodes.select(F.explode("sketch").alias("value")).groupBy(slot.alias("slot")).agg(
-        F.count(F.lit(1)).alias("n")).toArrow()  # at most COUNTERS rows
-    counters = np.zeros(COUNTERS, np.int64)
+        F.count(F.lit(1)).cast("int").alias("n")).toArrow()  # at most COUNTERS rows
+    counters = np.zeros(COUNTERS, np.int32)
     counters[counted["slot"].to_numpy()] = counted["n"].to_numpy()
-    shared, floor = spark.sparkContext.broadcast(counters), overlap_floor(k, percent)
+    sent = spark.sparkContext.broadcast(counters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rarity = shared.value
+        rarity = sent.value
         for b in batches:
             ids, sizes, found = b.column(0).to_numpy(), b.column(1).to_numpy(), []
-            for n, low in zip(sizes.tolist(), _arrays(b.column(2)), strict=True):
-                need = -(-percent * n // 100) if 100 * n <= percent * k else floor
-                take = len(low) - need + 1
+            needs = retained_overlap(sizes, k, percent).tolist()
+            for need, low in zip(needs, _arrays(b.column(2)), strict=True):
+                take = len(low) - need + 1 + shared
                 if take < len(low):
                     order = np.lexsort((low, rarity[low.view(np.int64) & (COUNTERS - 1)]))
                     low = low[order[:take]]
@@ -123,14 +137,8 @@ def list_entries(nodes: DataFrame, k: int, percent: int) -> DataFrame:
     return nodes.select("node", "n", "sketch").mapInArrow(run, "value long, node long, n long")
 
 
-def _compatible(a, b, percent: int):
-    """Sizes that allow the similarity."""
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
-
-
 def estimated(pairs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
     """``(a, b, sure)``: pairs that pass the union-sketch test; ``sure`` where it was exact."""
-    floor = overlap_floor(k, percent)
     side = nodes.select("node", "n", "sketch")
     both = (pairs.join(side.withColumnsRenamed({"node": "a", "n": "na", "sketch": "sa"}), "a")
             .join(side.withColumnsRenamed({"node": "b", "n": "nb", "sketch": "sb"}), "b")
@@ -140,14 +148,15 @@ def estimated(pairs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataF
         for t in batches:
             keep, sure = [], []
             sizes = np.maximum(t.column(2).to_numpy(), t.column(3).to_numpy())
-            for x, y, n in zip(_arrays(t.column(4)), _arrays(t.column(5)), sizes.tolist(), strict=True):
+            floors = retained_overlap(sizes, k, percent).tolist()
+            for x, y, n, floor in zip(_arrays(t.column(4)), _arrays(t.column(5)), sizes.tolist(), floors, strict=True):
                 common = np.intersect1d(x, y, assume_unique=True)
                 if n <= k:
                     keep.append(100 * len(common) >= percent * (len(x) + len(y) - len(common)))
                     sure.append(True)
                 else:
                     union = np.union1d(x, y)[:k]
-                    keep.append(np.searchsorted(common, union[-1], side="right") >= floor * min(1, len(union) / k))
+                    keep.append(np.searchsorted(common, union[-1], side="right") >= floor)
                     sure.append(False)
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([t.column(0), t.column(1), pa.array(sure, pa.bool_())],
@@ -225,80 +234,90 @@ def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return entries.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
+def list_pairs(entries: DataFrame, percent: int, shared: int) -> DataFrame:
+    """``(a, b)``: pairs of nodes with different labels that meet in more than ``shared`` lists.
+
+    Only pairs of different groups are made: first the pairs of groups in a list, then their
+    members.  Small sets, which have fewer values to share, need to meet in as many as they have.
+    """
+    groups = entries.select("value", "label").distinct()
+    sides = groups.withColumnRenamed("label", "la").join(groups.withColumnRenamed("label", "lb"), "value").filter(
+        "la < lb")
+    first = entries.select("value", F.col("label").alias("la"), F.col("node").alias("x"), F.col("n").alias("nx"))
+    second = entries.select("value", F.col("label").alias("lb"), F.col("node").alias("y"), F.col("n").alias("ny"))
+    met = (sides.join(first, ["value", "la"]).join(second, ["value", "lb"])
+           .filter(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+           .groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+           .agg(F.count(F.lit(1)).alias("c"), F.min(F.least("nx", "ny")).alias("n")))
+    most = F.ceil(F.col("n") * percent / 100)
+    return met.filter(F.col("c") >= F.least(F.lit(shared + 1), most)).select("a", "b")
+
+
 def grouped_rows(docs: DataFrame, size: int, percent: int, k: int, id_col: str, text_col: str, rounds: int,
                  enough: int) -> DataFrame:
     """``(_row, _id, _h, n, label, component_id)`` of every row; ``label`` names its group."""
     rows = sketches(docs, size, k, id_col, text_col)
     filled = rows.filter("n > 0")
-    classes = salted_groups(filled, ["n", "s1", "s2"], F.col("_row"), {"node": (F.min("_row"), "min")})
-    members = written(filled.withColumn("_salt", salt_of("_row")).join(classes, ["n", "s1", "s2", "_salt"]).select(
+    # large classes are pre-aggregated; the join back is one that Spark splits where a key is hot
+    classes = filled.groupBy("n", "s1", "s2").agg(F.min("_row").alias("node"))
+    members = written(filled.join(classes, ["n", "s1", "s2"]).select(
         "_row", "_id", "_h", "n", "s1", "node", F.when(F.col("_row") == F.col("node"), F.col("sketch")).alias("sketch")),
         "members")
     nodes = members.filter(F.col("sketch").isNotNull()).select("node", "_id", "n", "s1", "sketch")
 
-    entries = list_entries(nodes, k, percent)
+    shared = min(2, int(retained_overlap(np.array([1 << 40]), k, percent)[0]) - 1)
+    entries = written(list_entries(nodes, k, percent, shared), "entries")
+    lengths = entries.groupBy("value").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
     step = math.log(100 / percent) if percent < 100 else 1.0
-    entries = written(entries.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / step).cast("int")), "entries")
-    shared = entries.groupBy("value").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("value")
-    entries = written(entries.join(shared, "value"), "lists")
-    n_entries = entries.count()
+    entries = written(entries.join(lengths, "value").withColumn(
+        "band", F.floor(F.log(F.col("n").cast("double")) / step).cast("int")), "lists")
 
     def check(pairs: DataFrame) -> DataFrame:
         return verified(pairs, nodes, docs, k, percent, size, id_col, text_col)
 
-    labels, links, tested = None, None, None
+    labels = links = tested = None
+    before = math.inf
     for turn in range(rounds):
-        now = written(_labelled(entries, labels), "labelled") if labels is not None else entries.withColumn(
-            "label", F.col("node"))
-        order = F.struct(F.xxhash64("node", F.lit(turn)), "node", "n", "label")
-        pivots = now.groupBy("value", "band").agg(F.min(order).alias("p")).select(
+        now = entries.filter(F.col("length") > SHORT)
+        if labels is None:
+            now = now.withColumn("label", F.col("node"))
+        else:
+            now = written(_labelled(now, labels), "labelled")
+            # pairs of a long list that lie in different groups
+            per = now.groupBy("value", "label").agg(F.count(F.lit(1)).cast("double").alias("c")).groupBy("value").agg(
+                (F.pow(F.sum("c"), 2) - F.sum(F.col("c") * F.col("c"))).alias("open"))
+            still = per.agg(F.coalesce(F.sum("open"), F.lit(0.0))).first()[0]
+            # few are left, or pivots no longer help: documents that share much and are not linked
+            if still <= 2 * enough * now.count() or 2 * still > before:
+                break
+            before = still
+        # every list has its own pivots, so a document is compared with as many as it has lists
+        pivots = now.groupBy("value", "band").agg(
+            F.min(F.struct(F.xxhash64("node", "value", F.lit(turn)), "node", "n", "label")).alias("p")).select(
             "value", "band", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.label").alias("pl"))
-        pairs = (now.join(pivots, ["value", "band"]).filter((F.col("label") != F.col("pl")))
-                 .filter(_compatible(F.col("n"), F.col("pn"), percent))
+        pairs = (now.join(pivots, ["value", "band"]).filter(F.col("label") != F.col("pl"))
+                 .filter(100 * F.least("n", "pn") >= percent * F.greatest("n", "pn"))
                  .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
+        pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = check(pairs)
         links = found if links is None else links.unionByName(found)
         labels = components(links)
-        now = written(_labelled(entries, labels), "labelled")
-        # pairs of a list that lie in different groups
-        per = now.groupBy("value", "label").agg(F.count(F.lit(1)).cast("double").alias("c"))
-        per = per.groupBy("value").agg((F.pow(F.sum("c"), 2) - F.sum(F.col("c") * F.col("c"))).alias("open"),
-                                       F.count(F.lit(1)).alias("groups")).filter("groups > 1")
-        if (per.agg(F.coalesce(F.sum("open"), F.lit(0.0))).first()[0]) <= 2 * enough * n_entries:
-            break
-
-    left = written(now.join(per.select("value"), "value", "left_semi"), "open")
-    groups = left.select("value", "label").distinct()
-    sides = groups.withColumnRenamed("label", "la").join(groups.withColumnRenamed("label", "lb"), "value").filter("la < lb")
-    first = left.select("value", F.col("label").alias("la"), F.col("node").alias("x"), F.col("n").alias("nx"))
-    second = left.select("value", F.col("label").alias("lb"), F.col("node").alias("y"), F.col("n").alias("ny"))
-    pairs = (sides.join(first, ["value", "la"]).join(second, ["value", "lb"])
-             .filter(_compatible(F.col("nx"), F.col("ny"), percent))
-             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-             .join(tested, ["a", "b"], "left_anti"))
-    found = check(written(pairs, "pairs"))
-    if not found.isEmpty():
-        labels = components(links.unionByName(found))
-
-    grouped = written(salted_lookup_left(members.select("_row", "_id", "_h", "n", "node"), labels), "grouped")
-    smallest = salted_groups(grouped, ["label"], F.col("_row"), {"component_id": (F.min("_id"), "min")})
-    out = grouped.withColumn("_salt", salt_of("_row")).join(smallest, ["label", "_salt"])
+
+    left = written(_labelled(entries, labels) if labels is not None else entries.withColumn("label", F.col("node")), "open")
+    pairs = list_pairs(left, percent, shared)
+    found = check(written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs"))
+    labels = components(found if links is None else links.unionByName(found))
+
+    everyone = nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    grouped = written(members.select("_row", "_id", "_h", "n", "node").join(everyone, "node"), "grouped")
+    smallest = grouped.groupBy("label").agg(F.min("_id").alias("component_id"))
+    out = grouped.join(smallest, "label")
     empty = rows.filter("n = 0").withColumns({"component_id": F.col("_id"), "label": F.col("_row")})
     columns = ["_row", "_id", "_h", "n", "label", "component_id"]
     return out.select(columns).unionByName(empty.select(columns))
 
 
-def salted_lookup_left(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members with their group's label; a class without links is its own group."""
-    all_labels = members.select("node").distinct().join(labels, "node", "left").select(
-        "node", F.coalesce("label", "node").alias("label"))
-    return salted_lookup(members, all_labels, "node", F.col("_row"))
-
-
 def near_duplicate_groups(docs: DataFrame, size: int = 5, percent: int = 80, k: int = 64, id_col: str = "doc_id",
                           text_col: str = "text", rounds: int = 4, enough: int = 4) -> DataFrame:
     """One row per input row: ``id_col, n_shingles, component_id, kept``.
