@@ -237,12 +237,14 @@ def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
 def list_pairs(entries: DataFrame, percent: int, shared: int) -> DataFrame:
     """``(a, b)``: pairs of nodes with different labels that meet in more than ``shared`` lists.
 
-    Only pairs of different groups are made: first the pairs of groups in a list, then their
-    members.  Small sets, which have fewer values to share, need to meet in as many as they have.
+    Only pairs of different groups are made: first the pairs of groups in a list whose sizes
+    allow a link, then their members.  Small sets, which have fewer values to share, need to meet in as many as they have.
     """
-    groups = entries.select("value", "label").distinct()
-    sides = groups.withColumnRenamed("label", "la").join(groups.withColumnRenamed("label", "lb"), "value").filter(
-        "la < lb")
+    groups = entries.groupBy("value", "label").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    others = groups.withColumnsRenamed({"label": "lb", "low": "other_low", "high": "other_high"})
+    sides = groups.withColumnRenamed("label", "la").join(others, "value").filter(
+        (F.col("la") < F.col("lb")) & (100 * F.col("high") >= percent * F.col("other_low"))
+        & (100 * F.col("other_high") >= percent * F.col("low"))).select("value", "la", "lb")
     first = entries.select("value", F.col("label").alias("la"), F.col("node").alias("x"), F.col("n").alias("nx"))
     second = entries.select("value", F.col("label").alias("lb"), F.col("node").alias("y"), F.col("n").alias("ny"))
     met = (sides.join(first, ["value", "la"]).join(second, ["value", "lb"])
