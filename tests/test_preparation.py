@@ -13,6 +13,7 @@ from fernwood.sources.csv_scan import check_columns, scan_headerless_csv
 
 
 def _conn_sample(spark):
+    # fixed values of the ported fixture
     cols = {
         "duration": [0, 1, 2, 3, 4, 5, 6, 7],
         "protocol_type": ["tcp", "udp", "icmp", "tcp", "udp", "icmp", "tcp", "udp"],
@@ -34,7 +35,7 @@ def test_column_contract():
 
 
 def test_headerless_csv_scan(spark):
-    path = scratch_path(spark, "kdd")
+    path = scratch_path(spark, "connections")
     row = ["0", "tcp", "http", "SF"] + ["1"] * 37 + ["normal", "20"]
     spark.createDataFrame([tuple(row)] * 3, [f"c{i}" for i in range(43)]).write.csv(path)
     df = scan_headerless_csv(spark, path)

@@ -170,17 +170,22 @@ def test_probabilities_sum_to_one(spark, prepared):
         assert all(r["p"] == pytest.approx(1.0) for r in s.collect())
 
 
-def test_grids_have_every_combination_and_one_best(spark):
-    assert len(learn.rf_grid(learn.forest())) == 24
-    rows = q_learn.grid_search_dt(spark, SF_SMALL).collect()
-    assert len(rows) == len({r["params"] for r in rows}) == 30 and sum(r["best"] for r in rows) == 1
-    best = max(r["cv_score"] for r in rows)
-    assert next(r["cv_score"] for r in rows if r["best"]) == best
-
-
-def test_perceptron_grid_refits_the_winner(spark):
+def test_grids_have_every_combination_and_one_best(spark, prepared):
+    tree = learn.decision_tree(weight_col="weight")
+    assert len(learn.dt_grid(tree)) == 30 and len(learn.rf_grid(learn.forest())) == 24
+    folds = sample.stratified_folds(prepared[0], "y", "key", 3)
+    grid = learn.dt_grid(tree, {"max_depth": [2, 4], "min_samples_split": [2], "criterion": ["gini"]})
+    _, params, best, scores = learn.grid_search(tree, grid, folds, learn.MacroF1Evaluator(positive_only=True))
+    rows = q_learn._cv_rows(spark, grid, scores, params).collect()
+    assert len(rows) == 2 and sum(r["best"] for r in rows) == 1
+    assert next(r["cv_score"] for r in rows if r["best"]) == best == max(scores)
+
+
+def test_perceptron_grid_refits_the_winner(spark, monkeypatch):
+    assert len(learn.MLP_PARAM_GRID["hidden_dims"]) * len(learn.MLP_PARAM_GRID["solver"]) == 6
+    monkeypatch.setattr(learn, "MLP_PARAM_GRID", {"hidden_dims": [(8,), (4,)], "solver": ["l-bfgs"]})
     rows = q_learn.grid_search_mlp(spark, SF_SMALL).collect()
-    assert len(rows) == 6 and sum(r["chosen"] for r in rows) == 1
+    assert len(rows) == 2 and sum(r["chosen"] for r in rows) == 1
     assert all((r["refit_f1"] is not None) == r["chosen"] for r in rows)
     assert next(r["val_f1"] for r in rows if r["chosen"]) == max(r["val_f1"] for r in rows)
 
