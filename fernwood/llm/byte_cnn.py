@@ -166,7 +166,7 @@ def fit(texts: list[str], labels: list[int], steps: int = 400, batch: int = 16,
 def predict(net: Filters, column: pa.Array) -> np.ndarray:
     """Probabilities of a column of texts (null: empty)."""
     out = []
-    for lo, hi in slices(column, 1 << 19):
+    for lo, hi in slices(column, 1 << 18):
         data, offsets = text_bytes(column.slice(lo, hi - lo))
         out.append(sigmoid(Packed(data, offsets).forward(net)[0].astype(np.float64)))
     return np.concatenate(out) if out else np.zeros(0)

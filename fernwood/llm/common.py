@@ -238,7 +238,7 @@ def shingle_hashes(words: np.ndarray, word_offsets: np.ndarray, size: int) -> tu
     return out, offsets
 
 
-def slices(column: pa.Array, max_bytes: int = 1 << 22) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of at most about ``max_bytes`` of text each (one long row may exceed it)."""
     _, offsets = text_bytes(column)
     lo, n = 0, len(offsets) - 1
