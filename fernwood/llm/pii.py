@@ -4,8 +4,8 @@ Base spans, leftmost and not overlapping per kind (code points, end exclusive):
 (four numbers of at most 255), card (12 to 19 digits that pass Luhn), phone (``+``, 9 to 15
 digits).  The base spans are the seeds of the method:
 
-1. Occurrences: base spans and candidates (runs of words with a digit or ``@``), each with its
-   lexical patterns: the two words before it, and the words around it.
+1. Occurrences: base spans and candidates (runs of words with a digit or ``@`` that overlap no
+   base span), each with its lexical patterns: the two words before it, and the words around it.
 2. The pattern-instance graph has an edge for every distinct (pattern, instance).  Seeds have
    the score 1 for their kind.  In each round a pattern's confidence for a kind is the sum of
    its instances' scores over their number plus one; patterns with at least ``support`` scored
@@ -13,7 +13,7 @@ digits).  The base spans are the seeds of the method:
    the chance that at least one of its trusted patterns is right, ``1 - prod(1 - confidence)``.
 3. After the last round, candidates in a trusted pattern whose score reaches ``least_score``
    are reported with the pattern's kind, if their shape allows it (an ``@``, or the kind's
-   number of digits) and they overlap no base span.
+   number of digits).
 
 The regular expressions never go back over a character twice: a match can only begin where a
 run of its characters begins or where the match before it ended, and repeats are possessive.
@@ -77,10 +77,25 @@ def _found(text: Column, pattern: str, kind: int, sign: Column) -> Column:
         "array<struct<kind:int,pos:int,gap:int,match:string,left:string,right:string>>"))
 
 
+def without_overlaps(rows: DataFrame) -> DataFrame:
+    """``rows`` without the candidates (kind 4) that overlap a base span of their text.
+
+    Two running bounds over a text's rows instead of a join, so it stays linear in the spans.
+    """
+    base, text = F.col("kind") < 4, Window.partitionBy("_id", "_h")
+    # peers share a start: the default range frame holds them
+    before = F.max(F.when(base, F.col("end"))).over(text.orderBy("start"))
+    behind = F.min(F.when(base, F.col("start"))).over(text.orderBy(F.desc("start")))
+    rows = rows.withColumns({"_before": before, "_behind": behind})
+    hit = (F.col("_before") > F.col("start")) | (F.col("_behind") < F.col("end"))
+    return rows.filter(base | ~F.coalesce(hit, F.lit(False))).drop("_before", "_behind")
+
+
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(_id, _h, kind, match, left, right, start, end)``; kind 4 is a candidate; written.
 
     ``_h`` is a hash of the text: equal rows give the same occurrences, which are kept once.
+    Candidates that overlap a base span of their text are left out.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     signs = [F.contains(text, F.lit(_SIGNS[0])), text.rlike(_SIGNS[1]), text.rlike(_SIGNS[2]),
@@ -94,7 +109,7 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     end = F.sum(F.col("gap") + F.length("match")).over(before).cast("long")
     rows = rows.withColumn("end", end).withColumn("start", F.col("end") - F.length("match"))
     keep = (F.col("kind") == 4) | valid(F.col("kind"), F.col("match"))
-    return written(rows.filter(keep).drop("gap", "pos"), "occurrences")
+    return written(without_overlaps(rows.filter(keep).drop("gap", "pos")), "occurrences")
 
 
 def _word(words: Column, at: int) -> Column:
@@ -128,8 +143,8 @@ def allowed_kinds(match: Column) -> Column:
 def trusted_patterns(edges: DataFrame, rounds: int, support: int, confidence: float) -> tuple[DataFrame, DataFrame] | None:
     """Trusted ``(pattern, kind, conf)`` and ``(instance, kind, score)``; None if there are none.
 
-    ``edges`` has ``(pattern, instance, kind, seed)``, distinct; a candidate has a row for
-    every kind its shape allows.
+    ``edges`` has ``(pattern, instance, kind, seed)``, one row per pattern, instance and kind
+    (so a confidence stays below 1); a candidate has a row for every kind its shape allows.
     """
     size = edges.groupBy("pattern").agg(F.count_distinct("instance").alias("size"))
     seeded = edges.filter("seed").groupBy("pattern").agg(F.count(F.lit(1)).alias("s")).filter(
@@ -175,8 +190,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     patterns = written(context_patterns(rows), "patterns")
     wide = patterns.withColumn("kinds", F.when(F.col("kind") < 4, F.array("kind")).otherwise(
         allowed_kinds(F.col("match"))))
-    edges = written(wide.select("pattern", "instance", (F.col("kind") < 4).alias("seed"),
-                                F.explode("kinds").alias("kind")).distinct(), "graph")
+    edges = wide.select("pattern", "instance", (F.col("kind") < 4).alias("seed"), F.explode("kinds").alias("kind"))
+    edges = written(edges.groupBy("pattern", "instance", "kind").agg(F.max("seed").alias("seed")), "graph")
     model = trusted_patterns(edges, rounds, support, confidence)
     spans = base
     if model is not None:
@@ -192,11 +207,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             F.max(F.struct("score", -F.col("kind"))).alias("b"))
         spans = base.unionByName(best.select("_id", "_h", F.struct(
             "start", (-F.col("b.col2")).alias("kind"), "end", F.lit(False).alias("base"), F.col("b.score")).alias("span")))
-    spans = spans.groupBy("_id", "_h").agg(F.array_sort(F.collect_list("span")).alias("all"))
-    # a found span that overlaps a base one is dropped
-    spans = spans.withColumn("_base", F.filter("all", lambda s: s["base"])).select(
-        F.col("_id").alias("_sid"), F.col("_h").alias("_sh"), F.filter("all", lambda s: s["base"] | ~F.exists(
-            "_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))).alias("spans"))
+    spans = spans.groupBy(F.col("_id").alias("_sid"), F.col("_h").alias("_sh")).agg(
+        F.array_sort(F.collect_list("span")).alias("spans"))
     keys = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_h"))
     joined = keys.join(spans, F.col("_id").eqNullSafe(F.col("_sid")) & (F.col("_h") == F.col("_sh")), "left")
     none = F.array().cast(spans.schema["spans"].dataType)

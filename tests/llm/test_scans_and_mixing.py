@@ -144,6 +144,36 @@ def test_contexts_of_seeds_find_unseen_identifiers(spark):
     assert few[100] == ""  # two seeds are not enough support
 
 
+@pytest.mark.parametrize("behind", ["", ",", "."])
+def test_contexts_find_unseen_card_and_phone_numbers(spark, behind):
+    cards = ["4111 1111 1111 1111", "5500 0000 0000 0004", "4012 8888 8888 1881", "3400 0000 0000 009", "6011 0000 0000 0004"]
+    phones = [f"+49 30 {n}" for n in (1234560, 1234571, 1234582, 1234593, 1234604)]
+    rows = [(i, f"please use card number {c}{behind} thanks") for i, c in enumerate(cards)]
+    rows += [(20 + i, f"or call office phone {p}{behind} thanks") for i, p in enumerate(phones)]
+    rows += [(100, f"please use card number 4111 1111 1111 1112{behind} thanks"),
+             (101, f"or call office phone 030 7654321{behind} thanks"),
+             (102, "there were in all 4111 1111 1111 1112 of these")]
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(edge_docs(spark, rows)).collect()}
+    score = 0.0
+    for _ in range(3):  # five seeds of six instances; punctuation leaves one of the two patterns
+        score = 1 - (1 - (5 + score) / 7) ** (1 if behind else 2)
+    for i, kind, start in ((100, 2, 23), (101, 3, 21)):
+        (span,) = got[i]
+        assert (span["start"], span["kind"], span["base"]) == (start, kind, False)
+        assert span["score"] == pytest.approx(score)
+    assert got[102] == []
+    assert all([s["base"] for s in got[i]] == [True] for i in (*range(5), *range(20, 25)))
+
+
+def test_few_seeds_among_many_instances_are_not_trusted(spark):
+    cards = ["4111 1111 1111 1111", "5500 0000 0000 0004", "4012 8888 8888 1881", "6011 0000 0000 0004"]
+    cards += [f"4111 1111 1111 2{i}{(i * 7) % 10}{i}" for i in range(9)]
+    rows = [(i, f"please use card number {c} thanks") for i, c in enumerate(cards)]
+    rows = [r for r in rows if r[0] < 4 or not plain_pii(r[1])[2]]
+    got = [r["spans"] for r in pii.personal_data(edge_docs(spark, rows)).collect()]
+    assert len(rows) >= 10 and sum(len(s) for s in got) == 4 and all(x["base"] for s in got for x in s)
+
+
 # ------------------------------------------------------------------ 8 secrets
 
 def plain_secrets(text):
