@@ -65,12 +65,13 @@ def candidates(text: str, taken: list[tuple[int, int, int]], reach: int, least:
     spans = sorted((s, e) for s, _, e in taken)
     for near in _NEAR.finditer(text):
         lo, hi = max(end, near.start() - reach), min(len(text), near.end() + reach)
+        if _CANDIDATE.match(text, lo):  # the run may have begun before the window
+            while lo > end and _CANDIDATE.match(text, lo - 1, lo):
+                lo -= 1
         for m in _CANDIDATE.finditer(text, lo, hi):
             s, e = m.span()
             if e == hi:  # the run may go on behind the window
                 e = _CANDIDATE.match(text, s).end()
-            if s == lo and lo and _CANDIDATE.match(text, lo - 1, lo):
-                continue  # the rest of a run that began before
             if s < end:
                 continue
             end = e

@@ -212,6 +212,17 @@ def test_novel_strings_near_sensitive_words_are_reported(spark):
     assert secrets.novelty(key, 0, 40, b"", 50) > 0.9 > 0.5 > secrets.novelty(f"{key} {key}", 0, 40, b"", 50)
 
 
+@pytest.mark.parametrize("n", [39, 40, 64, 200])
+def test_long_keys_before_a_sensitive_word_are_candidates(n):
+    key = "A1b2C3d4" * (n // 8) + "z" * (n % 8)
+    text = f"{key} bearer"
+    assert list(secrets.candidates(text, [], 40, 16)) == [(0, n)]
+    assert list(secrets.candidates(f"see {text}", [], 40, 16)) == [(4, n + 4)]
+    # a run that ends before the window is not near the word
+    assert list(secrets.candidates(f"{key}{' ' * 40}bearer", [], 40, 16)) == []
+    assert list(secrets.candidates(f"bearer {text}", [], 40, 16)) == [(7, n + 7)]
+
+
 # ------------------------------------------------------------------ 10 urls
 
 def plain_url(url):
