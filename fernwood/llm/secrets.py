@@ -6,8 +6,8 @@ Base spans, leftmost and not overlapping per kind (code points, end exclusive):
 * ``access``: an access key id of at least 20 characters;
 * ``hex``: a run of at least 24 lower-case hexadecimal digits.
 
-The method adds ``novel`` spans.  A candidate is a run of key characters, mixing letters
-and digits, near a sensitive word.  It is compressed with a zstandard dictionary made of
+The method adds ``novel`` spans.  A candidate is a run of key characters near a sensitive
+word, mixing letters and digits, or letters of both cases that do not read as words.  It is compressed with a zstandard dictionary made of
 the identifiers that are common around sensitive words in the whole input and of the text
 around the candidate.  The marginal bytes (its frame minus an empty frame with the same
 dictionary) per character are small for names, words and repeated values, and close to one
@@ -45,6 +45,8 @@ _NEAR = re.compile("|".join(SENSITIVE), re.ASCII | re.IGNORECASE)
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]+")
 # words joined by underscores, each with a short number at most: random strings do not look so
 _IDENTIFIER = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z]+[0-9]{0,2}(?:_[A-Za-z]+[0-9]{0,2})*(?![A-Za-z0-9_])", re.ASCII)
+# the words of identifiers without digits (camel case, capitals)
+_WORDS = re.compile(r"[A-Z]?[a-z]{3,}|[A-Z]{4,}")
 #: texts without this hold no base span and no candidate
 _SOME = "(?i:" + "|".join(SENSITIVE) + ")|AKIA|[0-9a-f]{24}"
 
@@ -59,8 +61,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def mixed(run: str) -> bool:
+    """Whether a run has letters and digits, or letters of both cases of which under 0.8 are in words."""
+    letters = sum(c.isalpha() for c in run)
+    if any(c.isdigit() for c in run):
+        return letters > 0
+    return run.lower() != run != run.upper() and 5 * sum(map(len, _WORDS.findall(run))) < 4 * letters
+
+
 def candidates(text: str, taken: list[tuple[int, int, int]], reach: int, least: int):
-    """Runs of key characters with letters and digits, close behind or before a sensitive word."""
+    """``mixed`` runs of key characters, close behind or before a sensitive word."""
     end = 0
     spans = sorted((s, e) for s, _, e in taken)
     for near in _NEAR.finditer(text):
@@ -76,8 +86,7 @@ def candidates(text: str, taken: list[tuple[int, int, int]], reach: int, least:
                 continue
             end = e
             run = text[s:e]
-            if e - s >= least and any(c.isdigit() for c in run) and any(c.isalpha() for c in run) and not any(
-                    a < e and s < b for a, b in spans):
+            if e - s >= least and mixed(run) and not any(a < e and s < b for a, b in spans):
                 yield s, e
 
 

@@ -223,6 +223,16 @@ def test_long_keys_before_a_sensitive_word_are_candidates(n):
     assert list(secrets.candidates(f"bearer {text}", [], 40, 16)) == [(7, n + 7)]
 
 
+def test_keys_without_a_digit_are_candidates():
+    rng = random.Random(4)
+    keys = ["".join(rng.choices(string.ascii_letters, k=n)) for n in (16, 24) for _ in range(500)]
+    found = [list(secrets.candidates(f"the bearer {k} was used", [], 40, 16)) == [(11, 11 + len(k))] for k in keys]
+    assert sum(found[:500]) >= 450 and sum(found[500:]) >= 480
+    for name in ("getAccessTokenFromHeader", "AUTHORIZATION_HEADER_NAME", "load_credentials_from_vault", "xxxxxxxxxxxxxxxxxx",
+                 "MaximumRetryCountUpload", "DEFAULT_Timeout_Seconds"):
+        assert list(secrets.candidates(f"the bearer {name} was used", [], 40, 16)) == []
+
+
 # ------------------------------------------------------------------ 10 urls
 
 def plain_url(url):
