@@ -12,6 +12,10 @@ replaced.  Several fixed masks ignore different positions.
 4. an overlap counts when it has at least ``min_words`` words (or the whole item, when that
    is shorter, but at least ``min_item`` words).
 
+Inner replacements in a whole item of 8 to 15 words are all found, up to one word in five.
+Items of fewer than ``min_item`` words count only where all their words are a whole text or
+whole sentences of it (up to a full stop, ``!``, ``?`` or line break on both sides).
+
 Words are runs of ASCII letters, digits and non-ASCII characters of the lower-cased text
 (letters of all scripts); hashes are 64 bits wide, and a reported overlap has been compared
 by the hash of each word.
@@ -31,12 +35,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fernwood.llm.common import NOT_ALNUM, mix64, slices, text_bytes, word_hashes
+from fernwood.llm.common import NOT_ALNUM, mix64, slices, text_bytes, word_hashes, word_spans
 
 #: word positions that each mask keeps
-MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 4, 7, 8), (0, 2, 3, 6, 8, 9), (0, 1, 4, 6, 7, 10), (0, 3, 4, 5, 9, 11))
+MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 4, 7, 8), (0, 2, 3, 6, 8, 9), (0, 1, 4, 6, 7, 10), (0, 3, 4, 5, 9, 11),
+         (0, 1, 2, 4, 9, 11))
+#: further masks, of lower weight, for items of fewer than ``SHORT`` words
+SHORT_MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 5, 6))
+SHORT = 13
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _FILTER_BITS = 23
+#: bytes that end a sentence
+_STOPS = np.zeros(256, dtype=bool)
+_STOPS[list(b".!?\n\r")] = True
 
 
 def seed_hashes(words: np.ndarray, offsets: np.ndarray, mask: tuple[int, ...], salt: int):
@@ -53,31 +64,59 @@ def seed_hashes(words: np.ndarray, offsets: np.ndarray, mask: tuple[int, ...], s
     return mix64(h), at
 
 
+def sentence_bounds(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Whether a sentence or text ends before each word; true behind the last word."""
+    starts, ends, word_offsets, _ = word_spans(data, offsets, NOT_ALNUM)
+    stops = np.concatenate(([0], np.cumsum(_STOPS[data])))
+    bound = np.ones(len(starts) + 1, dtype=bool)
+    bound[1:-1] = stops[starts[1:]] > stops[ends[:-1]]
+    bound[word_offsets] = True
+    return bound
+
+
 class SeedIndex:
-    """The hashed windows of one block of benchmark items."""
+    """The hashed windows of one block of benchmark items; ``masks`` for all, ``SHORT_MASKS`` for
+    short items, and whole items of fewer than ``min_item`` words."""
 
-    def __init__(self, ids: list, texts: list[str], masks=MASKS):
-        self.ids, self.masks = ids, masks
+    def __init__(self, ids: list, texts: list[str], masks=MASKS, min_item: int = 8):
+        self.ids = ids
         data, offsets = text_bytes(pa.array(texts, pa.string()))
         self.words, self.offsets = word_hashes(data, offsets, NOT_ALNUM)
-        self.tables = []
-        for m, mask in enumerate(masks):
+        lengths = np.diff(self.offsets)
+        self.item_of = np.repeat(np.arange(len(lengths)), lengths)
+        length_of = np.repeat(lengths, lengths)
+        whole = [tuple(range(n)) for n in range(1, min_item) if (lengths == n).any()]
+        self.masks, self.tables = [*masks, *SHORT_MASKS, *whole], []
+        self.first_whole = len(masks) + len(SHORT_MASKS)
+        for m, mask in enumerate(self.masks):
             h, at = seed_hashes(self.words, self.offsets, mask, m)
+            if m >= self.first_whole:
+                fits = length_of[at] == len(mask)
+            else:
+                fits = (length_of[at] >= min_item) & ((m < len(masks)) | (length_of[at] < SHORT))
+            h, at = h[fits], at[fits]
             order = np.argsort(h, kind="stable")
             self.tables.append((h[order], at[order]))
-        lengths = np.diff(self.offsets)
-        self.item_of = np.repeat(np.arange(len(lengths)), lengths)
         self.filter = np.zeros(1 << _FILTER_BITS, dtype=bool)
         for h, _ in self.tables:
             self.filter[h >> np.uint64(64 - _FILTER_BITS)] = True
 
-    def hits(self, words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(text word, item word) positions of all window matches, one per alignment and place."""
+    def hits(self, words: np.ndarray, offsets: np.ndarray, bounds) -> tuple[np.ndarray, np.ndarray]:
+        """(text word, item word) positions of all window matches, one per alignment and place.
+
+        ``bounds()`` gives the text's ``sentence_bounds``; asked for only if there are whole items.
+        """
         left, right = [], []
+        bound = bounds() if len(self.masks) > self.first_whole else None
         for m, mask in enumerate(self.masks):
+            table, where = self.tables[m]
+            if not len(table):
+                continue
             h, at = seed_hashes(words, offsets, mask, m)
+            if m >= self.first_whole:
+                alone = bound[at] & bound[at + len(mask)]
+                h, at = h[alone], at[alone]
             some = np.flatnonzero(self.filter[h >> np.uint64(64 - _FILTER_BITS)])
-            table, where = self.tables[m]
             lo = np.searchsorted(table, h[some], side="left")
             n = np.searchsorted(table, h[some], side="right") - lo
             if n.sum() == 0:
@@ -113,7 +152,7 @@ def extend(equal: np.ndarray, at: int, identity: float) -> tuple[int, int]:
 
 
 def overlaps(index: SeedIndex, words: np.ndarray, lo: int, hi: int, left: np.ndarray, right: np.ndarray,
-             min_words: int, min_identity: float, min_item: int):
+             min_words: int, min_identity: float):
     """Verified overlaps of the text ``words[lo:hi]``: (item, start, end, item start, equal words)."""
     done: dict[tuple[int, int], int] = {}
     item_of, item_offsets = index.item_of, index.offsets
@@ -127,25 +166,27 @@ def overlaps(index: SeedIndex, words: np.ndarray, lo: int, hi: int, left: np.nda
         s, e = extend(equal, i - x, min_identity)
         done[(item, diagonal)] = max(i, x + e)
         same = int(equal[s:e].sum())
-        need = min(min_words, max(min_item, b - a))
+        # the windows of an item of fewer than min_item words are the whole item
+        need = min(min_words, b - a)
         if e - s >= need:
             yield item, x + s - lo, x + e - lo, x + s - diagonal - a, same
 
 
-def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[SeedIndex]:
+def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int,
+                     min_item: int = 8) -> Iterator[SeedIndex]:
     """The benchmark in blocks of bounded size, streamed through the driver one by one."""
     ids, texts, size = [], [], 0
     rows = benchmark.select(id_col, F.lower(text_col)).filter(F.col(text_col).isNotNull())
     for row in rows.toLocalIterator():
         n = len(row[1]) // 2 + 1
         if texts and size + n > block_words:
-            yield SeedIndex(ids, texts)
+            yield SeedIndex(ids, texts, min_item=min_item)
             ids, texts, size = [], [], 0
         ids.append(row[0])
         texts.append(row[1])
         size += n
     if texts:
-        yield SeedIndex(ids, texts)
+        yield SeedIndex(ids, texts, min_item=min_item)
 
 
 def contaminated_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -156,9 +197,8 @@ def contaminated_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "
 
     One row per (document, item, alignment, place); a clean document has no row.  Word
     positions count the words defined above from 0.  Null and empty texts, on either side,
-    overlap nothing; items with fewer words than the widest mask are found only through the
-    narrower masks, and items with fewer than ``min_item`` words never match.  Repeated rows
-    are reported once per row.  An empty table on either side gives an empty result.
+    overlap nothing; items with fewer than ``min_item`` words match only equal whole texts or
+    sentences.  Repeated rows are reported once per row.  An empty table on either side gives an empty result.
     """
     spark = docs.sparkSession
     schema = (docs.select(id_col).schema.add("item_id", benchmark.schema[item_col].dataType)
@@ -174,7 +214,7 @@ def contaminated_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "
                 for lo, hi in slices(texts):
                     data, offsets = text_bytes(texts.slice(lo, hi - lo))
                     words, at = word_hashes(data, offsets, NOT_ALNUM)
-                    left, right = index.hits(words, at)
+                    left, right = index.hits(words, at, lambda data=data, offsets=offsets: sentence_bounds(data, offsets))
                     if not len(left):
                         continue
                     order = np.argsort(left, kind="stable")
@@ -184,7 +224,7 @@ def contaminated_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "
                         row = int(rows[mine[0]])
                         found += [(lo + row, *x) for x in overlaps(
                             index, words, int(at[row]), int(at[row + 1]), left[mine], right[mine],
-                            min_words, min_identity, min_item)]
+                            min_words, min_identity)]
                 if found:
                     cols = list(zip(*found, strict=True))
                     yield pa.RecordBatch.from_arrays(
@@ -194,7 +234,7 @@ def contaminated_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "
         return run
 
     out = None
-    for index in benchmark_blocks(benchmark, item_col, item_text_col, block_words):
+    for index in benchmark_blocks(benchmark, item_col, item_text_col, block_words, min_item):
         part = docs.select(id_col, F.lower(text_col)).mapInArrow(scan(spark.sparkContext.broadcast(index)), schema)
         out = part if out is None else out.unionByName(part)
     return spark.createDataFrame([], schema) if out is None else out

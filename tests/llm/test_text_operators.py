@@ -1,5 +1,6 @@
 """Token counts, packing, exact and near duplicates, decontamination, quality."""
 
+import itertools
 import random
 import zlib
 
@@ -236,6 +237,31 @@ def test_decontamination_of_edge_rows(spark):
     assert decontaminate.contaminated_passages(empty_docs(spark), items).count() == 0
 
 
+def found_items(items, text):
+    index = decontaminate.SeedIndex(list(range(len(items))), items)
+    data, offsets = common.text_bytes(pa.array([text]))
+    words, at = common.word_hashes(data, offsets, common.NOT_ALNUM)
+    left, right = index.hits(words, at, lambda: decontaminate.sentence_bounds(data, offsets))
+    return {x[:3] for x in decontaminate.overlaps(index, words, 0, len(words), left, right, 13, 0.8)}
+
+
+@pytest.mark.parametrize("n", range(8, 16))
+def test_inner_replacements_in_short_items_are_found(n):
+    item = [f"i{k}" for k in range(n)]
+    for places in itertools.combinations(range(1, n - 1), n // 5):
+        text = " ".join(["before", *("other" if k in places else w for k, w in enumerate(item)), "behind"])
+        assert found_items([" ".join(item)], text)
+
+
+def test_items_of_few_words_match_whole_texts_and_sentences():
+    items = ["what is love", "word"]
+    assert found_items(items, "what is love") == {(0, 0, 3)}
+    assert found_items(items, "he asked. what is love? nobody knew\nword") == {(0, 2, 5), (1, 7, 8)}
+    assert found_items(items, "nobody knew what is love or a word at all") == set()
+    assert found_items(items, "what is. love") == {(0, 0, 3)}
+    assert found_items(items, "what was love. a word") == set()
+
+
 # ------------------------------------------------------------------ 9 quality
 
 def test_gradients_equal_differences():
