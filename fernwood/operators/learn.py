@@ -34,6 +34,8 @@ DT_PARAM_GRID = {"max_depth": [5, 10, 15, 20, None], "min_samples_split": [2, 5,
 RF_PARAM_GRID = {"n_estimators": [100, 200, 300], "max_depth": [10, 15, 20, None],
                  "min_samples_split": [2, 5]}
 MLP_PARAM_GRID = {"hidden_dims": [(64,), (128, 64), (256, 128, 64)], "solver": ["l-bfgs", "gd"]}
+# full-batch steps at most; gd as many as 20 epochs of 256-row batches take on 8,000 rows
+MLP_ITERATIONS = {"l-bfgs": 100, "gd": 640}
 
 
 def assemble(df: DataFrame, features: Sequence[str], label: str = "y",

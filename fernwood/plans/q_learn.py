@@ -76,7 +76,7 @@ def rf_multiclass(spark, sf_dir):
 def mlp_binary(spark, sf_dir):
     """H7: perceptron with hidden layers (128, 64)."""
     train, test, feats = prepared(spark, sf_dir)
-    m = learn.perceptron(len(feats), (128, 64), 2, max_iter=30).fit(train)
+    m = learn.perceptron(len(feats), (128, 64), 2).fit(train)
     return _scores_out(learn.score(m, test, "mlp_binary"))
 
 
@@ -85,7 +85,7 @@ def mlp_multiclass(spark, sf_dir):
     """H8: perceptron on 5 categories; class weights become resampling by weight."""
     train, test, feats = prepared(spark, sf_dir, "multiclass_5cat")
     balanced = S.resample_by_weight(train, "key", "weight")
-    m = learn.perceptron(len(feats), (128, 64), len(FIVE_CATEGORIES), max_iter=30).fit(balanced)
+    m = learn.perceptron(len(feats), (128, 64), len(FIVE_CATEGORIES)).fit(balanced)
     return _scores_out(learn.score(m, test, "mlp_multiclass"))
 
 
@@ -141,14 +141,14 @@ def grid_search_mlp(spark, sf_dir):
     try:
         for hidden in learn.MLP_PARAM_GRID["hidden_dims"]:
             for solver in learn.MLP_PARAM_GRID["solver"]:
-                est = learn.perceptron(len(feats), hidden, 2, max_iter=20, solver=solver)
+                est = learn.perceptron(len(feats), hidden, 2, max_iter=learn.MLP_ITERATIONS[solver], solver=solver)
                 model, _, cv, _ = learn.grid_search(est, [{}], folds, f1)
                 key = learn.params_key({"hidden": "x".join(map(str, hidden)), "solver": solver})
                 rows.append((key, float(cv), float(f1.evaluate(model.transform(hold))), hidden, solver))
     finally:
         folds.unpersist()
     best, _, _, hidden, solver = max(rows, key=lambda r: (r[2], r[0]))
-    winner = learn.perceptron(len(feats), hidden, 2, max_iter=40, solver=solver).fit(train)
+    winner = learn.perceptron(len(feats), hidden, 2, max_iter=2 * learn.MLP_ITERATIONS[solver], solver=solver).fit(train)
     refit = float(f1.evaluate(winner.transform(test)))
     return spark.createDataFrame([(k, c, v, k == best, refit if k == best else None) for k, c, v, _, _ in rows],
                                  "params string, cv_f1 double, val_f1 double, chosen boolean, refit_f1 double")
@@ -193,7 +193,7 @@ def positive_probability(spark, sf_dir):
     """One positive-class probability column for any model (tree, perceptron)."""
     train, test, feats = prepared(spark, sf_dir)
     models = {"dt": learn.decision_tree(weight_col="weight").fit(train),
-              "mlp": learn.perceptron(len(feats), (128, 64), 2, max_iter=30).fit(train)}
+              "mlp": learn.perceptron(len(feats), (128, 64), 2).fit(train)}
     s = learn.score_models(models, test)
     return s.select("model", "row_id", rounded(F.col("y_prob")).alias("y_prob"))
 

@@ -190,6 +190,25 @@ def test_perceptron_grid_refits_the_winner(spark, monkeypatch):
     assert next(r["val_f1"] for r in rows if r["chosen"]) == max(r["val_f1"] for r in rows)
 
 
+@pytest.mark.parametrize("name, solver, least", [("mlp_binary", None, 100), ("mlp_multiclass", None, 100),
+                                                 ("positive_probability", None, 100),
+                                                 ("grid_search_mlp", "l-bfgs", 100), ("grid_search_mlp", "gd", 640)])
+def test_perceptrons_get_the_whole_budget(spark, monkeypatch, name, solver, least):
+    class Made(Exception):
+        pass
+
+    real = learn.perceptron
+
+    def made(*args, **options):
+        raise Made(real(*args, **options).getMaxIter())
+
+    monkeypatch.setattr(learn, "perceptron", made)
+    monkeypatch.setattr(learn, "MLP_PARAM_GRID", {"hidden_dims": [(8,)], "solver": [solver]})
+    with pytest.raises(Made) as found:
+        getattr(q_learn, name)(spark, SF_SMALL)
+    assert found.value.args[0] >= least
+
+
 def test_importances_and_evaluation(spark):
     pair = q_learn.importance_compare(spark, SF_SMALL).collect()
     assert 0 < len(pair) <= 30 and sum(r["rf"] or 0 for r in pair) <= 1 + 1e-6
