@@ -129,3 +129,29 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fernwood.llm.pii import personal_data, span_digest
 
     return span_digest(personal_data(table(spark, sf_dir, "documents")))
+
+
+@_query()
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two vocabularies in every document."""
+    from fernwood.llm.token_align import alignment_summary
+
+    return alignment_summary(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json",
+                             f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+@_query()
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and verdict of the boosted trees for every document."""
+    from fernwood.llm.quality_trees import quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query()
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and the cheapest repair of every conversation after fixed damage."""
+    from fernwood.llm.turn_repair import damaged, repair_report
+
+    conversations = table(spark, sf_dir, "conversations")
+    return repair_report(conversations, damaged(conversations))
