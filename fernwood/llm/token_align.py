@@ -28,6 +28,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -83,6 +84,7 @@ class Encoders:
         for token, i in ranks.items():
             self.bytes_a[i] = token
         self.bytes_b = _piece_bytes(self.b)
+        self.size_a, self.size_b = (np.array([len(t) for t in x]) for x in (self.bytes_a, self.bytes_b))
 
     def encode_a(self, text: str) -> list[int]:
         out, at = [], 0
@@ -203,54 +205,64 @@ def _offsets(lists: list[list[int]]) -> np.ndarray:
 
 
 def _flat(lists: list[list[int]], total: int) -> np.ndarray:
-    return np.fromiter((x for ids in lists for x in ids), np.int64, total)
+    return np.fromiter(chain.from_iterable(lists), np.int64, total)
 
 
-def _list_array(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+class Aligned:
+    """Tokens and groups of a slice of texts: ids in a row, where each document's begin, and the
+    number of tokens of the slice up to every group's end."""
 
+    def __init__(self, made: Encoders, column: pa.Array):
+        both = made.encode(column.to_pylist())
+        self.docs_a, self.docs_b = _offsets([x for x, _ in both]), _offsets([x for _, x in both])
+        self.a = _flat([x for x, _ in both], self.docs_a[-1])
+        self.b = _flat([x for _, x in both], self.docs_b[-1])
+        self.ends_a, self.ends_b = shared_cuts(np.cumsum(made.size_a[self.a]), np.cumsum(made.size_b[self.b]),
+                                               self.docs_a, self.docs_b)
+        self.groups = np.searchsorted(self.ends_a, self.docs_a, side="right")
 
-def aligned_tokens(docs: DataFrame, byte_level_path: str, piece_path: str, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
-    """``id_col, a_ids, b_ids, a_ends, b_ends`` per document: both token sequences, and for every
-    group the number of tokens up to its end.  The files are read on the driver."""
-    spark = docs.sparkSession
+    def own_ends(self) -> tuple[np.ndarray, np.ndarray]:
+        """The groups' ends as token numbers of their own document."""
+        n = np.diff(self.groups)
+        return self.ends_a - np.repeat(self.docs_a[:-1], n), self.ends_b - np.repeat(self.docs_b[:-1], n)
+
+
+def _per_slice(docs: DataFrame, byte_level_path: str, piece_path: str, id_col: str, text_col: str,
+               extra: list[T.StructField], columns) -> DataFrame:
+    """``id_col`` and ``extra`` for every document, ``columns(aligned slice)`` giving the latter."""
     content = []
-    for path in (byte_level_path, piece_path):
+    for path in (byte_level_path, piece_path):  # vocabularies of fixed size, on the driver
         with open(path, "rb") as f:
             content.append(f.read())
-    shared = spark.sparkContext.broadcast(tuple(content))
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(content))
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *extra])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = encoders(shared.value)
-        size_a = np.array([len(t) for t in made.bytes_a])
-        size_b = np.array([len(t) for t in made.bytes_b])
         for batch in batches:
-            for lo, hi in slices(batch.column(1)):
-                both = made.encode(batch.column(1).slice(lo, hi - lo).to_pylist())
-                docs_a, docs_b = _offsets([x for x, _ in both]), _offsets([x for _, x in both])
-                a, b = _flat([x for x, _ in both], docs_a[-1]), _flat([x for _, x in both], docs_b[-1])
-                group_a, group_b = shared_cuts(np.cumsum(size_a[a]), np.cumsum(size_b[b]), docs_a, docs_b)
-                groups = np.searchsorted(group_a, docs_a, side="right")
-                # of its own document, not of the slice
-                own = np.diff(groups)
-                group_a -= np.repeat(docs_a[:-1], own)
-                group_b -= np.repeat(docs_b[:-1], own)
+            for lo, hi in slices(batch.column(1), 1 << 18):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), _list_array(a, docs_a), _list_array(b, docs_b),
-                     _list_array(group_a, groups), _list_array(group_b, groups)],
-                    names=[id_col, "a_ids", "b_ids", "a_ends", "b_ends"])
-
-    ints = T.ArrayType(T.IntegerType())
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType),
-                           *[T.StructField(n, ints) for n in ("a_ids", "b_ids", "a_ends", "b_ends")]])
+                    [batch.column(0).slice(lo, hi - lo), *columns(Aligned(made, batch.column(1).slice(lo, hi - lo)))],
+                    names=schema.names)
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
-# ---------------------------------------------------------------- counts and digests
+def aligned_tokens(docs: DataFrame, byte_level_path: str, piece_path: str, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """``id_col, a_ids, b_ids, a_ends, b_ends`` per document: both token sequences, and for every
+    group the number of tokens up to its end.  The files are read on the driver."""
+    def lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+
+    def columns(x: Aligned) -> list[pa.Array]:
+        a_ends, b_ends = x.own_ends()
+        return [lists(x.a, x.docs_a), lists(x.b, x.docs_b), lists(a_ends, x.groups), lists(b_ends, x.groups)]
+    ints = T.ArrayType(T.IntegerType())
+    return _per_slice(docs, byte_level_path, piece_path, id_col, text_col,
+                      [T.StructField(n, ints) for n in ("a_ids", "b_ids", "a_ends", "b_ends")], columns)
 
-_DIGITS = 10
 
+# ---------------------------------------------------------------- counts and digests
 
 def _decimal_table(size: int) -> tuple[np.ndarray, np.ndarray]:
     """The decimal digits of 0..size-1 as bytes, and their lengths."""
@@ -273,8 +285,7 @@ def groups_text(a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.nda
         _TABLES[size] = _decimal_table(size)
     table, length = _TABLES[size]
     # A tokens of a group stand before its B tokens
-    group_a = np.searchsorted(a_ends, np.arange(len(a)), side="right")
-    group_b = np.searchsorted(b_ends, np.arange(len(b)), side="right")
+    group_a, group_b = (np.repeat(np.arange(len(e)), np.diff(e, prepend=0)) for e in (a_ends, b_ends))
     at_a = np.arange(len(a)) + np.concatenate([[0], b_ends])[group_a]
     at_b = np.arange(len(b)) + a_ends[group_b]
     ids = np.empty(len(a) + len(b), np.int64)
@@ -287,37 +298,34 @@ def groups_text(a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.nda
     return rows[np.arange(rows.shape[1]) <= digits[:, None]].tobytes()[:-1]
 
 
-def _lists(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray]:
-    """Values and offsets of a list column."""
-    x = batch.column(column)
-    offsets = x.offsets.to_numpy().astype(np.int64)
-    return x.values.to_numpy(zero_copy_only=False).astype(np.int64)[offsets[0]:offsets[-1]], offsets - offsets[0]
+def _binaries(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Each document's part of ``values`` as little-endian uint32."""
+    held = values.astype("<u4")
+    return pa.array([held[i:j].tobytes() for i, j in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())
 
 
-def linked_documents(aligned: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``id_col, n_a, n_b, n_groups, groups_sha256, link_a, link_b``: counts and digest of the
-    groups, and the ids of the two tokens that end together at the end of every group."""
-    ints = T.ArrayType(T.IntegerType())
-    schema = T.StructType([T.StructField(id_col, aligned.schema[id_col].dataType),
-                           *[T.StructField(n, T.LongType()) for n in ("n_a", "n_b", "n_groups")],
-                           T.StructField("groups_sha256", T.StringType()),
-                           T.StructField("link_a", ints), T.StructField("link_b", ints)])
+def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a column of :func:`_binaries`, and where each document's begin."""
+    parts = [np.frombuffer(x, "<u4") for x in column.to_pylist()]
+    return np.concatenate([*parts, np.zeros(0, "<u4")]).astype(np.int64), _offsets(parts)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                (a, oa), (b, ob), (ga, og), (gb, _) = (_lists(part, i) for i in range(1, 5))
-                digests = []
-                for k in range(part.num_rows):
-                    text = groups_text(a[oa[k]:oa[k + 1]], b[ob[k]:ob[k + 1]], ga[og[k]:og[k + 1]], gb[og[k]:og[k + 1]])
-                    digests.append(hashlib.sha256(text).hexdigest() if text else "")
-                own = np.diff(og)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *[pa.array(np.diff(o), pa.int64()) for o in (oa, ob, og)], pa.array(digests, pa.string()),
-                     _list_array(a[ga - 1 + np.repeat(oa[:-1], own)], og),
-                     _list_array(b[gb - 1 + np.repeat(ob[:-1], own)], og)], names=schema.names)
-    return aligned.select(id_col, "a_ids", "b_ids", "a_ends", "b_ends").mapInArrow(run, schema)
+
+def linked_documents(docs: DataFrame, byte_level_path: str, piece_path: str, id_col: str = "doc_id",
+                     text_col: str = "text") -> DataFrame:
+    """``id_col, n_a, n_b, n_groups, groups_sha256, link_a, link_b``: counts and digest of the
+    groups, and the ids of the two tokens that end together at the end of every group (binaries
+    of little-endian uint32)."""
+    def columns(x: Aligned) -> list[pa.Array]:
+        digests, (own_a, own_b) = [], x.own_ends()
+        for k in range(len(x.groups) - 1):
+            g = slice(x.groups[k], x.groups[k + 1])
+            text = groups_text(x.a[x.docs_a[k]:x.docs_a[k + 1]], x.b[x.docs_b[k]:x.docs_b[k + 1]], own_a[g], own_b[g])
+            digests.append(hashlib.sha256(text).hexdigest() if text else "")
+        return [*[pa.array(np.diff(o), pa.int64()) for o in (x.docs_a, x.docs_b, x.groups)], pa.array(digests, pa.string()),
+                _binaries(x.a[x.ends_a - 1], x.groups), _binaries(x.b[x.ends_b - 1], x.groups)]
+    return _per_slice(docs, byte_level_path, piece_path, id_col, text_col, [
+        *[T.StructField(n, T.LongType()) for n in ("n_a", "n_b", "n_groups")], T.StructField("groups_sha256", T.StringType()),
+        T.StructField("link_a", T.BinaryType()), T.StructField("link_b", T.BinaryType())], columns)
 
 
 def pair_counts(linked: DataFrame) -> DataFrame:
@@ -330,7 +338,7 @@ def pair_counts(linked: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                some, n = np.unique((_lists(part, 0)[0] << 32) | _lists(part, 1)[0], return_counts=True)
+                some, n = np.unique((_ids(part.column(0))[0] << 32) | _ids(part.column(1))[0], return_counts=True)
                 all_pairs, number = np.unique(np.concatenate([pairs, some]), return_inverse=True)
                 counts = np.bincount(number, np.concatenate([counts, n]), len(all_pairs)).astype(np.int64)
                 pairs = all_pairs
@@ -346,7 +354,7 @@ def alignment_summary(docs: DataFrame, byte_level_path: str, piece_path: str, id
     ``count_sum`` adds up the corpus counts of the document's links.
     """
     spark = docs.sparkSession
-    linked = written(linked_documents(aligned_tokens(docs, byte_level_path, piece_path, id_col, text_col), id_col), "linked")
+    linked = written(linked_documents(docs, byte_level_path, piece_path, id_col, text_col), "linked")
     counted = pair_counts(linked).toArrow()  # bounded by the vocabularies, see most_pairs
     pairs, counts = counted.column("pair").to_numpy(), counted.column("n").to_numpy()
     order = np.argsort(pairs)
@@ -361,8 +369,8 @@ def alignment_summary(docs: DataFrame, byte_level_path: str, piece_path: str, id
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                a, offsets = _lists(part, 5)
-                found = np.searchsorted(pairs, (a << 32) | _lists(part, 6)[0])
+                a, offsets = _ids(part.column(5))
+                found = np.searchsorted(pairs, (a << 32) | _ids(part.column(6))[0])
                 n_best, total = (np.diff(np.concatenate([[0], np.cumsum(v[found])])[offsets]) for v in (best.astype(np.int64), counts))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:4], part.column(3), pa.array(n_best, pa.int64()), pa.array(total, pa.int64()), part.column(4)],

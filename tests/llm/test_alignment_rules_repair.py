@@ -128,11 +128,22 @@ def test_intervals_divide_into_all_common_ends():
         assert list(zip(*[g.tolist() for g in got])) == want
 
 
+def test_aligned_tokens_give_both_sequences_and_their_groups(spark, plain_encoders):
+    rows = token_align.aligned_tokens(edge_docs(spark), BYTE_LEVEL, PIECES).collect()
+    want = sorted((str(i), str(plain_groups(t, plain_encoders))) for i, t in TEXTS)
+    got = []
+    for r in rows:
+        ends_a, ends_b = [0, *r.a_ends], [0, *r.b_ends]
+        got.append((str(r.doc_id), str([(r.a_ids[ends_a[k]:ends_a[k + 1]], r.b_ids[ends_b[k]:ends_b[k + 1]])
+                                        for k in range(len(r.a_ends))])))
+    assert sorted(got) == want
+
+
 def test_linked_pairs_stay_under_their_bound(spark):
     made = token_align.Encoders(open(BYTE_LEVEL, "rb").read(), open(PIECES, "rb").read())
     bound = token_align.most_pairs(made.bytes_a, made.bytes_b)
     assert bound < sum(map(len, made.bytes_a)) + 2 * sum(map(len, made.bytes_b)) + 60000
-    linked = token_align.linked_documents(token_align.aligned_tokens(table(spark, SF_SMALL, "documents"), BYTE_LEVEL, PIECES))
+    linked = token_align.linked_documents(table(spark, SF_SMALL, "documents"), BYTE_LEVEL, PIECES)
     pairs = [r.pair for r in token_align.pair_counts(linked).collect()]
     assert 0 < len(pairs) < bound
     for p in pairs:
