@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from fernwood.operators.quantiles import numeric_columns, quantiles_long, stack_long
+from fernwood.operators.quantiles import numeric_columns, present, quantile_table
 from fernwood.operators.ranking import running_total
 
 
@@ -57,20 +57,26 @@ def shape(df: DataFrame, split_col: str | None = None) -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
     """Count, mean, sample std, min, 25/50/75 % (exact, linear) and max per numeric column."""
     cols = numeric_columns(df, cols)
-    long = stack_long(df, cols)
-    basic = long.groupBy("feature").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    q = quantiles_long(df, cols, [0.25, 0.5, 0.75], method)
-    qw = q.groupBy("feature").pivot("prob", [0.25, 0.5, 0.75]).agg(F.first("quantile"))
-    qw = qw.toDF("feature", "q25", "q50", "q75")
-    # bounded: one row per column on the right side
-    return basic.join(F.broadcast(qw), "feature", "left").select(
-        "feature", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    quarters = [0.25, 0.5, 0.75]
+    if method == "exact":
+        q = quantile_table(df, cols, quarters)
+        q25, q50, q75 = ({c: F.lit(x[i]) for c, x in q.items()} for i in range(3))
+        sketches = []
+    else:
+        q25, q50, q75 = ({c: F.col(f"q{j}")[i] for j, c in enumerate(cols)} for i in range(3))
+        sketches = [F.percentile_approx(present(c), quarters, 100000).alias(f"q{j}") for j, c in enumerate(cols)]
+    none = F.lit(None).cast("double")
+    # one row for all columns, then one row per column
+    row = df.agg(*sketches, *[F.struct(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+                                       F.min(v).alias("min"), F.max(v).alias("max")).alias(f"c{j}")
+                              for j, v in enumerate(map(present, cols))])
+    stacked = [F.struct(F.lit(c).alias("feature"), *[F.col(f"c{j}")[f].alias(f) for f in ("count", "mean", "std", "min")],
+                        *[q.get(c, none).alias(n) for n, q in (("q25", q25), ("q50", q50), ("q75", q75))],
+                        F.col(f"c{j}")["max"].alias("max")) for j, c in enumerate(cols)]
+    if not stacked:
+        return df.sparkSession.createDataFrame([], "feature string, count long, mean double, std double, min double, "
+                                                   "q25 double, q50 double, q75 double, max double")
+    return row.select(F.explode(F.array(*stacked)).alias("s")).select("s.*")
 
 
 def label_distribution(df: DataFrame, label: str = "label", split: str = "split") -> DataFrame:

@@ -10,11 +10,14 @@ task, which does not survive a high-cardinality column at scale.  Here:
 
 * one aggregate takes the number of values and a quantile sketch per column; the sketch
   gives, for every target, a bracket of values that must hold the target ranks;
-* one more aggregate counts the values below each bracket and keeps the distinct values
-  inside with their counts, a few hundredths of a percent of the rows: only these are
-  shuffled.  A bracket that misses its ranks is widened and counted again;
+* the brackets of ungrouped columns (columns x probabilities, the caller's arguments) are
+  literals of two narrow scans: an aggregate that counts the values below each bracket, and
+  a projection that lets only the values inside through, a few hundredths of a percent of
+  the rows.  Rows are neither unpivoted nor joined, and only what lies inside is shuffled;
+* with groups the brackets stay a table of one row per group; rows meet theirs by a join on
+  the group and a salt, so a hot group is spread, and nothing is collected;
 * :func:`running_total` ranks the values inside a bracket (range buckets, no single-task
-  window), and the rows that hold the target ranks are found by an equi-join.
+  window).  A bracket that misses its ranks is widened to the whole column.
 
 ``method="approx"`` switches to ``percentile_approx`` for very wide frames
 where an approximate answer is acceptable.
@@ -24,9 +27,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, BooleanType
 
@@ -35,6 +37,8 @@ from fernwood.session import write_scratch
 
 #: of the quantile sketch; a rank is off by one in so many at most
 ACCURACY = 10000
+#: sub-keys that the rows of a hot group are spread over
+SALTS = 64
 
 
 def numeric_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list[str]:
@@ -45,14 +49,16 @@ def numeric_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list[st
             and not isinstance(fields[c], BooleanType)]
 
 
+def present(c: str) -> Column:
+    """The column as double, NaN as null (the missing value of the learners' tables)."""
+    v = F.col(c).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
 def stack_long(df: DataFrame, cols: Sequence[str], name: str = "feature",
                value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Unpivot ``cols`` to ``(keep..., name, value double)``."""
-    def present(c):
-        v = F.col(c).cast("double")
-        return F.when(~F.isnan(v), v).alias(c)
-
-    return df.select(*keep, *[present(c) for c in cols]).unpivot(
+    return df.select(*keep, *[present(c).alias(c) for c in cols]).unpivot(
         list(keep), list(cols), name, value)
 
 
@@ -62,14 +68,21 @@ def value_counts(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] =
     return long.groupBy(*group_cols, "feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def _edges(probs: Sequence[float]) -> list[float]:
+    """Where the sketch is asked: just below and just above every probability."""
+    around = 2.0 / ACCURACY
+    return [x for p in probs for x in (max(0.0, p - around), min(1.0, p + around))]
+
+
 def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                    method: str = "exact", group_cols: Sequence[str] = ()) -> DataFrame:
-    """Small table ``(group..., feature, prob, quantile)`` of linear quantiles.
+    """Table ``(group..., feature, prob, quantile)`` of linear quantiles.
 
-    The answer has groups x columns x probs rows and is returned as a local
-    DataFrame (a fitted statistic); the work before it is distributed.
+    Without groups the answer has columns x probs rows and is a fitted statistic (a local
+    DataFrame); with groups it is computed and stays distributed.
     """
     cols = numeric_columns(df, cols)
+    probs = [float(p) for p in probs]
     spark = df.sparkSession
     if not cols:
         return _empty(spark, df, group_cols)
@@ -84,64 +97,135 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         ).select(*group_cols, "feature", "_z.prob", "_z.quantile")
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
-
-    keys = [*group_cols, "feature"]
-    key_fields = [f"`{g}` {df.schema[g].dataType.simpleString()}" for g in group_cols] + ["feature string"]
-    probs = [float(p) for p in probs]
-    long = stack_long(df, cols, keep=group_cols).where(F.col("value").isNotNull())
-    around = 2.0 / ACCURACY
-    edges = [x for p in probs for x in (max(0.0, p - around), min(1.0, p + around))]
-    stats = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), F.max("value").alias("most"),
-        F.percentile_approx("value", edges, ACCURACY).alias("edges")).collect()
-    if not stats:
-        return _empty(spark, df, group_cols)
-
-    targets, brackets = [], {}
-    for r in stats:
-        kv = tuple(r[k] for k in keys)
-        for i, p in enumerate(probs):
-            h = (r["n"] - 1) * p
-            targets.append((*kv, i, h, math.floor(h), math.ceil(h)))
-            brackets[(*kv, i)] = (r["edges"][2 * i], r["edges"][2 * i + 1])
-    widest = {tuple(r[k] for k in keys): (r["least"], r["most"]) for r in stats}
+    if group_cols:
+        return _grouped(df, cols, probs, list(group_cols))
+    out = [(c, p, q) for c, qs in _ungrouped(df, cols, probs).items() for p, q in zip(probs, qs, strict=True)]
+    return spark.createDataFrame(out, "feature string, prob double, quantile double")
+
+
+# ---------------------------------------------------------------- without groups: literals in the scan
+
+def _ungrouped(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float]]:
+    """``{column: quantiles}`` of the columns that have a value."""
+    if not probs:
+        return {}
+    edges = _edges(probs)
+    stats = df.agg(*[F.struct(F.count(v).alias("n"), F.min(v).alias("least"), F.max(v).alias("most"),
+                              F.percentile_approx(v, edges, ACCURACY).alias("edges")).alias(f"c{i}")
+                     for i, v in enumerate(map(present, cols))]).first()
+    targets, brackets = {}, {}
+    for c in range(len(cols)):
+        if stats[c]["n"]:
+            for i, p in enumerate(probs):
+                h = (stats[c]["n"] - 1) * p
+                targets[c, i] = (math.floor(h), math.ceil(h))
+                brackets[c, i] = tuple(stats[c]["edges"][2 * i:2 * i + 2])
     found: dict = {}
-    open_targets = targets
-    while open_targets:
-        found.update(_bracketed(spark, long, keys, key_fields, open_targets, brackets))
+    todo = targets
+    while todo:
+        found.update(_ranked(df, cols, todo, brackets))
         # the sketch's bound makes a miss unlikely; the next round searches the whole column
-        open_targets = [t for t in open_targets if any((*t[:-3], r) not in found for r in t[-2:])]
-        brackets.update({t[:-3]: widest[t[:-4]] for t in open_targets})
-    out = []
-    for *kv, i, h, lo, hi in targets:
-        a, b = found[(*kv, i, lo)], found[(*kv, i, hi)]
-        out.append((*kv, probs[i], a + (b - a) * (h - lo)))
-    return spark.createDataFrame(out, ", ".join([*key_fields, "prob double", "quantile double"]))
-
-
-def _bracketed(spark, long: DataFrame, keys: list[str], key_fields: list[str], targets: list, brackets: dict) -> dict:
-    """``{(key..., target, rank): value}`` of the ranks that lie in their target's bracket."""
-    rows: dict[tuple, list] = {}
-    for t in targets:
-        rows.setdefault(t[:-4], []).append((t[-4], *brackets[t[:-3]]))
-    # one row per group and column, with its brackets
-    table = spark.createDataFrame([(*kv, b) for kv, b in rows.items()], ", ".join(
-        [*[f"{f.replace('`', '`_k_', 1)}" if f.startswith("`") else f"_k_{f}" for f in key_fields],
-         "b array<struct<i:int,lo:double,hi:double>>"]))
-    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    met = long.join(table, same).select(*keys, "value", F.explode("b").alias("b")).where(F.col("value") <= F.col("b.hi"))
-    # below a bracket only the number counts: those values fall together into one row
-    inside = met.select(*keys, F.col("b.i").alias("i"),
-                        F.when(F.col("value") >= F.col("b.lo"), F.col("value")).alias("value"))
-    counted = write_scratch(inside.groupBy(*keys, "i", "value").agg(F.count(F.lit(1)).alias("cnt")), "brackets")
-    # nulls come first, so the running count of the values inside starts from the rows below
-    cum = running_total(counted, [("value", True)], {"cum": "cnt"}, [*keys, "i"]).where(F.col("value").isNotNull())
-    ranks = spark.createDataFrame([(*t[:-4], t[-4], r) for t in targets for r in sorted({t[-2], t[-1]})], ", ".join(
-        [*[f"{f.replace('`', '`_k_', 1)}" if f.startswith("`") else f"_k_{f}" for f in key_fields],
-         "_i int", "r long"]))
-    hits = cum.join(ranks, same & (F.col("i") == F.col("_i"))).where(
+        todo = {t: ranks for t, ranks in todo.items() if any((*t, r) not in found for r in ranks)}
+        brackets.update({(c, i): (stats[c]["least"], stats[c]["most"]) for c, i in todo})
+    out: dict[str, list[float]] = {}
+    for (c, i), (lo, hi) in targets.items():
+        a, b = found[c, i, lo], found[c, i, hi]
+        out.setdefault(cols[c], []).append(a + (b - a) * ((stats[c]["n"] - 1) * probs[i] - lo))
+    return out
+
+
+def _ranked(df: DataFrame, cols: list[str], targets: dict, brackets: dict) -> dict[tuple[int, int, int], float]:
+    """``{(column, target, rank): value}`` of the ranks that lie in their target's bracket."""
+    counted = df.agg(*[F.count(F.when(present(cols[c]) < brackets[c, i][0], 1)).alias(f"b{c}_{i}") for c, i in targets]).first()
+    below = {t: counted[f"b{t[0]}_{t[1]}"] for t in targets}
+    inside = F.filter(F.array(*[
+        F.when(present(cols[c]).between(*map(F.lit, brackets[c, i])),
+               F.struct(F.lit(c).alias("c"), F.lit(i).alias("i"), present(cols[c]).alias("value"))) for c, i in targets]),
+        lambda x: x.isNotNull())
+    values = df.select(F.explode(inside).alias("v")).select("v.*").groupBy("c", "i", "value").agg(
+        F.count(F.lit(1)).alias("cnt"))
+    cum = running_total(write_scratch(values, "brackets"), [("value", True)], {"cum": "cnt"}, ["c", "i"])
+    # ranks inside the bracket, by column and target
+    wanted = F.create_map(*[x for (c, i), ranks in targets.items() for x in (
+        F.lit(f"{c},{i}"), F.array(*[F.lit(r - below[c, i]).cast("long") for r in ranks]))])
+    hits = cum.withColumn("r", F.explode(F.array_distinct(wanted[F.concat_ws(",", "c", "i")]))).where(
         (F.col("cum") - F.col("cnt") <= F.col("r")) & (F.col("r") < F.col("cum")))
-    return {(*[h[k] for k in keys], h["i"], h["r"]): h["value"] for h in hits.select(*keys, "i", "r", "value").collect()}
+    return {(h["c"], h["i"], h["r"] + below[h["c"], h["i"]]): h["value"] for h in hits.collect()}
+
+
+# ---------------------------------------------------------------- with groups: a table of brackets
+
+def _salted_join(rows: DataFrame, table: DataFrame, keys: list[str], spread: Column) -> DataFrame:
+    """``rows`` with the columns of ``table`` (one row per ``keys``), hot keys spread over sub-keys.
+
+    The table's rows are repeated for the sub-keys that occur.  Null keys meet like any other.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
+    parts = salted.groupBy(*keys, "_salt").agg(F.lit(1).alias("_one")).select(
+        *[F.col(k).alias(f"_p_{k}") for k in keys], F.col("_salt").alias("_p_salt"))
+    named = table.withColumnsRenamed({k: f"_t_{k}" for k in keys})
+
+    def same(a: str, b: str) -> Column:
+        cond = F.lit(True)
+        for k in keys:
+            cond = cond & F.col(f"{a}{k}").eqNullSafe(F.col(f"{b}{k}"))
+        return cond
+    wanted = parts.join(named, same("_p_", "_t_")).drop(*[f"_t_{k}" for k in keys])
+    return salted.join(wanted, same("", "_p_") & (F.col("_salt") == F.col("_p_salt"))).drop(
+        "_salt", "_p_salt", *[f"_p_{k}" for k in keys])
+
+
+def _grouped(df: DataFrame, cols: list[str], probs: list[float], groups: list[str]) -> DataFrame:
+    """Quantiles per group and column; groups may be many and of any size."""
+    vals = [f"_v{i}" for i in range(len(cols))]
+    rows = df.select(*groups, *[present(c).alias(v) for c, v in zip(cols, vals, strict=True)])
+    edges = _edges(probs)
+    stats = write_scratch(rows.groupBy(*groups).agg(*[
+        F.struct(F.count(v).alias("n"), F.min(v).alias("least"), F.max(v).alias("most"),
+                 F.percentile_approx(v, edges, ACCURACY).alias("edges")).alias(f"_s{i}") for i, v in enumerate(vals)]), "sketches")
+
+    def bracket(c: int, i: int, whole: bool) -> tuple[Column, Column]:
+        s = F.col(f"_s{c}")
+        return (s["least"], s["most"]) if whole else (s["edges"][2 * i], s["edges"][2 * i + 1])
+
+    def searched(table: DataFrame, whole: bool) -> DataFrame:
+        met = _salted_join(rows, table, groups, F.struct(*vals))
+        cells = []
+        for c, v in enumerate(vals):
+            for i in range(len(probs)):
+                lo, hi = bracket(c, i, whole)
+                # below a bracket only the number counts: those values fall together into one row
+                cells.append(F.when(F.col(v) <= hi, F.struct(
+                    F.lit(c).alias("c"), F.lit(i).alias("i"), F.col(f"_s{c}")["n"].alias("n"),
+                    F.when(F.col(v) >= lo, F.col(v)).alias("value"))))
+        inside = met.select(*groups, F.explode(F.filter(F.array(*cells), lambda x: x.isNotNull())).alias("_x")).select(
+            *groups, "_x.*").groupBy(*groups, "c", "i", "n", "value").agg(F.count(F.lit(1)).alias("cnt"))
+        # nulls come first, so the running count of the values inside starts from the rows below
+        cum = running_total(write_scratch(inside, "brackets"), [("value", True)], {"cum": "cnt"}, [*groups, "c", "i"])
+        h = (F.col("n") - 1) * F.array(*map(F.lit, probs))[F.col("i")]
+
+        def at(rank: Column) -> Column:
+            return F.max(F.when((F.col("cum") - F.col("cnt") <= rank) & (rank < F.col("cum")), F.col("value")))
+        return cum.where(F.col("value").isNotNull()).groupBy(*groups, "c", "i", "n").agg(
+            at(F.floor(h)).alias("a"), at(F.ceil(h)).alias("b"))
+
+    # one row for every group, column with a value, and probability
+    asked = stats.select(*groups, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("c"), F.lit(i).alias("i"), F.col(f"_s{c}")["n"].alias("n"))
+        for c in range(len(cols)) for i in range(len(probs))])).alias("_x")).select(*groups, "_x.*").where(F.col("n") > 0)
+    found = write_scratch(searched(stats, False).where(F.col("a").isNotNull() & F.col("b").isNotNull()), "ranks")
+    keys = [*groups, "c", "i", "n"]
+
+    def missed() -> DataFrame:
+        return asked.unionByName(found.select(*keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") == 1)
+    if not missed().isEmpty():  # the sketch's bound makes this unlikely
+        again = searched(stats, True)
+        both = found.withColumn("_o", F.lit(0)).unionByName(again.withColumn("_o", F.lit(1)))
+        found = both.groupBy(*keys).agg(F.min(F.struct("_o", "a", "b")).alias("_m")).select(*keys, "_m.a", "_m.b")
+    h = (F.col("n") - 1) * F.array(*map(F.lit, probs))[F.col("i")]
+    return found.select(
+        *groups, F.array(*map(F.lit, cols))[F.col("c")].alias("feature"), F.array(*map(F.lit, probs))[F.col("i")].alias("prob"),
+        (F.col("a") + (F.col("b") - F.col("a")) * (h - F.floor(h))).alias("quantile"))
 
 
 def _empty(spark, df, group_cols):
@@ -154,6 +238,8 @@ def _empty(spark, df, group_cols):
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                    method: str = "exact") -> dict[str, list[float]]:
     """Fitted statistics on the driver: ``{column: [q for each prob]}`` (small by construction)."""
+    if method == "exact":
+        return _ungrouped(df, numeric_columns(df, cols), [float(p) for p in probs])
     rows = quantiles_long(df, cols, probs, method).collect()
     out: dict[str, list[float]] = {}
     index = {float(p): i for i, p in enumerate(probs)}

@@ -57,7 +57,8 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     h = df.withColumn("_h", hash32(F.col(key), seed))
     ranked = global_rank(h, [("_h", True), (key, True)], [label], "_rk")
     q = df.sparkSession.createDataFrame(list(quotas.items()), f"_class {df.schema[label].dataType.simpleString()}, _quota long")
-    return ranked.join(q, ranked[label].eqNullSafe(q["_class"])).withColumn(
+    # one row per class, as collected above: no row moves for its quota
+    return ranked.join(F.broadcast(q), ranked[label].eqNullSafe(q["_class"])).withColumn(
         out, F.when(F.col("_rk") <= F.col("_quota"), "holdout").otherwise("train")).drop("_h", "_rk", "_class", "_quota")
 
 
