@@ -5,10 +5,8 @@ class, draw number and seed, so results do not depend on partitioning or task
 retries.  Per-class work never puts a hot class into one task:
 
 * ranks inside a class use :func:`global_rank` (range buckets);
-* the kNN search prunes with a 1-D projection bound
-  ``|u.a - u.b| <= ||a - b||`` (``||u|| = 1``): an upper radius per point from
-  its rank neighbours, then a bucketed band join that only emits pairs inside
-  the radius.  The answer is exact; no all-pairs product is formed;
+* the exact kNN search compares blocks of a few hundred points, pruned by pivots
+  (:mod:`fernwood.operators.neighbours`);
 * synthetic rows are generated in fixed-size chunks spread over tasks, and the
   base / neighbour rows are fetched with equi-joins.
 """
@@ -18,10 +16,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fernwood.functions import hash32, squared_distance, unit_draw
+from fernwood.functions import hash32, unit_draw
+from fernwood.operators.neighbours import knn_within_class
 from fernwood.operators.ranking import global_rank
 
 # Synthetic rows produced by one task
@@ -143,60 +142,6 @@ def resample_by_weight(df: DataFrame, key: str, weight: str, seed: int = 42) ->
     return df.where(copies > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies))).drop("_copy")
 
 
-def _projection(features: str) -> F.Column:
-    """``u . x`` with ``u = (1, ..., 1) / sqrt(d)``: a unit direction, so the 1-D gap bounds the distance."""
-    arr = F.col(features)
-    s = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x.cast("double"))
-    return s / F.sqrt(F.size(arr).cast("double"))
-
-
-def knn_within_class(df: DataFrame, key: str, label: str, features: str, k: int,
-                     classes: Sequence[int] | None = None) -> DataFrame:
-    """Exact k nearest same-class neighbours, ``(label, key, nbr_rank, nbr_key, dist)``.
-
-    Ties in distance are broken by neighbour key.  See the module docstring
-    for the pruning; every true neighbour satisfies the band condition.
-    """
-    pts = df.select(F.col(key).alias("key"), F.col(label).alias("cls"), F.col(features).alias("x"))
-    if classes is not None:
-        pts = pts.where(F.col("cls").isin(list(classes)))
-    pts = pts.withColumn("p", _projection("x"))
-    sizes = class_counts(pts, "cls")
-    ranked = global_rank(pts, [("p", True), ("key", True)], ["cls"], "r")
-
-    # 1) upper radius from the k rank-neighbours on each side
-    offs = F.array(*[F.lit(o) for o in range(-k, k + 1) if o != 0])
-    left = ranked.select("cls", "key", "x", "r", F.explode(offs).alias("o")) \
-        .withColumn("r2", F.col("r") + F.col("o"))
-    right = ranked.select("cls", F.col("r").alias("r2"), F.col("key").alias("nkey"), F.col("x").alias("nx"))
-    near = left.join(right, ["cls", "r2"], "inner") \
-        .withColumn("d2", squared_distance(F.col("x"), F.col("nx")))
-    wk = Window.partitionBy("cls", "key").orderBy("d2", "nkey")
-    # partitions are single points with at most 2k candidates
-    radius = near.withColumn("_n", F.row_number().over(wk)).where(F.col("_n") == k) \
-        .select("cls", "key", F.sqrt("d2").alias("rho"))
-
-    # 2) band join on the projection, bucket width = median radius of the class
-    width = radius.groupBy("cls").agg(F.percentile_approx("rho", 0.5, 1000).alias("w")) \
-        .withColumn("w", F.when(F.col("w") > 0, F.col("w")).otherwise(F.lit(1.0)))
-    # one row per class
-    slack = F.col("rho") * F.lit(1.0 + 1e-9) + F.lit(1e-12)
-    probe = ranked.join(radius, ["cls", "key"], "inner").join(F.broadcast(width), "cls", "inner") \
-        .withColumn("b", F.explode(F.sequence(F.floor((F.col("p") - slack) / F.col("w")),
-                                              F.floor((F.col("p") + slack) / F.col("w"))))) \
-        .select("cls", "key", "x", "p", "rho", "b")
-    build = ranked.join(F.broadcast(width), "cls", "inner").select(
-        "cls", F.floor(F.col("p") / F.col("w")).alias("b"), F.col("key").alias("nkey"),
-        F.col("x").alias("nx"), F.col("p").alias("np"))
-    cand = probe.join(build, ["cls", "b"], "inner").where(
-        (F.col("nkey") != F.col("key")) & (F.abs(F.col("np") - F.col("p")) <= F.col("rho") * F.lit(1.0 + 1e-9) + F.lit(1e-12)))
-    cand = cand.withColumn("d2", squared_distance(F.col("x"), F.col("nx"))) \
-        .where(F.col("d2") <= (F.col("rho") * F.col("rho")) * F.lit(1.0 + 1e-9) + F.lit(1e-12))
-    top = cand.withColumn("nbr_rank", F.row_number().over(wk)).where(F.col("nbr_rank") <= k)
-    return top.select(F.col("cls").alias(label), F.col("key").alias(key), "nbr_rank",
-                      F.col("nkey").alias("nbr_key"), F.sqrt("d2").alias("dist"))
-
-
 def smote(df: DataFrame, key: str, label: str, features: str, targets: Sequence[int],
           strategy="auto", k: int = 5, seed: int = 42) -> DataFrame:
     """SMOTE oversampling of ``targets``; originals kept, other classes untouched.
