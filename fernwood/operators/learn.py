@@ -6,13 +6,14 @@ Differences from the single-machine learners, stated once:
   ``min_samples_split`` has no twin, ``minInstancesPerNode`` is used and named so;
 * trees are binned (``maxBins``), forests are seeded but not
   partition-invariant, so results are checked by invariants;
-* the perceptron is sigmoid hidden layers + softmax output trained by L-BFGS
-  and has no ``weightCol``: class weights become resampling.
+* Spark ML's perceptron is sigmoid hidden layers + softmax output trained by L-BFGS
+  and has no ``weightCol``: class weights become resampling.  The grid trains relu and tanh
+  perceptrons in mini-batches (:mod:`fernwood.operators.minibatch`).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.ml import Estimator, Model
@@ -25,6 +26,9 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fernwood.operators.minibatch import MinibatchPerceptron
+from fernwood.operators.tree_path import in_parallel, nodes_of, score_path
+
 MAX_DEPTH = 30
 SEED = 42
 
@@ -33,9 +37,9 @@ DT_PARAM_GRID = {"max_depth": [5, 10, 15, 20, None], "min_samples_split": [2, 5,
                  "criterion": ["gini", "entropy"]}
 RF_PARAM_GRID = {"n_estimators": [100, 200, 300], "max_depth": [10, 15, 20, None],
                  "min_samples_split": [2, 5]}
-MLP_PARAM_GRID = {"hidden_dims": [(64,), (128, 64), (256, 128, 64)], "solver": ["l-bfgs", "gd"]}
-# full-batch steps at most; gd as many as 20 epochs of 256-row batches take on 8,000 rows
-MLP_ITERATIONS = {"l-bfgs": 100, "gd": 640}
+MLP_PARAM_GRID = {"hidden_dims": [(64,), (128, 64), (256, 128, 64)], "activation": ["relu", "tanh"],
+                  "dropout": [0.3], "lr": [1e-3]}
+MLP_GRID_EPOCHS = 20
 
 
 def assemble(df: DataFrame, features: Sequence[str], label: str = "y",
@@ -166,6 +170,92 @@ def evaluate(model: Model, df: DataFrame, name: str, task: str = "binary", key:
     return metrics_long(macro, task, ["accuracy", "precision_macro", "recall_macro", "f1_macro"])
 
 
+def f1_scores(pairs: DataFrame, positive_only: bool = False) -> dict[int, float]:
+    """F1 per ``model`` of ``(model, y_true, y_pred)``: of class 1, or the macro average."""
+    from fernwood.operators.metrics import binary_counts, macro_prf
+    if not positive_only:
+        return {r["model"]: r["f1_macro"] for r in macro_prf(pairs, ["model"]).collect()}
+    found = {}
+    for c in binary_counts(pairs, ["model"]).collect():
+        den = 2 * c["tp"] + c["fp"] + c["fn"]
+        found[c["model"]] = 0.0 if den == 0 else 2.0 * c["tp"] / den
+    return found
+
+
+def tree_grid_search(estimator, train: DataFrame, spec: dict, positive_only: bool = False, parallelism: int = 4):
+    """H5/H6: a grid over depths (and forest sizes) from the deepest (and widest) fits.
+
+    One fit per fold and remaining combination (split size, criterion), run from a bounded pool;
+    all depths and sizes are scored by one walk (see :mod:`fernwood.operators.tree_path`).
+    Returns ``(best model refitted on all rows, best params, best mean score, [(params, score)])``.
+    """
+    from itertools import product
+
+    spark = train.sparkSession
+    depths = [_depth(d) for d in spec["max_depth"]]
+    sizes = list(spec.get("n_estimators", [1]))
+    rest = [dict(zip(("minInstancesPerNode", "impurity"), v)) for v in product(
+        spec["min_samples_split"], spec.get("criterion", [estimator.getImpurity()]))]
+    widest = {"maxDepth": max(depths)} | ({"numTrees": max(sizes)} if "n_estimators" in spec else {})
+    n_folds = int(train.agg(F.max("fold")).first()[0]) + 1
+
+    def fitted(params: dict, rows: DataFrame):
+        return estimator.copy({estimator.getParam(k): v for k, v in params.items()}).fit(rows)
+
+    def one(params: dict, fold: int) -> Callable:
+        def run():
+            nodes = nodes_of(fitted(params | widest, train.where(F.col("fold") != fold)), spark)
+            return f1_scores(score_path(train.where(F.col("fold") == fold), nodes, sizes, depths), positive_only)
+        return run
+    jobs = [one(p, f) for p in rest for f in range(n_folds)]
+    found = in_parallel(spark, jobs, parallelism)
+    table = []
+    for i, p in enumerate(rest):
+        folds = found[i * n_folds:(i + 1) * n_folds]
+        for at, (size, depth) in enumerate(product(sizes, depths)):
+            params = {"maxDepth": depth, **p} | ({"numTrees": size} if "n_estimators" in spec else {})
+            if "criterion" not in spec:
+                params.pop("impurity")
+            table.append((params, sum(f.get(at, 0.0) for f in folds) / n_folds))
+    best = max(range(len(table)), key=lambda i: (table[i][1], -i))
+    return fitted(table[best][0], train), *table[best], table
+
+
+def perceptron_grid_search(train: DataFrame, holdout: DataFrame, n_inputs: int, n_classes: int = 2, spec: dict | None = None,
+                           epochs: int | None = None, positive_only: bool = True, parallelism: int = 4) -> list[dict]:
+    """H9: every combination on every fold and on all of ``train``, from one bounded pool of fits.
+
+    Gives for each combination its params, ``cv_f1`` (mean over the folds of column ``fold``) and
+    ``val_f1`` (on ``holdout``, of the model fitted on all folds).
+    """
+    from itertools import product
+
+    spec, epochs = spec or MLP_PARAM_GRID, epochs or MLP_GRID_EPOCHS
+    combos = [dict(zip(spec, v)) for v in product(*spec.values())]
+    f1 = MacroF1Evaluator(positive_only=positive_only)
+    n_folds = int(train.agg(F.max("fold")).first()[0]) + 1
+
+    def one(params: dict, fold: int | None) -> Callable:
+        def run():
+            rows = train if fold is None else train.where(F.col("fold") != fold)
+            test = holdout if fold is None else train.where(F.col("fold") == fold)
+            return f1.evaluate(minibatch_perceptron(n_inputs, params, n_classes, epochs).fit(rows).transform(test))
+        return run
+    # the largest first, so that no long fit is left over at the end
+    jobs = sorted(((i, f) for i in range(len(combos)) for f in [None, *range(n_folds)]),
+                  key=lambda x: -sum(combos[x[0]]["hidden_dims"]))
+    found = dict(zip(jobs, in_parallel(train.sparkSession, [one(combos[i], f) for i, f in jobs], parallelism)))
+    return [{"params": c, "cv_f1": sum(found[i, f] for f in range(n_folds)) / n_folds, "val_f1": found[i, None]}
+            for i, c in enumerate(combos)]
+
+
+def minibatch_perceptron(n_inputs: int, params: dict, n_classes: int = 2, epochs: int = MLP_GRID_EPOCHS,
+                         weight_col: str | None = None) -> MinibatchPerceptron:
+    """A perceptron of a combination of ``MLP_PARAM_GRID``."""
+    return MinibatchPerceptron([n_inputs, *params["hidden_dims"], n_classes], activation=params["activation"],
+                               dropout=params["dropout"], rate=params["lr"], epochs=epochs, seed=SEED, weight_col=weight_col)
+
+
 def dt_grid(dt: DecisionTreeClassifier, spec: dict = DT_PARAM_GRID) -> list:
     return (ParamGridBuilder()
             .addGrid(dt.maxDepth, [_depth(d) for d in spec["max_depth"]])

@@ -89,68 +89,63 @@ def mlp_multiclass(spark, sf_dir):
     return _scores_out(learn.score(m, test, "mlp_multiclass"))
 
 
-def _cv_rows(spark, grid, scores, best_params):
-    rows = []
-    for pm, s in zip(grid, scores):
-        p = {k.name: v for k, v in pm.items()}
-        rows.append((learn.params_key(p), float(s), p == best_params))
-    return spark.createDataFrame(rows, "params string, cv_score double, best boolean")
+def _cv_rows(spark, table, best_params):
+    return spark.createDataFrame([(learn.params_key(p), float(s), p == best_params) for p, s in table],
+                                 "params string, cv_score double, best boolean")
+
+
+def _folds(rows: DataFrame, k: int) -> DataFrame:
+    """The rows with their fold, kept for the many fits that read them."""
+    return S.stratified_folds(rows, "y", "key", k, 42).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 @register("grid_search_dt")
 def grid_search_dt(spark, sf_dir):
     """30 balanced trees, 5 stratified folds, F1 of the positive class."""
     train, _, _ = prepared(spark, sf_dir)
-    folds = S.stratified_folds(train, "y", "key", 5, 42).persist(StorageLevel.MEMORY_AND_DISK)
+    folds = _folds(train, 5)
     try:
-        dt = learn.decision_tree(weight_col="weight")
-        grid = learn.dt_grid(dt)
-        _, params, _, scores = learn.grid_search(dt, grid, folds, learn.MacroF1Evaluator(positive_only=True))
+        _, params, _, rows = learn.tree_grid_search(learn.decision_tree(weight_col="weight"), folds, learn.DT_PARAM_GRID, True)
     finally:
         folds.unpersist()
-    return _cv_rows(spark, grid, scores, params)
+    return _cv_rows(spark, rows, params)
 
 
 @register("grid_search_rf")
 def grid_search_rf(spark, sf_dir):
     """H6: the 24 balanced forests of the whole grid, 5 stratified folds, macro F1."""
     train, _, _ = prepared(spark, sf_dir, "multiclass_5cat")
-    folds = S.stratified_folds(train, "y", "key", 5, 42).persist(StorageLevel.MEMORY_AND_DISK)
+    folds = _folds(train, 5)
     try:
-        rf = learn.forest(weight_col="weight")
-        grid = learn.rf_grid(rf)
-        _, params, _, scores = learn.grid_search(rf, grid, folds, learn.MacroF1Evaluator())
+        _, params, _, rows = learn.tree_grid_search(learn.forest(weight_col="weight"), folds, learn.RF_PARAM_GRID)
     finally:
         folds.unpersist()
-    return _cv_rows(spark, grid, scores, params)
+    return _cv_rows(spark, rows, params)
 
 
 @register("grid_search_mlp")
 def grid_search_mlp(spark, sf_dir):
-    """Perceptron shapes x solvers, by hold-out F1; the winner is refitted with twice the budget.
+    """Perceptron shapes x activations, by hold-out F1; the winner is refitted with twice the epochs.
 
-    ``cv_f1`` is the mean over 3 folds, ``val_f1`` the hold-out F1 of the model that the search
-    refits on all folds, ``refit_f1`` the test F1 of the refitted winner (null for the others).
+    ``cv_f1`` is the mean over 3 folds, ``val_f1`` the hold-out F1 of the model fitted on all folds,
+    ``refit_f1`` the test F1 of the refitted winner (null for the others).
     """
     train, test, feats = prepared(spark, sf_dir)
-    parts = S.stratified_split(train, "y", "key", 0.2, 42)
-    folds = S.stratified_folds(parts.where(F.col("split") == "train").drop("split"), "y", "key", 3, 42)
-    folds = folds.persist(StorageLevel.MEMORY_AND_DISK)
-    hold = parts.where(F.col("split") == "holdout")
-    f1, rows = learn.MacroF1Evaluator(positive_only=True), []
+    parts = S.stratified_split(train, "y", "key", 0.2, 42).persist(StorageLevel.MEMORY_AND_DISK)
+    folds = _folds(parts.where(F.col("split") == "train").drop("split"), 3)
     try:
-        for hidden in learn.MLP_PARAM_GRID["hidden_dims"]:
-            for solver in learn.MLP_PARAM_GRID["solver"]:
-                est = learn.perceptron(len(feats), hidden, 2, max_iter=learn.MLP_ITERATIONS[solver], solver=solver)
-                model, _, cv, _ = learn.grid_search(est, [{}], folds, f1)
-                key = learn.params_key({"hidden": "x".join(map(str, hidden)), "solver": solver})
-                rows.append((key, float(cv), float(f1.evaluate(model.transform(hold))), hidden, solver))
+        rows = learn.perceptron_grid_search(folds, parts.where(F.col("split") == "holdout"), len(feats))
+        for r in rows:
+            shown = {"hidden": "x".join(map(str, r["params"]["hidden_dims"])), "activation": r["params"]["activation"]}
+            r["key"] = learn.params_key(shown)
+        best = max(rows, key=lambda r: (r["val_f1"], r["key"]))
+        winner = learn.minibatch_perceptron(len(feats), best["params"], epochs=2 * learn.MLP_GRID_EPOCHS).fit(
+            parts.where(F.col("split") == "train"))
     finally:
         folds.unpersist()
-    best, _, _, hidden, solver = max(rows, key=lambda r: (r[2], r[0]))
-    winner = learn.perceptron(len(feats), hidden, 2, max_iter=2 * learn.MLP_ITERATIONS[solver], solver=solver).fit(train)
-    refit = float(f1.evaluate(winner.transform(test)))
-    return spark.createDataFrame([(k, c, v, k == best, refit if k == best else None) for k, c, v, _, _ in rows],
+        parts.unpersist()
+    refit = float(learn.MacroF1Evaluator(positive_only=True).evaluate(winner.transform(test)))
+    return spark.createDataFrame([(r["key"], r["cv_f1"], r["val_f1"], r is best, refit if r is best else None) for r in rows],
                                  "params string, cv_f1 double, val_f1 double, chosen boolean, refit_f1 double")
 
 
