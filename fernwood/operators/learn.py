@@ -14,7 +14,6 @@ Differences from the single-machine learners, stated once:
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (DecisionTreeClassifier, MultilayerPerceptronClassifier,
@@ -110,8 +109,23 @@ def score(model: Model, df: DataFrame, name: str, key: str = "key", label: str =
 
 
 def score_models(models: dict[str, Model], df: DataFrame, key: str = "key", label: str = "y") -> DataFrame:
-    """Every model scored once on the same test set, unioned into one long table."""
-    return reduce(DataFrame.unionByName, [score(m, df, n, key, label) for n, m in models.items()])
+    """Every model scored on one scan of the test set, as one long table.
+
+    The models are chained on the frame, each with output columns of its own; a row is then
+    turned into one row per model.
+    """
+    out, cells = df, []
+    for i, (name, model) in enumerate(models.items()):
+        out = model.transform(out)
+        prob = vector_to_array("probability") if "probability" in out.columns else F.array(F.col("prediction"))
+        out = out.withColumns({f"_prob{i}": prob, f"_pred{i}": F.col("prediction")}).drop(
+            "rawPrediction", "probability", "prediction")
+        p, hard = F.col(f"_prob{i}"), F.col(f"_pred{i}")
+        pos = F.when(F.size(p) >= 2, F.element_at(p, 2)).otherwise(hard)
+        cells.append(F.struct(F.lit(name).alias("model"), hard.cast("int").alias("y_pred"), pos.cast("double").alias("y_prob"),
+                              p.alias("probability")))
+    rows = out.select(F.col(key).alias("row_id"), F.col(label).cast("int").alias("y_true"), F.explode(F.array(*cells)).alias("s"))
+    return rows.select("s.model", "row_id", "y_true", "s.y_pred", "s.y_prob", "s.probability")
 
 
 class MacroF1Evaluator(Evaluator):
@@ -166,7 +180,7 @@ def evaluate(model: Model, df: DataFrame, name: str, task: str = "binary", key:
     s = score(model, df, name, key, label)
     if task == "binary":
         return metrics_long(M.binary_metrics(s, ["model"]), task, ["accuracy", "precision", "recall", "f1", "auc"])
-    macro = M.accuracy(s, ["model"]).join(M.macro_prf(s, ["model"]), "model")
+    macro = M.accuracy_and_macro(s, ["model"])
     return metrics_long(macro, task, ["accuracy", "precision_macro", "recall_macro", "f1_macro"])
 
 

@@ -17,42 +17,66 @@ from pyspark.sql import functions as F
 
 from fernwood.functions import safe_div
 from fernwood.operators.ranking import running_total
+from fernwood.session import write_scratch
 
 
 def pair_counts(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
-    """``(group..., y_true, y_pred, n)``: the sparse confusion counts."""
+    """``(group..., y_true, y_pred, n)``: the sparse confusion counts; null labels are a bucket."""
     return scores.groupBy(*group, "y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"))
 
 
+def stored_counts(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+    """:func:`pair_counts` as a written table: the scores are read once, whatever is derived from it."""
+    return write_scratch(pair_counts(scores, group), "pairs")
+
+
+def _hit() -> F.Column:
+    """Truth and prediction agree; a null label agrees with nothing."""
+    return F.coalesce(F.col("y_true") == F.col("y_pred"), F.lit(False))
+
+
 def confusion_matrix(scores: DataFrame, group: Sequence[str] = (),
                      labels: Sequence[int] | None = None) -> DataFrame:
     """Dense confusion matrix, zero cells present, labels sorted.
 
     Labels are the given list or the union of true and predicted labels per
-    group.  The grid is built by exploding the (small) label array twice.
+    group, null being one where it occurs.  The grid is built by exploding the (small) label
+    array twice.
     """
-    pc = pair_counts(scores, group)
+    pc = stored_counts(scores, group)
     if labels is not None:
-        lab = pc.select(*group).distinct().withColumn("_labels", F.array(*[F.lit(int(x)) for x in labels]))
+        lab = pc.select(*group).distinct().withColumn("_labels", F.array(*[F.struct(F.lit(int(x)).alias("l")) for x in labels]))
     else:
+        # in structs, as collect_set leaves nulls out
         lab = pc.groupBy(*group).agg(F.array_sort(F.array_union(
-            F.collect_set("y_true"), F.collect_set("y_pred"))).alias("_labels"))
-    grid = lab.select(*group, F.explode("_labels").alias("y_true"), "_labels") \
-        .select(*group, "y_true", F.explode("_labels").alias("y_pred"))
-    return grid.join(pc, [*group, "y_true", "y_pred"], "left").select(
+            F.collect_set(F.struct(F.col("y_true").alias("l"))), F.collect_set(F.struct(F.col("y_pred").alias("l"))))).alias("_labels"))
+    grid = lab.select(*group, F.explode("_labels").alias("_t"), "_labels") \
+        .select(*group, F.col("_t.l").alias("y_true"), F.explode("_labels").alias("_p")) \
+        .select(*group, "y_true", F.col("_p.l").alias("y_pred"))
+    same = F.lit(True)
+    for c in (*group, "y_true", "y_pred"):
+        same = same & F.col(c).eqNullSafe(F.col(f"_c_{c}"))
+    return grid.join(pc.withColumnsRenamed({c: f"_c_{c}" for c in (*group, "y_true", "y_pred")}), same, "left").select(
         *group, "y_true", "y_pred", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
 
 
 def binary_counts(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
-    """``tp, fp, fn, tn, n`` per group (positive class = 1)."""
-    t, p = F.col("y_true") == 1, F.col("y_pred") == 1
-    return scores.groupBy(*group).agg(
-        F.sum((t & p).cast("long")).alias("tp"),
-        F.sum((~t & p).cast("long")).alias("fp"),
-        F.sum((t & ~p).cast("long")).alias("fn"),
-        F.sum((~t & ~p).cast("long")).alias("tn"),
-        F.count(F.lit(1)).alias("n"),
-    )
+    """``tp, fp, fn, tn, n`` per group (positive class = 1; a null label is not positive)."""
+    return scores.groupBy(*group).agg(*_binary_sums(), F.count(F.lit(1)).alias("n"))
+
+
+def _binary_sums() -> list[F.Column]:
+    t, p = F.col("y_true").eqNullSafe(F.lit(1)), F.col("y_pred").eqNullSafe(F.lit(1))
+    return [F.sum(c.cast("long")).alias(name) for name, c in (("tp", t & p), ("fp", ~t & p), ("fn", t & ~p), ("tn", ~t & ~p))]
+
+
+def score_counts(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+    """``(group..., y_prob, pos, neg)`` per distinct score.  Rows without a truth or a score (null
+    or NaN) have no place in a ranking and are left out."""
+    ranked = F.col("y_true").isNotNull() & F.col("y_prob").isNotNull() & ~F.isnan("y_prob")
+    return scores.where(ranked).groupBy(*group, "y_prob").agg(
+        F.sum((F.col("y_true") == 1).cast("long")).alias("pos"),
+        F.sum((F.col("y_true") != 1).cast("long")).alias("neg"))
 
 
 def roc_auc(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
@@ -61,9 +85,10 @@ def roc_auc(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     Scores are grouped first (one row per distinct score), and the running
     count of negatives uses :func:`running_total`, never a one-task window.
     """
-    by_score = scores.groupBy(*group, "y_prob").agg(
-        F.sum((F.col("y_true") == 1).cast("long")).alias("pos"),
-        F.sum((F.col("y_true") != 1).cast("long")).alias("neg"))
+    return _auc(score_counts(scores, group), group)
+
+
+def _auc(by_score: DataFrame, group: Sequence[str]) -> DataFrame:
     cum = running_total(by_score, [("y_prob", True)], {"neg_cum": "neg"}, group)
     part = cum.select(*group, (F.col("pos").cast("double") *
                                ((F.col("neg_cum") - F.col("neg")).cast("double") +
@@ -76,8 +101,14 @@ def roc_auc(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
 
 
 def binary_metrics(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
-    """Accuracy, precision, recall, f1 (0/0 -> 0) and AUC per group."""
-    c = binary_counts(scores, group)
+    """Accuracy, precision, recall, f1 (0/0 -> 0) and AUC per group.
+
+    Counts per distinct score are written once; every metric follows from that table.
+    """
+    stored = write_scratch(scores.groupBy(*group, "y_prob").agg(
+        *_binary_sums(), F.count(F.lit(1)).alias("n"), F.count_if(F.col("y_true") == 1).alias("pos"),
+        F.count_if(F.col("y_true") != 1).alias("neg")), "binary")
+    c = stored.groupBy(*group).agg(*[F.sum(x).alias(x) for x in ("tp", "fp", "fn", "tn", "n")])
     m = c.select(
         *group,
         safe_div(F.col("tp") + F.col("tn"), F.col("n")).alias("accuracy"),
@@ -85,65 +116,58 @@ def binary_metrics(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
         safe_div(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"),
         safe_div(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"),
     )
+    ranked = stored.where(F.col("y_prob").isNotNull() & ~F.isnan("y_prob") & (F.col("pos") + F.col("neg") > 0))
+    auc = _auc(ranked.select(*group, "y_prob", "pos", "neg"), group)
     if not group:
-        m = m.withColumn("_g", F.lit(0))
-        auc = roc_auc(scores).withColumn("_g", F.lit(0))
-        return m.join(auc, "_g").drop("_g")
-    return m.join(roc_auc(scores, group), list(group), "left")
+        return m.withColumn("_g", F.lit(0)).join(auc.withColumn("_g", F.lit(0)), "_g").drop("_g")
+    return m.join(auc, list(group), "left")
 
 
 def roc_curve(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """ROC points ``(group..., idx, threshold, fpr, tpr)``.
 
-    Thresholds are the distinct scores in descending order; points whose
-    neighbours lie on the same straight line are dropped (second difference of
-    both fp and tp counts is zero); a leading ``(0, 0)`` point with an infinite
-    threshold is added.  Neighbours are found by equi-joins on the point index.
+    Thresholds are the distinct scores in descending order; a point between two others on one
+    straight line is dropped, that is where the next score has as many positives and as many
+    negatives as its own; a leading ``(0, 0)`` point with an infinite threshold is added.
+    Running counts, the next score's counts and the group's totals come from one pass over the
+    counts per score (:func:`running_total`).
     """
-    by_score = scores.groupBy(*group, "y_prob").agg(
-        F.sum((F.col("y_true") == 1).cast("long")).alias("pos"),
-        F.sum((F.col("y_true") != 1).cast("long")).alias("neg"),
-        F.lit(1).cast("long").alias("one"))
-    cum = running_total(by_score, [("y_prob", False)], {"tps": "pos", "fps": "neg", "idx": "one"}, group)
-    totals = by_score.groupBy(*group).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    pts = cum.select(*group, "idx", F.col("y_prob").alias("threshold"), "tps", "fps")
-    prev = pts.select(*group, (F.col("idx") + 1).alias("idx"), F.col("tps").alias("tps_prev"),
-                      F.col("fps").alias("fps_prev"))
-    nxt = pts.select(*group, (F.col("idx") - 1).alias("idx"), F.col("tps").alias("tps_next"),
-                     F.col("fps").alias("fps_next"))
-    keys = [*group, "idx"]
-    j = pts.join(prev, keys, "left").join(nxt, keys, "left")
-    keep = (F.col("tps_prev").isNull() | F.col("tps_next").isNull()
-            | ((F.col("fps_next") - 2 * F.col("fps") + F.col("fps_prev")) != 0)
-            | ((F.col("tps_next") - 2 * F.col("tps") + F.col("tps_prev")) != 0))
-    kept = j.where(keep).select(*group, "idx", "threshold", "tps", "fps")
-    origin = totals.select(*group, F.lit(0).cast("long").alias("idx"),
-                           F.lit(float("inf")).alias("threshold"),
-                           F.lit(0).cast("long").alias("tps"), F.lit(0).cast("long").alias("fps"))
-    allpts = kept.unionByName(origin.select(*group, "idx", "threshold", "tps", "fps"))
-    tot = totals if group else totals.withColumn("_g", F.lit(0))
-    allpts = allpts if group else allpts.withColumn("_g", F.lit(0))
-    out = allpts.join(F.broadcast(tot), list(group) or ["_g"], "inner").select(
-        *group, "idx", "threshold",
-        F.when(F.col("N") == 0, F.lit(None).cast("double")).otherwise(
-            F.col("fps").cast("double") / F.col("N").cast("double")).alias("fpr"),
-        F.when(F.col("P") == 0, F.lit(None).cast("double")).otherwise(
-            F.col("tps").cast("double") / F.col("P").cast("double")).alias("tpr"))
-    return out
+    by_score = score_counts(scores, group).withColumn("one", F.lit(1).cast("long"))
+    pts = running_total(by_score, [("y_prob", False)], {"tps": "pos", "fps": "neg", "idx": "one"}, group,
+                        following={"pos_next": "pos", "neg_next": "neg"}, group_totals={"P": "pos", "N": "neg"})
+    keep = (F.col("idx") == 1) | F.col("pos_next").isNull() | (F.col("pos_next") != F.col("pos")) | (
+        F.col("neg_next") != F.col("neg"))
+    here = F.struct("idx", F.col("y_prob").cast("double").alias("threshold"), "tps", "fps")
+    zero = F.lit(0).cast("long")
+    origin = F.struct(zero.alias("idx"), F.lit(float("inf")).alias("threshold"), zero.alias("tps"), zero.alias("fps"))
+    # the group's first point brings the origin along
+    shown = pts.where(keep).select(*group, "P", "N", F.explode(
+        F.when(F.col("idx") == 1, F.array(origin, here)).otherwise(F.array(here))).alias("pt"))
+    none = F.lit(None).cast("double")
+    return shown.select(
+        *group, "pt.idx", "pt.threshold",
+        F.when(F.col("N") == 0, none).otherwise(F.col("pt.fps").cast("double") / F.col("N").cast("double")).alias("fpr"),
+        F.when(F.col("P") == 0, none).otherwise(F.col("pt.tps").cast("double") / F.col("P").cast("double")).alias("tpr"))
 
 
 def class_marginals(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
-    """``(group..., class_id, tp, n_true, n_pred)`` over the union of true and predicted labels."""
-    pc = pair_counts(scores, group)
-    t = pc.groupBy(*group, F.col("y_true").alias("class_id")).agg(
-        F.sum("n").alias("n_true"), F.sum(F.when(F.col("y_true") == F.col("y_pred"), F.col("n"))
-                                          .otherwise(0)).alias("tp"))
-    p = pc.groupBy(*group, F.col("y_pred").alias("class_id")).agg(F.sum("n").alias("n_pred"))
-    return t.join(p, [*group, "class_id"], "full_outer").select(
-        *group, "class_id",
-        F.coalesce("tp", F.lit(0)).cast("long").alias("tp"),
-        F.coalesce("n_true", F.lit(0)).cast("long").alias("n_true"),
-        F.coalesce("n_pred", F.lit(0)).cast("long").alias("n_pred"))
+    """``(group..., class_id, tp, n_true, n_pred)`` over the union of true and predicted labels.
+
+    Null is no class: a row without truth only counts as predicted, one without a prediction only
+    as true, so both are misses here as they are in the accuracy.
+    """
+    return _marginals(pair_counts(scores, group), group)
+
+
+def _marginals(pc: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Each pair counts once for its true and once for its predicted class: one pass over the pairs."""
+    sides = F.array(
+        F.struct(F.col("y_true").alias("class_id"), F.when(_hit(), F.col("n")).otherwise(0).alias("tp"),
+                 F.col("n").alias("n_true"), F.lit(0).cast("long").alias("n_pred")),
+        F.struct(F.col("y_pred").alias("class_id"), F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("n_true"),
+                 F.col("n").alias("n_pred")))
+    return pc.select(*group, F.explode(sides).alias("s")).select(*group, "s.*").where(F.col("class_id").isNotNull()).groupBy(
+        *group, "class_id").agg(*[F.sum(c).cast("long").alias(c) for c in ("tp", "n_true", "n_pred")])
 
 
 def _prf(df: DataFrame) -> DataFrame:
@@ -156,15 +180,27 @@ def _prf(df: DataFrame) -> DataFrame:
 
 def macro_prf(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """Macro precision, recall and F1 over the union of true and predicted labels."""
-    per = _prf(class_marginals(scores, group))
-    return per.groupBy(*group).agg(F.avg("precision").alias("precision_macro"),
-                                   F.avg("recall").alias("recall_macro"),
-                                   F.avg("f1").alias("f1_macro"))
+    return _macro(pair_counts(scores, group), group)
+
+
+def _macro(pc: DataFrame, group: Sequence[str]) -> DataFrame:
+    return _prf(_marginals(pc, group)).groupBy(*group).agg(
+        *[F.avg(c).alias(f"{c}_macro") for c in ("precision", "recall", "f1")])
 
 
 def accuracy(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
-    return scores.groupBy(*group).agg(F.avg((F.col("y_true") == F.col("y_pred")).cast("double"))
-                                      .alias("accuracy"))
+    """Share of rows whose prediction is the truth; a row without either is a miss."""
+    return _accuracy(pair_counts(scores, group), group)
+
+
+def _accuracy(pc: DataFrame, group: Sequence[str]) -> DataFrame:
+    return pc.groupBy(*group).agg((F.sum(F.when(_hit(), F.col("n")).otherwise(0)) / F.sum("n")).alias("accuracy"))
+
+
+def accuracy_and_macro(scores: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Accuracy and the macro averages from one written table of pair counts."""
+    pc = stored_counts(scores, group)
+    return _accuracy(pc, group).join(_macro(pc, group), list(group))
 
 
 def per_class(scores: DataFrame, labels: Sequence[int], group: Sequence[str] = ()) -> DataFrame:
@@ -185,9 +221,9 @@ def per_class(scores: DataFrame, labels: Sequence[int], group: Sequence[str] = (
 def multiclass_metrics(scores: DataFrame, group: Sequence[str] = (),
                        unseen_ids: Sequence[int] = ()) -> DataFrame:
     """Accuracy, known-class accuracy (unseen true labels removed) and macro F1."""
-    acc = accuracy(scores, group)
-    known = known_class_accuracy(scores, unseen_ids, group)
-    mac = macro_prf(scores, group).select(*group, "f1_macro")
+    pc = stored_counts(scores, group)
+    acc, known = _accuracy(pc, group), _known(pc, unseen_ids, group)
+    mac = _macro(pc, group).select(*group, "f1_macro")
     if not group:
         z = F.lit(0)
         return acc.withColumn("_g", z).join(known.withColumn("_g", z), "_g") \
@@ -202,15 +238,20 @@ def known_class_accuracy(scores: DataFrame, unseen_ids: Sequence[int] = (),
     No unseen ids -> the full accuracy.  When nothing is left the value is
     ``empty_value`` (NULL for J9, 0.0 for J10).
     """
-    hit = (F.col("y_true") == F.col("y_pred")).cast("double")
-    cond = ~F.col("y_true").isin([int(x) for x in unseen_ids]) if unseen_ids else F.lit(True)
-    out = scores.groupBy(*group).agg(F.avg(F.when(cond, hit)).alias("known_class_accuracy"))
+    out = _known(pair_counts(scores, group), unseen_ids, group)
     if empty_value is not None:
         out = out.withColumn("known_class_accuracy",
                              F.coalesce(F.col("known_class_accuracy"), F.lit(float(empty_value))))
     return out
 
 
+def _known(pc: DataFrame, unseen_ids: Sequence[int], group: Sequence[str]) -> DataFrame:
+    known = ~F.col("y_true").isin([int(x) for x in unseen_ids]) if unseen_ids else F.lit(True)
+    kept = F.coalesce(known, F.lit(True))  # a null truth is not one of the unseen
+    return pc.groupBy(*group).agg(
+        (F.sum(F.when(kept & _hit(), F.col("n")).when(kept, 0)) / F.sum(F.when(kept, F.col("n")))).alias("known_class_accuracy"))
+
+
 def rare_classes(scores: DataFrame, group: Sequence[str] = (), min_count: int = 5) -> DataFrame:
     """``(group..., y_true, n)`` of the true classes with fewer than ``min_count`` rows."""
     return scores.groupBy(*group, "y_true").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < min_count)
@@ -223,7 +264,7 @@ def rare_class_accuracy(scores: DataFrame, group: Sequence[str] = (), min_count:
     lists them).  Everything follows from the counts per class.
     """
     per = scores.groupBy(*group, "y_true").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum((F.col("y_true") == F.col("y_pred")).cast("long")).alias("_hit"))
+        F.count(F.lit(1)).alias("_n"), F.sum(_hit().cast("long")).alias("_hit"))
     kept = F.col("_n") >= min_count
     return per.groupBy(*group).agg(
         (F.sum("_hit") / F.sum("_n")).alias("full_accuracy"),

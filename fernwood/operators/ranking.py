@@ -43,13 +43,19 @@ def running_total(
     sums: dict[str, str],
     group_cols: Sequence[str] = (),
     n_buckets: int | None = None,
+    following: dict[str, str] | None = None,
+    group_totals: dict[str, str] | None = None,
 ) -> DataFrame:
     """Append inclusive running sums along ``order`` within ``group_cols``.
 
     ``order`` is a list of ``(column, ascending)`` of any orderable types; ``sums`` maps
     output column name to the column being summed.  The order should be total (add a
-    unique tie-breaker) when the caller needs row ranks.
+    unique tie-breaker) when the caller needs row ranks.  ``following`` maps an output name to
+    a column of the next row of the group (null for its last row): inside a bucket by a window,
+    across buckets by the next bucket's first row.  ``group_totals`` maps an output name to a
+    column summed over the whole group.
     """
+    following, group_totals = following or {}, group_totals or {}
     n_buckets = n_buckets or default_buckets(df)
     by = [F.col(c).asc() if asc else F.col(c).desc() for c, asc in order]
     groups = list(group_cols)
@@ -60,19 +66,31 @@ def running_total(
     inner = Window.partitionBy(*groups, _B).orderBy(*by).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     rows = data.withColumns({out: F.sum(src).over(inner) for out, src in sums.items()})
+    firsts, nexts = [], []
+    if following:
+        plain = Window.partitionBy(*groups, _B).orderBy(*by)
+        pack = F.struct(*[F.col(src).alias(out) for out, src in following.items()])
+        rows = rows.withColumns({"_fw_next": F.lead(pack).over(plain), "_fw_rn": F.row_number().over(plain)})
+        firsts = [F.max(F.when(F.col("_fw_rn") == 1, pack)).alias("_fw_first")]
+        nexts = [F.lead("_fw_first").over(Window.partitionBy(*(groups or [F.lit(0)])).orderBy(_B)).alias("_fw_after")]
 
     # at most one row per group and bucket it touches: groups + buckets rows in all
-    totals = data.groupBy(*groups, _B).agg(*[F.sum(src).alias(f"_fw_{out}") for out, src in sums.items()])
-    before = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(_B).rowsBetween(
-        Window.unboundedPreceding, -1)
+    totals = (rows if following else data).groupBy(*groups, _B).agg(
+        *[F.sum(src).alias(f"_fw_{out}") for out, src in {**sums, **group_totals}.items()], *firsts)
+    whole = Window.partitionBy(*(groups or [F.lit(0)]))
+    before = whole.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *[F.col(g).alias(f"_fw_g{i}") for i, g in enumerate(groups)], F.col(_B).alias("_fw_b"),
-        *[F.coalesce(F.sum(f"_fw_{out}").over(before), F.lit(0)).alias(f"_fw_{out}") for out in sums])
+        *[F.coalesce(F.sum(f"_fw_{out}").over(before), F.lit(0)).alias(f"_fw_{out}") for out in sums],
+        *[F.sum(f"_fw_{out}").over(whole).alias(f"_fw_{out}") for out in group_totals], *nexts)
     same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_fw_g{i}")) for i, g in enumerate(groups)],
                   F.col(_B) == F.col("_fw_b"))
     joined = rows.join(offsets, same, "inner")
-    return joined.withColumns({out: F.coalesce(out, F.lit(0)) + F.col(f"_fw_{out}") for out in sums}).select(
-        *df.columns, *sums)
+    after = F.coalesce("_fw_next", "_fw_after") if following else None
+    return joined.withColumns(
+        {out: F.coalesce(out, F.lit(0)) + F.col(f"_fw_{out}") for out in sums}
+        | {out: after[out] for out in following} | {out: F.col(f"_fw_{out}") for out in group_totals}).select(
+        *df.columns, *sums, *following, *group_totals)
 
 
 def global_rank(
