@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from fernwood.operators.gram import correlations
 from fernwood.operators.quantiles import numeric_columns, present, quantile_table
 from fernwood.operators.ranking import running_total
 
@@ -83,8 +84,9 @@ def label_distribution(df: DataFrame, label: str = "label", split: str = "split"
     """``(split, label, n, share)``, share within the split."""
     counts = df.groupBy(F.col(split).alias("split"), F.col(label).alias("label")).agg(
         F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy("split"))
-    return counts.withColumn("share", F.col("n") / total)
+    total = counts.groupBy(F.col("split").alias("_split")).agg(F.sum("n").alias("_total"))
+    return counts.join(total, F.col("split").eqNullSafe(F.col("_split"))).select(
+        "split", "label", "n", (F.col("n") / F.col("_total")).alias("share"))
 
 
 def category_distribution(df: DataFrame, label_dim: DataFrame, label: str = "label",
@@ -116,8 +118,8 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
     maximum falls in the last bin.
     """
     cols = numeric_columns(df, cols)
-    mm = df.agg(*[F.min(F.col(c).cast("double")).alias(f"lo_{i}") for i, c in enumerate(cols)],
-                *[F.max(F.col(c).cast("double")).alias(f"hi_{i}") for i, c in enumerate(cols)]).first()
+    mm = df.agg(*[F.min(present(c)).alias(f"lo_{i}") for i, c in enumerate(cols)],
+                *[F.max(present(c)).alias(f"hi_{i}") for i, c in enumerate(cols)]).first()
     edges = {c: (mm[f"lo_{i}"], mm[f"hi_{i}"]) for i, c in enumerate(cols)}
     binned = []
     for c in cols:
@@ -125,9 +127,9 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
         if lo is None:
             continue
         width = (hi - lo) if hi > lo else 1.0
-        b = F.least(F.floor((F.col(c).cast("double") - F.lit(lo)) / F.lit(width) * F.lit(bins)),
-                    F.lit(bins - 1))
-        binned.append(F.struct(F.lit(c).alias("feature"), b.cast("int").alias("bin")))
+        b = F.floor((present(c) - F.lit(lo)) / F.lit(width) * F.lit(bins))
+        # a missing value is in no bin
+        binned.append(F.struct(F.lit(c).alias("feature"), F.when(b.isNotNull(), F.least(b, F.lit(bins - 1))).cast("int").alias("bin")))
     counts = (df.select(F.explode(F.array(*binned)).alias("s")).where(F.col("s.bin").isNotNull())
               .groupBy("s.feature", "s.bin").agg(F.count(F.lit(1)).alias("n")))
     spark = df.sparkSession
@@ -152,16 +154,15 @@ def categorical_top_k(df: DataFrame, cols: Sequence[str], k: int = 10) -> DataFr
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson ``r`` for every pair ``a < b`` (column order), one aggregate pass."""
+    """Pearson ``r`` for every pair ``a < b`` (column order), missing values left out by pair.
+
+    Null where fewer than two rows hold both columns or one of them is constant there.
+    """
     cols = numeric_columns(df, cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    if not pairs:
+    if len(cols) < 2:
         return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, r double")
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
-                   for i, (a, b) in enumerate(pairs)])
-    return row.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"c{i}").alias("r"))
-        for i, (a, b) in enumerate(pairs)])).alias("s")).select("s.*")
+    names = F.array(*map(F.lit, cols))
+    return correlations(df, cols).select(names[F.col("a")].alias("feature_a"), names[F.col("b")].alias("feature_b"), "r")
 
 
 def correlated_pairs(corr: DataFrame, threshold: float = 0.8) -> DataFrame:

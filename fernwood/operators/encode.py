@@ -3,8 +3,8 @@
 Fitted state is small and explicit:
 
 * :class:`Vocabulary` is a DataFrame ``(feature, value, id)``; ids are the
-  rank of the value in sorted order.  It is joined back (broadcast only when
-  its row count is under a checked limit).  Transforming a frame with values
+  rank of the value in sorted order.  It is joined back without a hint, so Spark
+  decides by its size.  Transforming a frame with values
   never seen at fit time returns a *new* vocabulary with the unseen values
   appended after the known ids, sorted among themselves.
 * one-hot levels and scaling statistics are a few literals per column and are
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fernwood.operators.audit import check_missing
-from fernwood.operators.quantiles import numeric_columns
+from fernwood.operators.quantiles import numeric_columns, present
 from fernwood.operators.ranking import global_rank
 from fernwood.session import write_scratch
 
@@ -153,11 +153,14 @@ class ScalerModel:
 
 
 def fit_scaler(df: DataFrame, cols: Sequence[str] | None = None) -> ScalerModel:
-    """One aggregate of ``avg`` and ``stddev_pop`` over all columns."""
+    """One aggregate of ``avg`` and ``stddev_pop`` over all columns; null and NaN are left out.
+
+    A missing value stays missing when transformed; a column without any value is not scaled.
+    """
     cols = numeric_columns(df, cols)
-    row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
-                 *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
-    return ScalerModel({c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)})
+    row = df.agg(*[F.avg(present(c)).alias(f"m{i}") for i, c in enumerate(cols)],
+                 *[F.stddev_pop(present(c)).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+    return ScalerModel({c: (0.0, 1.0) if row[f"m{i}"] is None else (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)})
 
 
 TASKS = ("binary", "multiclass", "multiclass_5cat")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fernwood.operators.quantiles import numeric_columns
+from fernwood.operators.quantiles import numeric_columns, present
 
 DEFAULT_VARIANCE_THRESHOLD = 0.01
 DEFAULT_TOP_K = 20
@@ -16,9 +16,9 @@ DEFAULT_SEED = 42
 
 
 def column_variances(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """``(position, feature, variance)``: population variance of every column, one pass."""
+    """``(position, feature, variance)``: population variance of every column, one pass; null and NaN are left out."""
     cols = numeric_columns(df, cols)
-    row = df.agg(*[F.var_pop(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(cols)])
+    row = df.agg(*[F.var_pop(present(c)).alias(f"v{i}") for i, c in enumerate(cols)])
     return row.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("position"), F.lit(c).alias("feature"), F.col(f"v{i}").alias("variance"))
         for i, c in enumerate(cols)])).alias("s")).select("s.*")
