@@ -17,6 +17,7 @@ from pyspark.sql.types import DoubleType, FloatType
 from fernwood.operators.gram import correlations
 from fernwood.operators.quantiles import numeric_columns, present, quantile_table
 from fernwood.operators.ranking import running_total
+from fernwood.schema import columns_with_prefix
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -173,8 +174,8 @@ def correlated_pairs(corr: DataFrame, threshold: float = 0.8) -> DataFrame:
 def before_after(raw: DataFrame, transformed: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``describe`` of the same columns before and after a transform, tagged by stage."""
     a = describe(raw, cols).withColumn("stage", F.lit("before"))
-    b = describe(transformed, [c for c in transformed.columns
-                               if c in cols or any(c.startswith(f"{x}_") for x in cols)])
+    made = set(columns_with_prefix(transformed, [f"{x}_" for x in cols])) | set(cols)
+    b = describe(transformed, [c for c in transformed.columns if c in made])
     return a.unionByName(b.withColumn("stage", F.lit("after")))
 
 

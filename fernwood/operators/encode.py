@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from fernwood.operators.audit import check_missing
 from fernwood.operators.quantiles import numeric_columns, present
 from fernwood.operators.ranking import global_rank
+from fernwood.schema import columns_except
 from fernwood.session import write_scratch
 
 
@@ -239,7 +240,7 @@ def preprocess_fit(df: DataFrame, task: str, ordinal_cols: Sequence[str], one_ho
     enc, _ = ordinal_transform(df, vocab, ordinal_cols, extend=False)
     enc = one_hot(enc, levels)
     skip = {key, label, *drop_cols, *passthrough}
-    features = [c for c in enc.columns if c not in skip]
+    features = columns_except(enc, skip)
     scaler = fit_scaler(enc, list(scale_cols) if scale_cols is not None else features)
     return PreprocessModel(task, list(ordinal_cols), levels, vocab, scaler, features,
                            label_dim, list(drop_cols), missing)

@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fernwood.functions import rounded
-from fernwood.operators import encode, learn
+from fernwood.operators import encode, learn, outlier
 from fernwood.plans.q_compare import LONG_SQL, metrics_table
 from fernwood.plans.q_metrics import _r
 from fernwood.plans.registry import register
-from fernwood.plans.standins import (CONNECTION_SQL, EVENT_LABELS_SQL, NORMAL_LABEL, binary_scores,
+from fernwood.plans.standins import (CONNECTION_SQL, EVENT_LABELS_SQL, NORMAL_LABEL, UNSEEN_SQL, binary_scores,
                                      binary_scores_sql, connection_log, event_label_frames,
-                                     shape_connection)
+                                     shape_connection, unseen_case)
 from fernwood.schema import compose_label_dim
 from fernwood.session import scratch_path
 from fernwood.sources import datasets as D
 from fernwood.sources.csv_scan import scan_headerless_csv
 from fernwood.sources.tables import table
-from fernwood.streaming.fitted_stream import transform_stream
+from fernwood.streaming.fitted_stream import encode_stream, transform_stream
 
 _TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -142,3 +142,26 @@ def stream_standardize(spark, sf_dir):
         return z.select("key", *[rounded(F.col(x)).alias(x) for x in _S_COLS])
 
     return transform_stream(spark, sf_dir, schema, "events.parquet", job)
+
+
+@register("stream_encode", sql=f"""WITH {UNSEEN_SQL},
+tv AS (SELECT label AS value, row_number() OVER (ORDER BY label) - 1 AS id
+       FROM (SELECT DISTINCT label FROM conn WHERE split = 'train')),
+nv AS (SELECT value, (SELECT count(*) FROM tv) + row_number() OVER (ORDER BY value) - 1 AS id
+       FROM (SELECT DISTINCT label AS value FROM conn WHERE split = 'test' AND label NOT IN (SELECT value FROM tv))),
+v AS (SELECT * FROM tv UNION ALL SELECT * FROM nv)
+SELECT key, CAST(id AS INTEGER) AS label_id, round(ln(1 + conn.value), 6) AS value_log1p
+FROM conn JOIN v ON conn.label = v.value WHERE split = 'test'""")
+def stream_encode(spark, sf_dir):
+    """Streaming D2/E3: the event files as a stream, values unseen at fit time appended to the vocabulary."""
+    c = unseen_case(connection_log(spark, sf_dir))
+    vocab = encode.fit_vocabulary(c.where(F.col("split") == "train"), ["label"])
+
+    def prepare(events):
+        return unseen_case(shape_connection(events)).where(F.col("split") == "test").select("key", "label", "value")
+
+    def finish(rows):
+        return outlier.log1p_append(rows, ["value"]).select(
+            "key", F.col("label").alias("label_id"), rounded(F.col("value_log1p")).alias("value_log1p"))
+    out, _ = encode_stream(spark, sf_dir, table(spark, sf_dir, "events").schema, "events.parquet", vocab, ["label"], prepare, finish)
+    return out

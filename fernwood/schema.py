@@ -75,6 +75,17 @@ def connection_schema() -> StructType:
     return StructType(fields)
 
 
+def columns_except(df: DataFrame, excluded) -> list[str]:
+    """The columns of ``df`` that are not in ``excluded``, in order."""
+    gone = set(excluded)
+    return [c for c in df.columns if c not in gone]
+
+
+def columns_with_prefix(df: DataFrame, prefixes) -> list[str]:
+    """The columns that begin with one of ``prefixes``, in order (one-hot columns of a category)."""
+    return [c for c in df.columns if c.startswith(tuple(prefixes))]
+
+
 def dictionary_frames(spark: SparkSession, labels=LABELS) -> tuple[DataFrame, DataFrame]:
     """The two stored dictionaries: ``(label_id, name)`` and ``(label_id, category)``."""
     names = spark.createDataFrame([(i, n) for i, n, _ in labels], "label_id int, name string")
