@@ -39,6 +39,8 @@ RF_PARAM_GRID = {"n_estimators": [100, 200, 300], "max_depth": [10, 15, 20, None
 MLP_PARAM_GRID = {"hidden_dims": [(64,), (128, 64), (256, 128, 64)], "activation": ["relu", "tanh"],
                   "dropout": [0.3], "lr": [1e-3]}
 MLP_GRID_EPOCHS = 20
+MLP_PARAMS = {"hidden_dims": (128, 64), "activation": "relu", "dropout": 0.3, "lr": 1e-3}
+MLP_EPOCHS = 50
 
 
 def assemble(df: DataFrame, features: Sequence[str], label: str = "y",

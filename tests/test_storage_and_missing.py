@@ -174,26 +174,40 @@ def test_grids_have_every_combination_and_one_best(spark, prepared):
     tree = learn.decision_tree(weight_col="weight")
     assert len(learn.dt_grid(tree)) == 30 and len(learn.rf_grid(learn.forest())) == 24
     folds = sample.stratified_folds(prepared[0], "y", "key", 3)
-    grid = learn.dt_grid(tree, {"max_depth": [2, 4], "min_samples_split": [2], "criterion": ["gini"]})
-    _, params, best, scores = learn.grid_search(tree, grid, folds, learn.MacroF1Evaluator(positive_only=True))
-    rows = q_learn._cv_rows(spark, grid, scores, params).collect()
+    spec = {"max_depth": [2, 4], "min_samples_split": [2], "criterion": ["gini"]}
+    _, params, best, table = learn.tree_grid_search(tree, folds, spec, positive_only=True)
+    rows = q_learn._cv_rows(spark, table, params).collect()
     assert len(rows) == 2 and sum(r["best"] for r in rows) == 1
-    assert next(r["cv_score"] for r in rows if r["best"]) == best == max(scores)
+    assert next(r["cv_score"] for r in rows if r["best"]) == best == max(s for _, s in table)
 
 
 def test_perceptron_grid_refits_the_winner(spark, monkeypatch):
-    assert len(learn.MLP_PARAM_GRID["hidden_dims"]) * len(learn.MLP_PARAM_GRID["solver"]) == 6
-    monkeypatch.setattr(learn, "MLP_PARAM_GRID", {"hidden_dims": [(8,), (4,)], "solver": ["l-bfgs"]})
+    assert math.prod(len(v) for v in learn.MLP_PARAM_GRID.values()) == 6
+    monkeypatch.setattr(learn, "MLP_PARAM_GRID", {"hidden_dims": [(8,), (4,)], "activation": ["relu"], "dropout": [0.0], "lr": [1e-2]})
+    monkeypatch.setattr(learn, "MLP_GRID_EPOCHS", 2)
     rows = q_learn.grid_search_mlp(spark, SF_SMALL).collect()
     assert len(rows) == 2 and sum(r["chosen"] for r in rows) == 1
     assert all((r["refit_f1"] is not None) == r["chosen"] for r in rows)
     assert next(r["val_f1"] for r in rows if r["chosen"]) == max(r["val_f1"] for r in rows)
 
 
-@pytest.mark.parametrize("name, solver, least", [("mlp_binary", None, 100), ("mlp_multiclass", None, 100),
-                                                 ("positive_probability", None, 100),
-                                                 ("grid_search_mlp", "l-bfgs", 100), ("grid_search_mlp", "gd", 640)])
-def test_perceptrons_get_the_whole_budget(spark, monkeypatch, name, solver, least):
+@pytest.mark.parametrize("name, epochs", [("mlp_binary", {50}), ("mlp_multiclass", {50}), ("grid_search_mlp", {20, 40})])
+def test_perceptrons_get_the_whole_budget(spark, monkeypatch, name, epochs):
+    seen = []
+    real = learn.MinibatchPerceptron.fit
+
+    def fit(self, df):
+        seen.append((self.epochs, self.patience))
+        self.epochs = 1
+        return real(self, df)
+
+    monkeypatch.setattr(learn.MinibatchPerceptron, "fit", fit)
+    getattr(q_learn, name)(spark, SF_SMALL)
+    assert {e for e, _ in seen} == epochs and {p for _, p in seen} == {None}
+    assert len(seen) == (25 if name == "grid_search_mlp" else 1)
+
+
+def test_full_batch_perceptron_gets_the_whole_budget(spark, monkeypatch):
     class Made(Exception):
         pass
 
@@ -203,10 +217,9 @@ def test_perceptrons_get_the_whole_budget(spark, monkeypatch, name, solver, leas
         raise Made(real(*args, **options).getMaxIter())
 
     monkeypatch.setattr(learn, "perceptron", made)
-    monkeypatch.setattr(learn, "MLP_PARAM_GRID", {"hidden_dims": [(8,)], "solver": [solver]})
     with pytest.raises(Made) as found:
-        getattr(q_learn, name)(spark, SF_SMALL)
-    assert found.value.args[0] >= least
+        q_learn.positive_probability(spark, SF_SMALL)
+    assert found.value.args[0] >= 100
 
 
 def test_importances_and_evaluation(spark):
