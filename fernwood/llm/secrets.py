@@ -71,7 +71,7 @@ def mixed(run: str) -> bool:
 
 def candidates(text: str, taken: list[tuple[int, int, int]], reach: int, least: int):
     """``mixed`` runs of key characters, close behind or before a sensitive word."""
-    end = 0
+    end, passed, reached = 0, 0, 0  # base spans before a run are passed once, as runs come in order
     spans = sorted((s, e) for s, _, e in taken)
     for near in _NEAR.finditer(text):
         lo, hi = max(end, near.start() - reach), min(len(text), near.end() + reach)
@@ -86,7 +86,10 @@ def candidates(text: str, taken: list[tuple[int, int, int]], reach: int, least:
                 continue
             end = e
             run = text[s:e]
-            if e - s >= least and mixed(run) and not any(a < e and s < b for a, b in spans):
+            while passed < len(spans) and spans[passed][0] < e:
+                reached = max(reached, spans[passed][1])
+                passed += 1
+            if e - s >= least and mixed(run) and reached <= s:
                 yield s, e
 
 

@@ -233,6 +233,16 @@ def test_keys_without_a_digit_are_candidates():
         assert list(secrets.candidates(f"the bearer {name} was used", [], 40, 16)) == []
 
 
+def test_candidates_leave_out_what_overlaps_a_base_span():
+    rng = random.Random(8)
+    for _ in range(200):
+        text = "".join(rng.choice(["token ", "secret: ", "aK9xQ27bTz", "--", " and ", "auth "]) for _ in range(30))
+        every = list(secrets.candidates(text, [], 40, 4))
+        taken = [(s, 0, s + rng.randint(1, 25)) for s in rng.sample(range(len(text)), 6)]
+        assert list(secrets.candidates(text, taken, 40, 4)) == [
+            (s, e) for s, e in every if not any(a < e and s < b for a, _, b in taken)]
+
+
 # ------------------------------------------------------------------ 10 urls
 
 def plain_url(url):
