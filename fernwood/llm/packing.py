@@ -19,26 +19,38 @@ written table is a matrix on disk.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from fernwood.llm.common import slices
 
 #: the pre-token pattern of the vocabulary file (a fixed value, published with it)
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-SCHEMA = ("pack_id bigint, n_tokens int, input_ids binary, position_ids binary, cu_seqlens array<int>, "
-          "doc_ids array<bigint>, doc_starts array<bigint>")
-_ARROW = pa.schema([("pack_id", pa.int64()), ("n_tokens", pa.int32()), ("input_ids", pa.binary()),
-                    ("position_ids", pa.binary()), ("cu_seqlens", pa.list_(pa.int32())),
-                    ("doc_ids", pa.list_(pa.int64())), ("doc_starts", pa.list_(pa.int64()))])
+#: long runs of the pattern's white space, which its look-ahead would walk back one by one
+LONG_SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
+
 _ENCODERS: dict = {}
 
 
+def schema_of(id_type: str = "bigint") -> str:
+    """The columns of a packed table whose documents have ids of this type."""
+    return ("pack_id bigint, n_tokens int, input_ids binary, position_ids binary, cu_seqlens array<int>, "
+            f"doc_ids array<{id_type}>, doc_starts array<bigint>")
+
+
+def _arrow(id_type: pa.DataType) -> pa.Schema:
+    return pa.schema([("pack_id", pa.int64()), ("n_tokens", pa.int32()), ("input_ids", pa.binary()),
+                      ("position_ids", pa.binary()), ("cu_seqlens", pa.list_(pa.int32())),
+                      ("doc_ids", pa.list_(id_type)), ("doc_starts", pa.list_(pa.int64()))])
+
+
 def encoder(ranks_file: bytes, pattern: str = PATTERN):
     """The encoder of a vocabulary file's content, made once per Python worker."""
     key = (hash(ranks_file), pattern)
@@ -50,6 +62,18 @@ def encoder(ranks_file: bytes, pattern: str = PATTERN):
     return _ENCODERS[key]
 
 
+def encoded(made, text: str) -> list[int]:
+    """The ids of a text; long runs of white space are handed over as the pieces they are."""
+    out, at = [], 0
+    for run in LONG_SPACE.finditer(text) if len(text) >= 10000 else ():
+        # the pattern keeps a run but for its last character, which may belong to what follows
+        end = run.end() - (run.end() < len(text))
+        out += made.encode_ordinary(text[at:run.start()])
+        out += made._encode_single_piece(text[run.start():end])
+        at = end
+    return out + made.encode_ordinary(text[at:] if at else text)
+
+
 class SpaceTree:
     """Rows by free space; ``take(n)`` gives the row with the least space that holds ``n``."""
 
@@ -106,9 +130,9 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
     return rows
 
 
-def _pack(pieces: list[tuple], capacity: int, end_id: int, dtype, first_id: int) -> pa.RecordBatch:
+def _pack(pieces: list[tuple], capacity: int, end_id: int, dtype, first_id: int, schema: pa.Schema) -> pa.RecordBatch:
     """One window's pieces ``(doc_id, start, ids)`` as matrix rows."""
-    out = [[] for _ in _ARROW]
+    out = [[] for _ in schema]
     for row in best_fit_decreasing([len(p[2]) for p in pieces], capacity):
         ids = np.full(capacity, end_id, dtype)
         positions = np.zeros(capacity, dtype)
@@ -122,18 +146,19 @@ def _pack(pieces: list[tuple], capacity: int, end_id: int, dtype, first_id: int)
                   [pieces[i][0] for i in row], [pieces[i][1] for i in row])
         for column, value in zip(out, values, strict=True):
             column.append(value)
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _ARROW, strict=True)], schema=_ARROW)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
 
 def packed_rows(docs: DataFrame, ranks_path: str, row_tokens: int = 2048, end_id: int = 50256,
                 window_tokens: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The packed id matrix, one DataFrame row per matrix row (``SCHEMA``).
+    """The packed id matrix, one DataFrame row per matrix row (:func:`schema_of`).
 
     ``cu_seqlens`` starts at 0 and ends at ``n_tokens``; behind it ids are ``end_id`` and
     positions 0.  Segment ``k`` holds the ids of document ``doc_ids[k]`` from its id number
     ``doc_starts[k]`` on.  Null and empty texts are a single end id; repeated rows are packed
-    each; ids may be null; an empty table gives an empty result; other columns are ignored.
-    Ids and positions are uint16 where both fit, else uint32.
+    each; ids may be null and of any type (whole numbers come back as bigint); an empty table
+    gives an empty result; other columns are ignored.  Token ids and positions are uint16 where
+    both fit, else uint32.
     """
     spark = docs.sparkSession
     with open(ranks_path, "rb") as f:  # a vocabulary of fixed size, on the driver
@@ -141,29 +166,33 @@ def packed_rows(docs: DataFrame, ranks_path: str, row_tokens: int = 2048, end_id
     shared = spark.sparkContext.broadcast(content)
     top = max(end_id, content.count(b"\n") + 1, row_tokens)
     dtype = np.dtype("<u2") if top < 1 << 16 else np.dtype("<u4")
+    whole = isinstance(docs.schema[id_col].dataType, T.IntegralType)
+    ids = docs[id_col].cast("long") if whole else docs[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(shared.value).encode_ordinary
+        made = encoder(shared.value)
         next_id = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
-        pieces, held = [], 0
+        pieces, held, schema = [], 0, None
         for batch in batches:
+            schema = schema or _arrow(batch.schema.field(0).type)
             for lo, hi in slices(batch.column(1)):
-                ids = batch.column(0).slice(lo, hi - lo).to_pylist()
-                for doc, text in zip(ids, batch.column(1).slice(lo, hi - lo).to_pylist(), strict=True):
-                    tokens = encode(text) if text else []
+                names = batch.column(0).slice(lo, hi - lo).to_pylist()
+                for doc, text in zip(names, batch.column(1).slice(lo, hi - lo).to_pylist(), strict=True):
+                    tokens = encoded(made, text) if text else []
                     tokens.append(end_id)
                     tokens = np.array(tokens, dtype)
                     for start in range(0, len(tokens), row_tokens):
                         pieces.append((doc, start, tokens[start:start + row_tokens]))
                     held += len(tokens)
                     if held >= window_tokens:
-                        yield (done := _pack(pieces, row_tokens, end_id, dtype, next_id))
+                        yield (done := _pack(pieces, row_tokens, end_id, dtype, next_id, schema))
                         next_id += done.num_rows
                         pieces, held = [], 0
         if pieces:
-            yield _pack(pieces, row_tokens, end_id, dtype, next_id)
+            yield _pack(pieces, row_tokens, end_id, dtype, next_id, schema)
 
-    return docs.select(docs[id_col].cast("long"), text_col).mapInArrow(run, SCHEMA)
+    id_type = "bigint" if whole else docs.schema[id_col].dataType.simpleString()
+    return docs.select(ids, text_col).mapInArrow(run, schema_of(id_type))
 
 
 def write_packed(rows: DataFrame, path: str) -> None:
@@ -171,8 +200,8 @@ def write_packed(rows: DataFrame, path: str) -> None:
     rows.write.parquet(path)
 
 
-def read_packed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SCHEMA).parquet(path)
+def read_packed(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
+    return spark.read.schema(schema_of(id_type)).parquet(path)
 
 
 def matrix(column: list[bytes], row_tokens: int) -> np.ndarray:
