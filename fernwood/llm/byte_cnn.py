@@ -32,6 +32,8 @@ UNIT = 32
 STEP = 8
 DIM = 12
 LAGS = 32
+#: bytes of text that are laid out at once (about 100 bytes of memory each)
+PIECE = 1 << 18
 
 
 def byte_vectors() -> np.ndarray:
@@ -74,6 +76,17 @@ def new_filters(n: int = 24, m: int = 8, seed: int = 3) -> Filters:
                    np.zeros(m, np.float32), draw(2 * (n + m), scale=0.1), np.zeros(1, np.float32))
 
 
+def repeats(buf: np.ndarray) -> np.ndarray:
+    """Of every unit the shares of its bytes that equal the byte 1, 2, ... ``LAGS`` places before."""
+    same = np.empty((len(buf) // UNIT, LAGS), np.float32)
+    real = buf != 0
+    for lag in range(1, LAGS + 1):
+        equal = np.zeros(len(buf), bool)
+        equal[lag:] = (buf[lag:] == buf[:-lag]) & real[lag:]
+        same[:, lag - 1] = np.bitwise_count(np.packbits(equal).view(np.uint32))
+    return same / UNIT
+
+
 class Packed:
     """Texts laid out for the filters: each padded with zeros to whole units, two at least."""
 
@@ -87,14 +100,8 @@ class Packed:
             s = int(at[i]) * UNIT
             buf[s:s + lengths[i]] = data[offsets[i]:offsets[i + 1]]
         self.vectors = _VECTORS[buf].reshape(-1, STEP * DIM)
-        same = np.empty((int(at[-1]), LAGS), np.float32)
-        real = buf != 0
-        for lag in range(1, LAGS + 1):
-            equal = np.zeros(len(buf), bool)
-            equal[lag:] = (buf[lag:] == buf[:-lag]) & real[lag:]
-            same[:, lag - 1] = np.bitwise_count(np.packbits(equal).view(np.uint32))
-        same[self.first] = 0  # a text's first unit has no bytes before it
-        self.same = same / UNIT
+        self.same = repeats(buf)
+        self.same[self.first] = 0  # a text's first unit has no bytes before it
 
     def branch(self, rows: np.ndarray, weights: np.ndarray, bias: np.ndarray, per: int):
         """Pre-activations per chunk; the chunk that would reach into the next text is 0."""
@@ -163,18 +170,57 @@ def fit(texts: list[str], labels: list[int], steps: int = 400, batch: int = 16,
     return net
 
 
-def predict(net: Filters, column: pa.Array) -> np.ndarray:
-    """Probabilities of a column of texts (null: empty)."""
+def long_logit(net: Filters, data: np.ndarray, piece: int = PIECE) -> float:
+    """The logit of one text of more than ``UNIT`` bytes, read in pieces.
+
+    A piece holds the chunks that begin in its units: it reads one unit before it (for the
+    rhythm) and one behind it (where its last chunks end), and adds to a running maximum and
+    sum of every filter.  Memory is bounded by ``piece`` and not by the text.
+    """
+    units, per = -(-len(data) // UNIT), UNIT // STEP
+    step = max(1, piece // UNIT)
+    tops, sums = [], []
+    for a in range(0, units, step):
+        lo, hi = max(a - 1, 0), min(a + step + 1, units)
+        buf = np.zeros((hi - lo) * UNIT, np.uint8)
+        bytes_ = data[lo * UNIT:hi * UNIT]
+        buf[:len(bytes_)] = bytes_
+        same = repeats(buf)
+        if a == 0:
+            same[0] = 0
+        begin, end = a - lo, min(a + step, units) - lo
+        found = []
+        for rows, weights, bias, n in ((_VECTORS[buf].reshape(-1, STEP * DIM), net.shape, net.shape_bias, per),
+                                       (same, net.rhythm, net.rhythm_bias, 1)):
+            first, last = begin * n, min(end * n, len(rows) - 1)  # a chunk is two rows
+            z = rows[first:last] @ weights[0] + rows[first + 1:last + 1] @ weights[1] + bias
+            found.append(np.maximum(z, 0))
+        tops.append([z.max(axis=0, initial=0) for z in found])
+        sums.append([z.sum(axis=0, dtype=np.float64) for z in found])
+    out = []
+    for i, n in enumerate((per, 1)):
+        out += [np.max([t[i] for t in tops], axis=0), np.sum([s[i] for s in sums], axis=0) / (units * n - 1)]
+    return float(np.concatenate(out) @ net.dense + net.bias[0])
+
+
+def predict(net: Filters, column: pa.Array, piece: int = PIECE) -> np.ndarray:
+    """Probabilities of a column of texts (null: empty); a text longer than ``piece`` is read in pieces."""
     out = []
-    for lo, hi in slices(column, 1 << 18):
+    for lo, hi in slices(column, piece):
         data, offsets = text_bytes(column.slice(lo, hi - lo))
+        if hi == lo + 1 and len(data) > max(piece, UNIT):
+            out.append(sigmoid(np.array([long_logit(net, data, piece)])))
+            continue
         out.append(sigmoid(Packed(data, offsets).forward(net)[0].astype(np.float64)))
     return np.concatenate(out) if out else np.zeros(0)
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, eligible, max_rows: int,
-                    id_col: str = "doc_id", text_col: str = "text") -> tuple[list[str], list[int]]:
-    """At most ``max_rows`` labelled texts, half of each class where there are enough.
+                    id_col: str = "doc_id", text_col: str = "text",
+                    max_bytes: int = 1 << 18) -> tuple[list[str], list[int]]:
+    """At most ``max_rows`` labelled texts of at most ``max_bytes`` each, half of each class where there are enough.
+
+    Both bounds are on what the driver holds; longer texts are left out of the sample whole.
 
     Rows are taken in the order of a hash of their id, so the sample is the same on every
     run.  Rows without a label (null) or with a label other than 0 and 1 are not used.
@@ -185,7 +231,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, eligible
         few = marked.filter(F.col("_label") == mark).select("_id").distinct().orderBy(
             F.xxhash64("_id"), "_id").limit(max_rows // 2)
         found = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(
-            F.broadcast(few), "_id").orderBy(F.xxhash64("_id"), "_id", "_text").limit(max_rows // 2)
+            F.broadcast(few), "_id").filter(F.octet_length("_text") <= max_bytes).orderBy(F.xxhash64("_id"), "_id", "_text").limit(max_rows // 2)
         got = [r["_text"] for r in found.select("_text").collect()]
         texts += got
         marks += [mark] * len(got)
@@ -227,8 +273,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
                    label_col: str = "quality", max_rows: int = 1000, threshold: float = 0.3) -> DataFrame:
     """``id_col, held_out, score, predicted`` for every row of ``docs``.
 
-    ``max_rows`` bounds the labelled rows the network is fitted on (on the driver); every
-    whole text is scored.  Null and empty texts get the score of no bytes; repeated rows get
+    ``max_rows`` bounds the labelled rows the network is fitted on (on the driver, texts of
+    at most 256 KB); every whole text is scored, a very long one in pieces.  Null and empty texts get the score of no bytes; repeated rows get
     equal scores; without any usable label the score is 0.5; an empty table gives an empty
     result.  A null id is never held out.
     """

@@ -141,6 +141,24 @@ def test_packing_edge_rows(spark):
     assert packing.packed_rows(empty_docs(spark), RANKS).count() == 0
 
 
+def test_packing_keeps_ids_of_other_types_and_long_white_space(spark, tmp_path):
+    texts = {"a-1": "x" + " " * 300000 + "y\n", "b": None, None: "no id"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    packing.write_packed(packing.packed_rows(docs, RANKS, row_tokens=4096), str(tmp_path / "packed"))
+    parts = unpack(packing.read_packed(spark, str(tmp_path / "packed"), "string").collect(), 4096)
+    decode = packing.encoder(open(RANKS, "rb").read()).decode
+    for name, text in texts.items():
+        ids = [t for (d, _), v in sorted(parts.items(), key=lambda p: p[0][1]) if d == name for t in v[0]]
+        assert decode(ids[:-1]) == (text or "")
+
+
+def test_long_runs_of_white_space_are_encoded_alike():
+    made = packing.encoder(open(RANKS, "rb").read())
+    for text in ("a" + " " * 20000 + "b", "\n" * 15000 + "x  y", " " * 12000, "q" + "\t " * 9000 + "\u00e9",
+                 " " * 12000 + "\n1", "\u3000" * 11000 + ".", "\x1c" * 12000 + " b"):
+        assert packing.encoded(made, text) == made.encode_ordinary(text)
+
+
 # ------------------------------------------------------------------ 4 exact duplicates
 
 def test_exact_duplicates_of_edge_rows(spark):
@@ -301,6 +319,15 @@ def test_scores_do_not_depend_on_neighbours():
     assert np.allclose(together, alone, atol=1e-6) and together[0] == pytest.approx(together[-1], abs=1e-6)
 
 
+def test_long_texts_score_alike_in_pieces():
+    net, rng = byte_cnn.new_filters(), random.Random(6)
+    for n in (33, 64, 65, 1000, 4097):
+        text = pa.array(["".join(rng.choices("ab c\u00e9\n", k=n))])
+        whole = byte_cnn.predict(net, text)[0]
+        for piece in (32, 64, 100, 4096):
+            assert byte_cnn.predict(net, text, piece)[0] == pytest.approx(whole, abs=1e-6)
+
+
 def test_quality_of_edge_rows(spark):
     labels = spark.createDataFrame([(4, 1, 0), (6, 0, 0), (7, None, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     got = byte_cnn.quality_scores(edge_docs(spark), labels).collect()
