@@ -2,16 +2,22 @@
 
 1. A url is cut into host (A-Z folded) and path; the rules of the caller are tried, the
    longest that fits decides.
-2. Unigram model: how often each word occurs in the text of all pages.
-3. Names: the letter runs of hosts and paths (digit runs become ``0``).  Every distinct name
-   is split by unigram Viterbi: of all ways to cut it, the one with the highest product of
-   word probabilities; a run of ``n`` letters that is no known word has the probability
-   ``1 / (N * 10^(n-1))`` with ``N`` the number of words counted.
-4. Naive Bayes: pages decided by a rule are the labelled ones; their words are counted per
-   verdict (every page counts), with the caller's seed words as pseudo-counts and one more
-   for every word.  Words that the rules themselves name are no evidence and are left out.
-   A page that no rule decides is blocked when the sum of its words' log odds is above
-   ``margin``.
+2. Unigram model: how often each word (run of letters of any script, lower-cased) occurs in
+   the text of all pages.
+3. Names: the letter runs of hosts and paths, percent-decoded and lower-cased (digit runs
+   become ``0``).  Every distinct name is split by unigram Viterbi: of all ways to cut it, the
+   one with the highest product of word probabilities; a run of ``n`` letters that is no known
+   word has the probability ``1 / (N * 10^(n-1))`` with ``N`` the number of words counted.
+   Words of any length count: those of more than ``anchor`` letters are found by their first
+   ``anchor`` letters and then compared whole.
+4. Naive Bayes: pages decided by a rule are the labelled ones.  A host counts once for each of
+   its words, shared between the verdicts as its labelled pages with the word are, so that a
+   large host is one witness and not thousands.  The caller's seed words are pseudo-counts:
+   ``seed_weight`` each, or more where needed to be ``seed_share`` of all that is counted for
+   their verdict, so that their odds do not fade as the table grows; every word has one more.
+   Words that the rules themselves name, and one or two letters a-z (mostly language codes),
+   are no evidence.  A page that no rule decides is blocked when the sum of its words' log
+   odds is above ``margin``.
 
 Names and words are joined as rows, so neither the unigram model nor the classifier has to
 fit in a task; frequent names and words are spread over sub-keys.  Only the sums of counts
@@ -55,16 +61,24 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
     return name, verdict
 
 
+#: a letter run; marks belong to the letter before them
+_LETTERS = r"\p{L}[\p{L}\p{M}]*+"
+
+
 def names_of(text: Column) -> Column:
-    """The lower-case letter runs of a host or path in order; a digit run is ``0``."""
-    return F.regexp_extract_all(F.regexp_replace(lower_ascii(text), "[0-9]+", "0"), F.lit("[a-z]+|0"), 0)
+    """The lower-case letter runs of a host or path in order; a digit run is ``0``.
+
+    Percent signs are decoded; a text where they are malformed is read as it stands.
+    """
+    plain = F.lower(F.coalesce(F.try_url_decode(text), text))
+    return F.regexp_extract_all(F.regexp_replace(plain, "[0-9]+", "0"), F.lit(_LETTERS + "|0"), 0)
 
 
-def unigram_counts(texts: DataFrame, text_col: str, max_word: int) -> DataFrame:
-    """``(word, n)``: how often each word of 2 to ``max_word`` letters occurs outside of tags."""
-    plain = F.regexp_replace(lower_ascii(F.coalesce(F.col(text_col), F.lit(""))), "<[^>]*+>", " ")
-    words = F.explode(F.regexp_extract_all(plain, F.lit(r"(?<![a-z])[a-z]++"), 0)).alias("word")
-    return (texts.select(words).filter(F.length("word").between(2, max_word))
+def unigram_counts(texts: DataFrame, text_col: str) -> DataFrame:
+    """``(word, n)``: how often each word of two letters and more occurs outside of tags."""
+    plain = F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), "<[^>]*+>", " ")
+    words = F.explode(F.regexp_extract_all(plain, F.lit(_LETTERS), 0)).alias("word")
+    return (texts.select(words).filter(F.length("word") >= 2)
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -92,14 +106,19 @@ def best_split(name: str, edges: list[tuple[int, int, int]], total: float) -> li
     return out[::-1]
 
 
-def segmented_names(names: DataFrame, words: DataFrame, total: float, max_word: int) -> DataFrame:
+def segmented_names(names: DataFrame, words: DataFrame, total: float, anchor: int) -> DataFrame:
     """``(name, words)`` for every distinct name."""
     starts = names.filter("name != '0'").select("name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("_at"))
-    subs = starts.select("name", "_at", F.explode(F.sequence(
-        F.lit(2), F.least(F.lit(max_word), F.length("name") - F.col("_at") + 1))).alias("_n")) \
-        .filter(F.col("_n") >= 2).filter(F.col("_at") + F.col("_n") - 1 <= F.length("name")) \
-        .withColumn("word", F.col("name").substr(F.col("_at"), F.col("_n")))
-    known = salted_lookup(subs, words, "word", F.struct("name", "_at"))
+    rest = F.length("name") - F.col("_at") + 1
+    subs = starts.filter(rest >= 2).select("name", "_at", F.explode(F.sequence(
+        F.lit(2), F.least(F.lit(anchor), rest))).alias("_n")).withColumn(
+        "word", F.col("name").substr(F.col("_at"), F.col("_n")))
+    short = salted_lookup(subs, words.filter(F.length("word") <= anchor), "word", F.struct("name", "_at"))
+    heads = starts.filter(rest > anchor).withColumn("_head", F.col("name").substr(F.col("_at"), F.lit(anchor)))
+    long = words.filter(F.length("word") > anchor).withColumn("_head", F.substring("word", 1, anchor))
+    far = salted_lookup(heads, long, "_head", F.struct("name", "_at")).withColumn("_n", F.length("word")).filter(
+        F.col("name").substr(F.col("_at"), F.col("_n")) == F.col("word"))
+    known = short.select("name", "_at", "_n", "n").unionByName(far.select("name", "_at", "_n", "n"))
     edges = known.groupBy("name").agg(F.collect_list(F.struct(
         (F.col("_at") - 1).alias("s"), F.col("_n").alias("l"), F.col("n").alias("c"))).alias("edges"))
 
@@ -115,8 +134,8 @@ def segmented_names(names: DataFrame, words: DataFrame, total: float, max_word:
 
 
 def url_verdicts(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url",
-                 html_col: str = "html", margin: float = 2.0, seed_weight: float = 20.0, max_word: int = 20,
-                 block_seeds: Sequence[str] = BLOCK_SEEDS, allow_seeds: Sequence[str] = ALLOW_SEEDS) -> DataFrame:
+                 html_col: str = "html", margin: float = 2.0, seed_weight: float = 20.0, seed_share: float = 0.5,
+                 anchor: int = 20, block_seeds: Sequence[str] = BLOCK_SEEDS, allow_seeds: Sequence[str] = ALLOW_SEEDS) -> DataFrame:
     """One row per page: ``id_col, host, path, rule, verdict, score, words``.
 
     ``score`` is the classifier's log odds for block, ``words`` the segmented names of host
@@ -134,24 +153,29 @@ def url_verdicts(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id
 
     seeds = spark.createDataFrame([(w, 1, 0) for w in block_seeds] + [(w, 0, 1) for w in allow_seeds],
                                   "word string, _b int, _a int")
-    words = unigram_counts(pages, html_col, max_word).unionByName(
+    words = unigram_counts(pages, html_col).unionByName(
         seeds.select("word", F.lit(int(seed_weight)).cast("long").alias("n")))
     words = written(words.groupBy("word").agg(F.sum("n").alias("n")), "unigrams")
     total = float(words.agg(F.coalesce(F.sum("n"), F.lit(1))).first()[0])
 
     names = urls.select(F.posexplode("_names").alias("_pos", "name"), "_url", "host", "path", "_label", "_pages")
-    split = written(segmented_names(names.select("name").distinct(), words, total, max_word), "names")
+    split = written(segmented_names(names.select("name").distinct(), words, total, anchor), "names")
     tokens = written(salted_lookup(names, split, "name", F.struct("_url", "_pos")).select(
         "host", "path", "_label", "_pages", "_pos", "words"), "tokens")
 
     named = sorted({w for _, on, prefix in rules for w in (on + prefix).replace("/", ".").split(".") if w} | {"0"})
-    # the words of a name that a rule names are no evidence
     flat = tokens.select("host", "path", "_label", "_pages", F.explode("words").alias("word")).filter(
-        ~F.col("word").isin(named))
-    counted = flat.filter(F.col("_label").isNotNull()).groupBy("word").agg(
-        F.sum(F.when(F.col("_label") == "block", F.col("_pages")).otherwise(0)).cast("double").alias("b"),
-        F.sum(F.when(F.col("_label") == "allow", F.col("_pages")).otherwise(0)).cast("double").alias("a"))
-    seeded = seeds.select("word", (F.col("_b") * seed_weight).alias("b"), (F.col("_a") * seed_weight).alias("a"))
+        ~F.col("word").isin(named) & ~F.col("word").rlike(r"\A[a-z]{1,2}\z"))
+    # millionths: whole numbers add up alike in any order
+    block = F.sum(F.when(F.col("_label") == "block", F.col("_pages")).otherwise(0))
+    shares = flat.filter(F.col("_label").isNotNull()).groupBy("word", "host").agg(
+        F.round(block / F.sum("_pages") * 1_000_000).cast("long").alias("_share"))
+    counted = written(shares.groupBy("word").agg(
+        (F.sum("_share") / 1_000_000).alias("b"), (F.sum(1_000_000 - F.col("_share")) / 1_000_000).alias("a")), "counted")
+    real_b, real_a = counted.agg(F.coalesce(F.sum("b"), F.lit(0.0)), F.coalesce(F.sum("a"), F.lit(0.0))).first()
+    weigh_b, weigh_a = (max(seed_weight, seed_share / (1 - seed_share) * real / max(1, len(words_of)))
+                        for real, words_of in ((real_b, block_seeds), (real_a, allow_seeds)))
+    seeded = seeds.select("word", (F.col("_b") * weigh_b).alias("b"), (F.col("_a") * weigh_a).alias("a"))
     counts = written(counted.unionByName(seeded).groupBy("word").agg(F.sum("b").alias("b"), F.sum("a").alias("a")),
                      "classes")
     all_b, all_a, kinds = counts.agg(F.sum("b"), F.sum("a"), F.count(F.lit(1))).first()

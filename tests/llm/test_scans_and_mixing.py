@@ -280,6 +280,69 @@ def test_rules_equal_plain_parsing(spark):
     assert url_filter.url_verdicts(pages.filter("false"), queries.URL_RULES).count() == 0
 
 
+def test_names_of_all_scripts_and_lengths_are_split(spark):
+    long = "stra\u00dfenverkehrsordnungswidrigkeiten"
+    html = (f"<p>{(long + ' ') * 30} " + "\u043a\u0430\u0437\u0438\u043d\u043e \u0438\u0433\u0440\u0430 " * 30
+            + "green garden tools green garden " * 30 + "caf\u00e9 " * 5 + "</p>")
+    urls = {f"http://{long}.de/": [long, "de"], f"http://green{long}garden.de/": ["green", long, "garden", "de"],
+            "http://\u043a\u0430\u0437\u0438\u043d\u043e\u0438\u0433\u0440\u0430.\u0440\u0444/":
+                ["\u043a\u0430\u0437\u0438\u043d\u043e", "\u0438\u0433\u0440\u0430", "\u0440\u0444"],
+            "http://greengardentools.com/CAF%C3%89/7%zz": ["green", "garden", "tools", "com", "caf", "c", "0", "0", "0", "zz"],
+            "http://greengardentools.com/CAF%C3%89/7": ["green", "garden", "tools", "com", "caf\u00e9", "0"],
+            "http://cheapcasino.com": ["cheap", "casino", "com"]}
+    rows = [(None, u, html, "x", "x") for u in urls] * 2
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, word string, host string")
+    got = url_filter.url_verdicts(pages, queries.URL_RULES).select("page_id", "host", "path", "words").collect()
+    want = [(*plain_url(u)[:2], w) for u, w in urls.items()] * 2
+    assert all(r.page_id is None for r in got)
+    assert sorted((r.host, r.path, r.words) for r in got) == sorted(want)
+
+
+def test_scores_equal_a_plain_naive_bayes(spark):
+    pages = table(spark, SF_SMALL, "pages").select("page_id", "url", "html")
+    got = url_filter.url_verdicts(pages, queries.URL_RULES).collect()
+    verdict = {(r.host, r.path): r.verdict for r in got if r.rule}
+    named = {"net", "example", "en", "com", "de", "org", "fr", "0"}
+
+    def evidence(r):
+        return [w for w in r.words if w not in named and not re.fullmatch("[a-z]{1,2}", w)]
+
+    seen = {}
+    for r in got:
+        if r.rule:
+            for w in evidence(r):
+                seen.setdefault((w, r.host), []).append(r.verdict == "block")
+    b, a = {}, {}
+    for (w, _), marks in seen.items():
+        b[w] = b.get(w, 0) + sum(marks) / len(marks)
+        a[w] = a.get(w, 0) + 1 - sum(marks) / len(marks)
+    real_b, real_a = sum(b.values()), sum(a.values())
+    for count, other, seeds, real in ((b, a, url_filter.BLOCK_SEEDS, real_b), (a, b, url_filter.ALLOW_SEEDS, real_a)):
+        for w in seeds:
+            count[w] = count.get(w, 0) + max(20, real / len(seeds))
+            other.setdefault(w, 0)
+    all_b, all_a, kinds = sum(b.values()), sum(a.values()), len(b)
+    for r in got:
+        score = sum(math.log((b[w] + 1) / (all_b + kinds)) - math.log((a[w] + 1) / (all_a + kinds))
+                    for w in evidence(r) if w in b)
+        assert r.score == pytest.approx(score, abs=1e-3)
+        assert r.verdict == verdict.get((r.host, r.path), "block" if score > 2 else "allow")
+
+
+def test_verdicts_do_not_turn_with_the_number_of_pages(spark):
+    def pages(n):
+        # n hosts of one shop under rules of both kinds and none; words say nothing but for seeds
+        rows = [(i, f"http://{sub}.garden{'abcdefghij'[i % 10]}.example.{end}/{lang}/{i}", "") for i in range(n)
+                for sub, end, lang in (("blog", "net", "es"), ("blog", "net", "en"), ("blog", "com", "en"),
+                                       ("cheappills", "com", "en"), ("shop", "org", "es"))]
+        return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+    for n in (10, 400):
+        got = url_filter.url_verdicts(pages(n), queries.URL_RULES).filter("rule IS NULL").collect()
+        assert {(r.host.split(".")[0], r.verdict) for r in got} == {
+            ("blog", "allow"), ("cheappills", "block"), ("shop", "allow")}
+
+
 def test_segmentation_is_the_best_of_all(spark):
     rng = random.Random(5)
     for _ in range(60):
