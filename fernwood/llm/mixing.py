@@ -15,6 +15,10 @@
    many slots as blocks are needed; as any interval of one over the number of needed blocks
    then holds a point, every source gets all its slots, and slots beyond them stay unused.
 
+5. The mix in order: every document knows the first slot of each reading of it, and
+   :func:`mixed_documents` lays its copies out by these slots, so that whatever reads the mix
+   from front to back meets the sources in the schedule's proportions all the way.
+
 Everything is keyed by hashes, so a rerun gives the same mix.  No source is handled by one
 task: word positions and slot ranks come from range-bucketed running totals, and the final
 join is on (source, block), whose rows are bounded by the block's words.
@@ -31,6 +35,8 @@ from fernwood.llm.common import WORD_PATTERN, fresh, written
 from fernwood.operators.ranking import global_rank, running_total
 
 GOLDEN = 0.6180339887498949
+#: partitions of a written mix at most (a layout bound: they only grow beyond it)
+MAX_PARTS = 100_000
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, max_repeat: float) -> DataFrame:
@@ -64,8 +70,9 @@ def mixing_plan(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
     """The documents with their sizes and targets, and the pieces that the schedule takes.
 
     Documents: ``_id, source, size, source_size, target, _sid, _end`` (a document covers the
-    words before ``_end`` of its source's stream); pieces: ``slot, _sid, _end, _id,
-    from_word, to_word`` in words of the document, end exclusive.  A null source is a source;
+    words before ``_end`` of its source's stream); pieces: ``slot, _sid, _end, _id, epoch,
+    from_word, to_word`` in words of the document, end exclusive (``epoch``: how often the
+    source was read to its end before).  A null source is a source;
     null, empty and white-space texts have size 0 and are never taken; repeated rows are
     separate documents that share an id; an empty table gives two empty tables.
     """
@@ -93,7 +100,7 @@ def mixing_plan(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
     block = r - epoch * F.col("_blocks")
     quota = F.least(b.cast("long"), F.col("source_size") - block * b,
                     F.col("_goal") - epoch * F.col("source_size") - block * b)
-    uses = ranked.select("slot", "_sid", block.alias("_block"), (block * b).alias("_lo"),
+    uses = ranked.select("slot", "_sid", epoch.alias("epoch"), block.alias("_block"), (block * b).alias("_lo"),
                          (block * b + quota).alias("_hi"))
 
     start = F.col("_end") - F.col("size")
@@ -101,7 +108,7 @@ def mixing_plan(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
         "_id", "_sid", "_end", "size",
         F.explode(F.sequence(F.floor(start / b), F.floor((F.col("_end") - 1) / b))).alias("_block"))
     pieces = parts.join(uses, ["_sid", "_block"]).select(
-        "slot", "_sid", "_end", "_id", (F.greatest("_lo", start) - start).alias("from_word"),
+        "slot", "_sid", "_end", "_id", "epoch", (F.greatest("_lo", start) - start).alias("from_word"),
         (F.least("_hi", F.col("_end")) - start).alias("to_word"))
     return placed, pieces.filter("from_word < to_word")
 
@@ -128,33 +135,53 @@ def slot_sources(wanted: DataFrame, n: int, k: int) -> DataFrame:
 
 def _amounts(docs: DataFrame, **options) -> DataFrame:
     placed, pieces = mixing_plan(docs, **options)
-    # the end position is unique among the documents of a source that have words
-    taken = pieces.groupBy("_sid", "_end").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
-    full = placed.filter("size > 0").join(taken, ["_sid", "_end"], "left").withColumn(
-        "taken", F.coalesce("taken", F.lit(0).cast("long")))
-    return full.unionByName(placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long")))
+    # the end position is unique among the documents of a source that have words; a source is
+    # read few times over, so a document has few epochs
+    epochs = pieces.groupBy("_sid", "_end", "epoch").agg(
+        F.sum(F.col("to_word") - F.col("from_word")).alias("n"), F.min("slot").alias("slot"),
+        F.count(F.lit(1)).alias("k"))
+    taken = epochs.groupBy("_sid", "_end").agg(
+        F.sum("n").alias("taken"), F.sum("k").alias("n_pieces"),
+        F.transform(F.array_sort(F.collect_list(F.struct("epoch", "slot"))), lambda e: e["slot"]).alias("slots"))
+    zero, none = F.lit(0).cast("long"), F.array().cast("array<bigint>")
+    full = placed.filter("size > 0").join(taken, ["_sid", "_end"], "left").withColumns(
+        {"taken": F.coalesce("taken", zero), "n_pieces": F.coalesce("n_pieces", zero), "slots": F.coalesce("slots", none)})
+    return full.unionByName(placed.filter("size = 0").withColumns({"taken": zero, "n_pieces": zero, "slots": none}))
 
 
 def mixed_amounts(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """One row per document: ``id_col, size, source_size, target, taken, source``.
+    """One row per document: ``id_col, size, source_size, target, taken, source, slot, n_pieces``.
 
-    ``taken`` is the number of words the mix takes, repeats counted.
+    ``taken`` is the number of words the mix takes, repeats counted; ``slot`` the first slot of
+    the schedule that takes some of them (null: none does) and ``n_pieces`` the number of
+    slots that do.
     """
     return _amounts(docs, id_col=id_col, **options).select(
-        F.col("_id").alias(id_col), "size", "source_size", "target", "taken", "source")
+        F.col("_id").alias(id_col), "size", "source_size", "target", "taken", "source",
+        F.array_min("slots").alias("slot"), "n_pieces")
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    part_words: int = 4_000_000, **options) -> DataFrame:
     """``docs`` as the mix takes them, columns unchanged: a document's rows repeat as often as its
     words are taken, rounded to whole documents.
 
-    A document without words is never taken.  Rows with the same id and text are the same
-    document: each of them is repeated as often as the one with the most words taken.
+    The rows come in the order of the schedule: copy ``i`` of a document stands at the first slot
+    of its ``i``-th reading, partitions are ranges of slots of about ``part_words`` words, sorted
+    inside, and so is a table written from them.  A document without words is never taken.
+    Rows with the same id and text are the same document: each of them is repeated as often as
+    the one with the most words taken.
     """
-    amounts = _amounts(docs, id_col=id_col, text_col=text_col, **options).filter("taken > 0").groupBy(
-        "_id", "_text").agg(F.max(F.round(F.col("taken") / F.col("size")).cast("int")).alias("_times"))
-    amounts = amounts.filter("_times > 0")
-    copy = fresh("_copy", docs.columns)
+    amounts = written(_amounts(docs, id_col=id_col, text_col=text_col, **options).filter("taken > 0"), "amounts")
+    words, last = amounts.agg(F.coalesce(F.sum("taken"), F.lit(0)), F.coalesce(F.max(F.array_max("slots")), F.lit(0))).first()
+    times = F.round(F.col("taken") / F.col("size")).cast("int")
+    amounts = amounts.groupBy("_id", "_text").agg(F.max(F.struct(times.alias("times"), "slots")).alias("_mix")).filter(
+        "_mix.times > 0")
+    slot, mix = fresh("_slot", docs.columns), F.col("_mix")
     same = docs[id_col].eqNullSafe(amounts["_id"]) & (F.xxhash64(docs[text_col]) == amounts["_text"])
-    return docs.join(amounts, same).select(
-        *[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), amounts["_times"])).alias(copy)).drop(copy)
+    copies = F.transform(F.sequence(F.lit(1), mix["times"]), lambda i: F.element_at(
+        mix["slots"], F.least(i, F.size(mix["slots"]))))
+    placed = docs.join(amounts, same).select(*[docs[c] for c in docs.columns], F.explode(copies).alias(slot))
+    parts = max(1, min(-(-int(words) // part_words), MAX_PARTS))
+    part = F.floor(F.col(slot) * parts / (int(last) + 1)).cast("int")
+    return placed.repartitionById(parts, part).sortWithinPartitions(slot, F.xxhash64(id_col)).drop(slot)

@@ -83,6 +83,59 @@ def test_schedule_ranks_slots_and_takes_each_block_in_turn(spark):
     assert placed.count() == 90
 
 
+def test_plan_equals_a_plain_schedule(spark):
+    rng = random.Random(3)
+    docs = [(i, " ".join("w" for _ in range(rng.choice((0, 1, 7, 30, 90)))), rng.choice(("a", "a", "a", "b", None)))
+            for i in range(300)]
+    placed, pieces = mixing.mixing_plan(spark.createDataFrame(docs, "doc_id long, text string, source string"),
+                                        block_words=20)
+    streams, goals = {}, {}
+    for r in sorted(placed.collect(), key=lambda r: (r["_sid"], r["_end"])):
+        streams.setdefault(r["_sid"], []).extend((r["_id"], w) for w in range(r["size"]))
+        goals[r["_sid"]] = round(r["target"])
+    blocks = {}
+    for sid, stream in streams.items():  # the blocks that a source gives, in turn
+        blocks[sid], left, epoch = [], goals[sid], 0
+        while left:
+            for lo in range(0, min(left, len(stream)), 20):
+                blocks[sid].append((epoch, stream[lo:lo + min(20, left)]))
+                left -= len(blocks[sid][-1][1])
+                if not left:
+                    break
+            epoch += 1
+    need = sum(map(len, blocks.values()))
+    bounds = list(itertools.accumulate(len(blocks[sid]) for sid in sorted(blocks)))
+    want, given = set(), dict.fromkeys(blocks, 0)
+    for slot in range(3 * need + 64):
+        u = (slot + 0.5) * mixing.GOLDEN % 1.0
+        sid = next(s for s, upto in zip(sorted(blocks), bounds, strict=True) if u < upto / need)
+        if given[sid] < len(blocks[sid]):
+            epoch, words = blocks[sid][given[sid]]
+            given[sid] += 1
+            for doc, part in itertools.groupby(words, key=lambda w: w[0]):
+                part = [w for _, w in part]
+                want.add((slot, sid, doc, epoch, part[0], part[-1] + 1))
+    got = [(r["slot"], r["_sid"], r["_id"], r["epoch"], r["from_word"], r["to_word"]) for r in pieces.collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_mixed_documents_come_in_the_order_of_the_schedule(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "w " * 50, "abc"[i % 3]) for i in range(600)], "doc_id long, text string, source string")
+    amounts = {r.doc_id: r for r in mixing.mixed_amounts(docs, block_words=50).collect()}
+    assert all((r.slot is None) == (r.taken == 0) == (r.n_pieces == 0) for r in amounts.values())
+    rows = mixing.mixed_documents(docs, block_words=50, part_words=9000)
+    assert rows.columns == docs.columns
+    rows.write.parquet(str(tmp_path / "mix"))
+    mixed = [r for f in sorted((tmp_path / "mix").glob("part-*")) for r in spark.read.parquet(str(f)).collect()]
+    assert len(list((tmp_path / "mix").glob("part-*"))) == -(-sum(r.taken for r in amounts.values()) // 9000)
+    firsts = list(dict.fromkeys(r.doc_id for r in mixed))
+    assert [amounts[d].slot for d in firsts] == sorted(amounts[d].slot for d in firsts)
+    shares = {s: sum(r.source == s for r in mixed) / len(mixed) for s in "abc"}
+    for lo in range(0, len(mixed) - 60, 60):  # every stretch holds the sources in their shares
+        for s, share in shares.items():
+            assert abs(sum(r.source == s for r in mixed[lo:lo + 60]) - 60 * share) <= 4
+
+
 def test_mix_of_edge_rows(spark):
     docs = [(r.doc_id, r.text, r.source) for r in edge_docs(spark).collect()]
     check_mix(mixing.mixed_amounts(edge_docs(spark)).collect(), docs)
