@@ -33,10 +33,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fernwood.llm.common import (
@@ -49,6 +50,18 @@ SHORT = 16
 _LONGS = pa.list_(pa.int64())
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """At most ``rows`` rows in an Arrow batch of what is run inside: rows that hold whole sets are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def retained_overlap(n: np.ndarray, k: int, percent: int) -> np.ndarray:
     """Retained values that a set of ``n`` shingles shares with any set it is linked with.
 
@@ -102,7 +115,8 @@ def sketches(docs: DataFrame, size: int, k: int, id_col: str, text_col: str) ->
 
     rows = docs.select(F.col(id_col).alias("_id"), text_col, F.xxhash64(F.coalesce(text_col, F.lit("")))).mapInArrow(
         run, f"_id {kind}, _h long, n long, s1 long, s2 long, sketch array<long>")
-    return written(rows.withColumn("_row", F.monotonically_increasing_id()), "sketches")
+    with small_batches(docs.sparkSession, 1000):
+        return written(rows.withColumn("_row", F.monotonically_increasing_id()), "sketches")
 
 
 def list_entries(nodes: DataFrame, k: int, percent: int, shared: int) -> DataFrame:
@@ -192,8 +206,10 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percen
     passed = written(estimated(pairs, nodes, k, percent), "passed")
     open_pairs = passed.filter("NOT sure").select("a", "b")
     wanted = open_pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = written(full_sets(docs, written(nodes.select("node", "_id", "s1").join(wanted, "node", "left_semi"), "wanted"),
-                             size, id_col, text_col), "sets")
+    wanted = written(nodes.select("node", "_id", "s1").join(wanted, "node", "left_semi"), "wanted")
+    sets = full_sets(docs, wanted, size, id_col, text_col)
+    with small_batches(docs.sparkSession, 1000):
+        sets = written(sets, "sets")
     both = (open_pairs.join(sets.withColumnsRenamed({"node": "a", "full": "fa"}), "a")
             .join(sets.withColumnsRenamed({"node": "b", "full": "fb"}), "b").select("a", "b", "fa", "fb"))
 
@@ -207,7 +223,8 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percen
                 pa.array(keep, pa.bool_()))
 
     exact = both.mapInArrow(run, "a long, b long")
-    return written(passed.filter("sure").select("a", "b").unionByName(exact), "links")
+    with small_batches(docs.sparkSession, 128):
+        return written(passed.filter("sure").select("a", "b").unionByName(exact), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
