@@ -65,15 +65,17 @@ def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
 def retained_overlap(n: np.ndarray, k: int, percent: int) -> np.ndarray:
     """Retained values that a set of ``n`` shingles shares with any set it is linked with.
 
-    Exact where both sets fit in a sketch.  Else the k smallest values of the union are a draw
-    without replacement of which at least ``percent`` are shared: the mean less 5 deviations
-    for the largest possible union.
+    Where the union fits in a sketch all shared values are retained, at least ``percent`` of the
+    set.  Else the k smallest values of the union are a draw without replacement of which at
+    least ``percent`` are shared: the mean less 5 deviations for the largest possible union.  A
+    set that fits in a sketch may have a union of either kind, so the smaller bound holds.
     """
     j = percent / 100
     n = np.asarray(n, np.int64)
     left = np.clip(1 - k * j / np.maximum(n, 1), 0, 1)
     drawn = np.floor(k * j - 5 * np.sqrt(k * j * (1 - j) * left)).astype(np.int64)
-    return np.where(100 * n <= percent * k, -(-percent * n // 100), np.maximum(drawn, 1))
+    whole = -(-percent * n // 100)
+    return np.where(100 * n <= percent * k, whole, np.minimum(whole, np.maximum(drawn, 1)))
 
 
 def set_rows(column: pa.Array, size: int) -> Iterator[tuple[np.ndarray, int, int]]:

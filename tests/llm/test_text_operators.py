@@ -198,6 +198,24 @@ def test_near_duplicates_equal_brute_force(spark, size):
         assert rows_of(got, "doc_id", "n_shingles", "component_id") == sorted(want)
 
 
+def test_near_duplicates_of_sets_that_nearly_fill_a_sketch(spark):
+    for k in (16, 64, 256):
+        n = np.arange(1, k + 1)
+        assert (near_dup.retained_overlap(n, k, 80) <= -(-80 * n // 100)).all()
+    # a text and its first words, 0.8 of them: the words that only the longer one has are the rarest
+    docs, pairs = [], [(n, -(-80 * n // 100)) for n in range(48, 66)]
+    for i, (n, m) in enumerate(pairs):
+        words = [f"f{i}w{j}" for j in range(n)]
+        docs += [(100 * i, " ".join(words)), (100 * i + 1, " ".join(words[:m]))]
+        for j in range(4):  # the shared words are frequent elsewhere
+            docs.append((100 * i + 10 + j, " ".join(words[j * m // 4:(j + 1) * m // 4]) + " "
+                         + " ".join(f"o{i}x{j}y{z}" for z in range(60))))
+    got = near_dup.near_duplicate_groups(spark.createDataFrame(docs, "doc_id long, text string"), size=1)
+    found = {r.doc_id: r.component_id for r in got.collect()}
+    assert all(found[100 * i + 1] == 100 * i for i in range(len(pairs)))
+    assert sum(a != b for a, b in found.items()) == len(pairs)
+
+
 def test_near_duplicates_of_edge_rows(spark):
     got = near_dup.near_duplicate_groups(edge_docs(spark), size=2)
     rows = rows_of(got, "doc_id", "n_shingles", "component_id", "kept")
