@@ -39,7 +39,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_path = path
+    return table
+
+
+def spent(*tables: DataFrame) -> None:
+    """Deletes the folders of ``written`` tables.
+
+    Only for tables that nothing reads any more: what was made from them has been written itself.
+    """
+    for table in tables:
+        spark = table.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.written_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def salt_of(*cols: str | Column, salts: int = SALTS) -> Column:

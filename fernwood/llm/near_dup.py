@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fernwood.llm.common import (
-    maybe_among, mix64, shingle_hashes, slices, text_bytes, word_hashes, written,
+    maybe_among, mix64, shingle_hashes, slices, spent, text_bytes, word_hashes, written,
 )
 
 COUNTERS = 1 << 22
@@ -226,7 +226,9 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percen
 
     exact = both.mapInArrow(run, "a long, b long")
     with small_batches(docs.sparkSession, 128):
-        return written(passed.filter("sure").select("a", "b").unionByName(exact), "links")
+        links = written(passed.filter("sure").select("a", "b").unionByName(exact), "links")
+    spent(passed, wanted, sets)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -235,6 +237,7 @@ def components(links: DataFrame) -> DataFrame:
                     "edges")
     labels = written(edges.groupBy("a").agg(F.min("b").alias("m")).select(
         F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
+    current = labels
     while True:
         near = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("m"))
         step = labels.join(near.withColumnRenamed("a", "node"), "node", "left").select(
@@ -244,8 +247,10 @@ def components(links: DataFrame) -> DataFrame:
         moved = step.join(jump, "to", "left").select("node", "label", F.coalesce("next", "to").alias("new"))
         moved = written(moved, "moved")
         changed = moved.filter("new < label").limit(1).count()
-        labels = moved.select("node", F.col("new").alias("label"))
+        spent(step, current)
+        current, labels = moved, moved.select("node", F.col("new").alias("label"))
         if not changed:
+            spent(edges)
             return labels
 
 
@@ -284,14 +289,17 @@ def grouped_rows(docs: DataFrame, size: int, percent: int, k: int, id_col: str,
     members = written(filled.join(classes, ["n", "s1", "s2"]).select(
         "_row", "_id", "_h", "n", "s1", "node", F.when(F.col("_row") == F.col("node"), F.col("sketch")).alias("sketch")),
         "members")
+    blank = written(rows.filter("n = 0").select("_row", "_id", "_h", "n"), "blank")
+    spent(rows)
     nodes = members.filter(F.col("sketch").isNotNull()).select("node", "_id", "n", "s1", "sketch")
 
     shared = min(2, int(retained_overlap(np.array([1 << 40]), k, percent)[0]) - 1)
-    entries = written(list_entries(nodes, k, percent, shared), "entries")
-    lengths = entries.groupBy("value").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
+    listed = written(list_entries(nodes, k, percent, shared), "entries")
+    lengths = listed.groupBy("value").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
     step = math.log(100 / percent) if percent < 100 else 1.0
-    entries = written(entries.join(lengths, "value").withColumn(
+    entries = written(listed.join(lengths, "value").withColumn(
         "band", F.floor(F.log(F.col("n").cast("double")) / step).cast("int")), "lists")
+    spent(listed)
 
     def check(pairs: DataFrame) -> DataFrame:
         return verified(pairs, nodes, docs, k, percent, size, id_col, text_col)
@@ -303,13 +311,14 @@ def grouped_rows(docs: DataFrame, size: int, percent: int, k: int, id_col: str,
         if labels is None:
             now = now.withColumn("label", F.col("node"))
         else:
-            now = written(_labelled(now, labels), "labelled")
+            now = labelled = written(_labelled(now, labels), "labelled")
             # pairs of a long list that lie in different groups
             per = now.groupBy("value", "label").agg(F.count(F.lit(1)).cast("double").alias("c")).groupBy("value").agg(
                 (F.pow(F.sum("c"), 2) - F.sum(F.col("c") * F.col("c"))).alias("open"))
             still = per.agg(F.coalesce(F.sum("open"), F.lit(0.0))).first()[0]
             # few are left, or pivots no longer help: documents that share much and are not linked
             if still <= 2 * enough * now.count() or 2 * still > before:
+                spent(labelled)
                 break
             before = still
         # every list has its own pivots, so a document is compared with as many as it has lists
@@ -324,17 +333,21 @@ def grouped_rows(docs: DataFrame, size: int, percent: int, k: int, id_col: str,
         found = check(pairs)
         links = found if links is None else links.unionByName(found)
         labels = components(links)
+        if turn:
+            spent(labelled)
 
     left = written(_labelled(entries, labels) if labels is not None else entries.withColumn("label", F.col("node")), "open")
     pairs = list_pairs(left, percent, shared)
     found = check(written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs"))
     labels = components(found if links is None else links.unionByName(found))
+    spent(entries, left)
 
     everyone = nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
     grouped = written(members.select("_row", "_id", "_h", "n", "node").join(everyone, "node"), "grouped")
+    spent(members)
     smallest = grouped.groupBy("label").agg(F.min("_id").alias("component_id"))
     out = grouped.join(smallest, "label")
-    empty = rows.filter("n = 0").withColumns({"component_id": F.col("_id"), "label": F.col("_row")})
+    empty = blank.withColumns({"component_id": F.col("_id"), "label": F.col("_row")})
     columns = ["_row", "_id", "_h", "n", "label", "component_id"]
     return out.select(columns).unionByName(empty.select(columns))
 
