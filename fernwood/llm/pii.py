@@ -4,16 +4,19 @@ Base spans, leftmost and not overlapping per kind (code points, end exclusive):
 (four numbers of at most 255), card (12 to 19 digits that pass Luhn), phone (``+``, 9 to 15
 digits).  The base spans are the seeds of the method:
 
-1. Occurrences: base spans and candidates (runs of words with a digit or ``@`` that overlap no
-   base span), each with its lexical patterns: the two words before it, and the words around it.
+1. Occurrences: base spans and candidates, each with its lexical patterns: the two words before
+   it, and the words around it.  Contexts are whole words, however long, and end at the match
+   of the same kind before or behind.  A run of words with a digit or ``@`` has as candidates
+   its first word and its beginnings up to each blank, as long as they hold at most 19 digits
+   (no kind has more) and no ``@``; those that overlap a base span are left out.
 2. The pattern-instance graph has an edge for every distinct (pattern, instance).  Seeds have
    the score 1 for their kind.  In each round a pattern's confidence for a kind is the sum of
-   its instances' scores over their number plus one; patterns with at least ``support`` scored
-   instances and a confidence of at least ``confidence`` are trusted.  An instance's score is
+   its instances' scores over their number plus one (candidates of the same run count once, with
+   the best score); patterns with at least ``support`` scored instances and a confidence of at least ``confidence`` are trusted.  An instance's score is
    the chance that at least one of its trusted patterns is right, ``1 - prod(1 - confidence)``.
 3. After the last round, candidates in a trusted pattern whose score reaches ``least_score``
    are reported with the pattern's kind, if their shape allows it (an ``@``, or the kind's
-   number of digits).
+   number of digits); of a run the candidate of the best score, of equal ones the longest.
 
 The regular expressions never go back over a character twice: a match can only begin where a
 run of its characters begins or where the match before it ended, and repeats are possessive.
@@ -41,6 +44,11 @@ PATTERNS = (
 )
 #: runs of words that hold a digit or an @
 CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?:\x20[^\s0-9@]*+[0-9@]\S*+)*+"
+#: the beginning of a run that may hold its candidates: every word but the first has a digit
+_HEAD = r"\A\S++(?:\x20\S++){0,18}+"
+_MOST_DIGITS = 19
+#: the last two words of a gap, or its only one; a match can only begin where a word does
+_LAST_WORDS = r"(?<!\S)(?:\S++\s++)?\S++\s*+\z"
 #: a text without the sign holds no span of the kind
 _SIGNS = ("@", "[0-9]\\.[0-9]", "[0-9](?:[\\x20-]?[0-9]){11}", "+")
 _PART = "0*(?:[0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
@@ -72,7 +80,8 @@ def _found(text: Column, pattern: str, kind: int, sign: Column) -> Column:
     zipped = F.arrays_zip(matches.alias("m"), F.slice(gaps, 1, n).alias("l"), F.slice(gaps, 2, n).alias("r"))
     rows = F.transform(zipped, lambda x, i: F.struct(
         F.lit(kind).alias("kind"), i.alias("pos"), F.length(x["l"]).alias("gap"), x["m"].alias("match"),
-        F.substring(x["l"], -80, 80).alias("left"), F.substring(x["r"], 1, 40).alias("right")))
+        F.regexp_extract(x["l"], _LAST_WORDS, 0).alias("left"),
+        F.regexp_extract(x["r"], r"\A\s*+\S++", 0).alias("right")))
     return F.when(sign, rows).otherwise(F.array().cast(
         "array<struct<kind:int,pos:int,gap:int,match:string,left:string,right:string>>"))
 
@@ -91,8 +100,26 @@ def without_overlaps(rows: DataFrame) -> DataFrame:
     return rows.filter(base | ~F.coalesce(hit, F.lit(False))).drop("_before", "_behind")
 
 
+def run_candidates(rows: DataFrame) -> DataFrame:
+    """``rows`` with the candidates of every run (kind 4) in place of the run.
+
+    Adds ``run``, a hash of the whole match.  Inner candidates have no context behind them.
+    """
+    words = F.split(F.regexp_extract("match", _HEAD, 0), " ")
+    heads = F.transform(F.sequence(F.lit(1), F.size(words)), lambda n: F.array_join(F.slice(words, F.lit(1), n), " "))
+    heads = F.filter(heads, lambda head, i: (i == 0) | (
+        ~F.contains(head, F.lit("@")) & (F.length(_digits(head)) <= _MOST_DIGITS)))
+    rows = rows.withColumn("run", F.xxhash64(lower_ascii(F.col("match")))).withColumn(
+        "piece", F.explode(F.when(F.col("kind") == 4, heads).otherwise(F.array("match"))))
+    whole = F.col("piece") == F.col("match")
+    return rows.withColumns({
+        "right": F.when(whole, F.col("right")).otherwise(F.lit("")),
+        "end": F.col("start") + F.length("piece"),
+        "match": F.col("piece")}).drop("piece")
+
+
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(_id, _h, kind, match, left, right, start, end)``; kind 4 is a candidate; written.
+    """``(_id, _h, kind, match, left, right, start, end, run)``; kind 4 is a candidate; written.
 
     ``_h`` is a hash of the text: equal rows give the same occurrences, which are kept once.
     Candidates that overlap a base span of their text are left out.
@@ -109,7 +136,7 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     end = F.sum(F.col("gap") + F.length("match")).over(before).cast("long")
     rows = rows.withColumn("end", end).withColumn("start", F.col("end") - F.length("match"))
     keep = (F.col("kind") == 4) | valid(F.col("kind"), F.col("match"))
-    return written(without_overlaps(rows.filter(keep).drop("gap", "pos")), "occurrences")
+    return written(without_overlaps(run_candidates(rows.filter(keep).drop("gap", "pos"))), "occurrences")
 
 
 def _word(words: Column, at: int) -> Column:
@@ -143,10 +170,11 @@ def allowed_kinds(match: Column) -> Column:
 def trusted_patterns(edges: DataFrame, rounds: int, support: int, confidence: float) -> tuple[DataFrame, DataFrame] | None:
     """Trusted ``(pattern, kind, conf)`` and ``(instance, kind, score)``; None if there are none.
 
-    ``edges`` has ``(pattern, instance, kind, seed)``, one row per pattern, instance and kind
-    (so a confidence stays below 1); a candidate has a row for every kind its shape allows.
+    ``edges`` has ``(pattern, instance, kind, seed, run)``, one row per pattern, instance and kind;
+    a candidate has a row for every kind its shape allows.  A pattern counts runs, so a
+    confidence stays below 1.
     """
-    size = edges.groupBy("pattern").agg(F.count_distinct("instance").alias("size"))
+    size = edges.groupBy("pattern").agg(F.count_distinct("run").alias("size"))
     seeded = edges.filter("seed").groupBy("pattern").agg(F.count(F.lit(1)).alias("s")).filter(
         F.col("s") >= support).join(size, "pattern").select("pattern", "size")
     edges = written(salted_lookup(edges, seeded, "pattern", F.col("instance")), "edges")
@@ -158,7 +186,8 @@ def trusted_patterns(edges: DataFrame, rounds: int, support: int, confidence: fl
     for _ in range(rounds):
         known = salted_lookup(edges, scores.select(F.struct("instance", "kind").alias("_key"), "score"), "_key",
                               F.col("pattern"))
-        trusted = known.groupBy("pattern", "kind").agg(
+        runs = known.groupBy("pattern", "kind", "run").agg(F.max("score").alias("score"), F.first("size").alias("size"))
+        trusted = runs.groupBy("pattern", "kind").agg(
             F.sum("score").alias("pos"), F.count(F.lit(1)).alias("n"), F.first("size").alias("size")).withColumn(
             "conf", F.col("pos") / (F.col("size") + 1)).filter(
             (F.col("n") >= support) & (F.col("conf") >= confidence)).select("pattern", "kind", "conf")
@@ -190,8 +219,9 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     patterns = written(context_patterns(rows), "patterns")
     wide = patterns.withColumn("kinds", F.when(F.col("kind") < 4, F.array("kind")).otherwise(
         allowed_kinds(F.col("match"))))
-    edges = wide.select("pattern", "instance", (F.col("kind") < 4).alias("seed"), F.explode("kinds").alias("kind"))
-    edges = written(edges.groupBy("pattern", "instance", "kind").agg(F.max("seed").alias("seed")), "graph")
+    edges = wide.select("pattern", "instance", "run", (F.col("kind") < 4).alias("seed"), F.explode("kinds").alias("kind"))
+    edges = written(edges.groupBy("pattern", "instance", "kind").agg(
+        F.max("seed").alias("seed"), F.min("run").alias("run")), "graph")
     model = trusted_patterns(edges, rounds, support, confidence)
     spans = base
     if model is not None:
@@ -203,10 +233,10 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         cases = salted_lookup(cases.withColumn("_key", F.struct("instance", "kind")),
                               scores.select(F.struct("instance", "kind").alias("_key"), "score"), "_key",
                               F.struct("_id", "start")).filter(F.col("score") >= least_score)
-        best = cases.groupBy("_id", "_h", "start", "end").agg(
-            F.max(F.struct("score", -F.col("kind"))).alias("b"))
+        best = cases.groupBy("_id", "_h", "start").agg(
+            F.max(F.struct("score", "end", (-F.col("kind")).alias("minus"))).alias("b"))
         spans = base.unionByName(best.select("_id", "_h", F.struct(
-            "start", (-F.col("b.col2")).alias("kind"), "end", F.lit(False).alias("base"), F.col("b.score")).alias("span")))
+            "start", (-F.col("b.minus")).alias("kind"), "b.end", F.lit(False).alias("base"), "b.score").alias("span")))
     spans = spans.groupBy(F.col("_id").alias("_sid"), F.col("_h").alias("_sh")).agg(
         F.array_sort(F.collect_list("span")).alias("spans"))
     keys = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_h"))

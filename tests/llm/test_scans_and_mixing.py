@@ -218,6 +218,63 @@ def test_contexts_find_unseen_card_and_phone_numbers(spark, behind):
     assert all([s["base"] for s in got[i]] == [True] for i in (*range(5), *range(20, 25)))
 
 
+def planted_cards():
+    """Ten seeds and numbers that fail Luhn in the same context, each with what stands behind it."""
+    rng, rows, want = random.Random(9), [], {}
+    while len(rows) < 10:
+        card = " ".join(f"{rng.randrange(10000):04d}" for _ in range(4))
+        if plain_pii(card)[2] == 1 and not plain_pii(f"{card} 1")[3]:
+            rows.append((len(rows), f"please use card number {card} thanks"))
+    behind = ["", " thanks", " a@b.org", " 2024", " 2024 17", " 1.2.3.4", " 7701 a@b.org 5", "\n2024", "  2024", " 12345678901234"]
+    while len(rows) < 210:
+        card, more = " ".join(f"{rng.randrange(10000):04d}" for _ in range(4)), behind[len(rows) % 10]
+        text = f"please use card number {card}{more}"
+        if plain_pii(text)[2] == 0:
+            want[len(rows)] = (23, 2, 23 + len(card))
+            rows.append((len(rows), text))
+    return rows, want
+
+
+def test_runs_are_cut_at_base_spans_and_blanks(spark):
+    rows, want = planted_cards()
+    rows.append((500, "there were 4111 1111 1111 1112 2024"))
+    got = {r["doc_id"]: [(s["start"], s["kind"], s["end"]) for s in r["spans"] if not s["base"]]
+           for r in pii.personal_data(edge_docs(spark, rows), confidence=0.04, least_score=0.04).collect()}
+    assert {i: got[i] for i in want} == {i: [span] for i, span in want.items()}  # one span to a run, none missed
+    assert got[500] == [] and all(got[i] == [] for i in range(10))
+
+
+def test_candidates_of_runs_equal_a_plain_cut(spark):
+    rng = random.Random(3)
+    words = ["1", "22", "4111", "1234567890", "12345678901234567890", "a@b", "x1", "1.2.3", "5-6"]
+    runs = [" ".join(rng.choices(words, k=rng.randint(1, 30))) for _ in range(300)] + ["1 " * 5000 + "1", "9" * 50000]
+    frame = spark.createDataFrame([(i, r, 4, "l", " r", 10) for i, r in enumerate(runs)],
+                                  "_id long, match string, kind int, left string, right string, start long")
+    want = []
+    for i, run in enumerate(runs):
+        parts = run.split(" ")
+        for n in range(1, min(len(parts), 40) + 1):
+            head = " ".join(parts[:n])
+            if n == 1 or ("@" not in head and sum(c.isdigit() for c in head) <= 19):
+                want.append((i, head, 10 + len(head), " r" if head == run else ""))
+    got = pii.run_candidates(frame).select("_id", "match", "end", "right").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_contexts_are_whole_words_of_any_length(spark):
+    one, other = "w" * 300 + "a", "w" * 300 + "b"
+    rows = [(i, f"{one} number user{i}@site{i}.org {one}") for i in range(8)]
+    rows += [(50, f"{one} number root7@internalhost {one}"), (51, f"{other} number root8@internalhost {other}"),
+             (52, f"{one} number root9@internalhost {other}")]
+    got = {r["doc_id"]: len(r["spans"]) for r in pii.personal_data(edge_docs(spark, rows), least_score=0.5).collect()}
+    # the words differ in their last character only, which stands further from the match than 80
+    assert got[50] == 1 and got[51] == 0 and got[52] == 1
+    gaps = ["", " ", "a", "a b", " a  b ", "a b c\n", "x" * 50000, "x " * 50000, "é😀 b,"]
+    frame = spark.createDataFrame([(i, g) for i, g in enumerate(gaps)], "i long, g string")
+    for r in frame.select("g", F.regexp_extract("g", pii._LAST_WORDS, 0).alias("w")).collect():
+        assert r.w.split() == r.g.split()[-2:]
+
+
 def test_few_seeds_among_many_instances_are_not_trusted(spark):
     cards = ["4111 1111 1111 1111", "5500 0000 0000 0004", "4012 8888 8888 1881", "6011 0000 0000 0004"]
     cards += [f"4111 1111 1111 2{i}{(i * 7) % 10}{i}" for i in range(9)]
