@@ -8,9 +8,10 @@ Base spans, leftmost and not overlapping per kind (code points, end exclusive):
 
 The method adds ``novel`` spans.  A candidate is a run of key characters near a sensitive
 word, mixing letters and digits, or letters of both cases that do not read as words.  It is compressed with a zstandard dictionary made of
-the identifiers that are common around sensitive words in the whole input and of the text
-around the candidate.  The marginal bytes (its frame minus an empty frame with the same
-dictionary) per character are small for names, words and repeated values, and close to one
+the identifiers, and the words in them, that are common around sensitive words in the whole input
+and of the text around the candidate.  The marginal bytes (the frame of a known beginning and the
+candidate minus that of the beginning alone, so a frame is never stored raw because little is
+saved) per character are small for names, words and repeated values, and close to one
 for random strings: candidates at or above ``novelty`` are reported.
 
 Two narrow passes: the first counts the identifiers near sensitive words (partial counts,
@@ -47,17 +48,22 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]+")
 _IDENTIFIER = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z]+[0-9]{0,2}(?:_[A-Za-z]+[0-9]{0,2})*(?![A-Za-z0-9_])", re.ASCII)
 # the words of identifiers without digits (camel case, capitals)
 _WORDS = re.compile(r"[A-Z]?[a-z]{3,}|[A-Z]{4,}")
+#: bytes of the dictionary in front of a candidate
+_KNOWN = 64
 #: texts without this hold no base span and no candidate
 _SOME = "(?i:" + "|".join(SENSITIVE) + ")|AKIA|[0-9a-f]{24}"
 
 
-def base_spans(text: str) -> list[tuple[int, int, int]]:
-    """``(start, kind number, end)`` of the base spans, in order."""
+def base_spans(text: str) -> list[tuple[int, int, int, int]]:
+    """``(start, kind number, end, start of the checked group)`` of the base spans, in order.
+
+    The checked group ends where its span does.
+    """
     found = []
     for kind, (_, pattern, group, least) in enumerate(BASE):
         for m in pattern.finditer(text):
             if m.end(group) - m.start(group) >= least:
-                found.append((m.start(), kind, m.end()))
+                found.append((m.start(), kind, m.end(), m.start(group)))
     return sorted(found)
 
 
@@ -69,10 +75,10 @@ def mixed(run: str) -> bool:
     return run.lower() != run != run.upper() and 5 * sum(map(len, _WORDS.findall(run))) < 4 * letters
 
 
-def candidates(text: str, taken: list[tuple[int, int, int]], reach: int, least: int):
+def candidates(text: str, taken: list[tuple[int, ...]], reach: int, least: int):
     """``mixed`` runs of key characters, close behind or before a sensitive word."""
     end, passed, reached = 0, 0, 0  # base spans before a run are passed once, as runs come in order
-    spans = sorted((s, e) for s, _, e in taken)
+    spans = sorted((span[0], span[2]) for span in taken)
     for near in _NEAR.finditer(text):
         lo, hi = max(end, near.start() - reach), min(len(text), near.end() + reach)
         if _CANDIDATE.match(text, lo):  # the run may have begun before the window
@@ -93,7 +99,7 @@ def candidates(text: str, taken: list[tuple[int, int, int]], reach: int, least:
                 yield s, e
 
 
-def novelty(text: str, start: int, end: int, identifiers: bytes, around: int, level: int = 3) -> float:
+def novelty(text: str, start: int, end: int, identifiers: bytes, around: int, level: int = 5) -> float:
     """Marginal compressed bytes per byte of ``text[start:end]``."""
     import zstandard as zstd
 
@@ -101,8 +107,8 @@ def novelty(text: str, start: int, end: int, identifiers: bytes, around: int, le
     # a dictionary shorter than 8 bytes is not accepted
     coder = zstd.ZstdCompressor(level=level, write_content_size=False, dict_data=zstd.ZstdCompressionDict(
         primed.rjust(8), dict_type=zstd.DICT_TYPE_RAWCONTENT))
-    run = text[start:end].encode()
-    return (len(coder.compress(run)) - len(coder.compress(b""))) / max(1, len(run))
+    known, run = primed[:_KNOWN], text[start:end].encode()
+    return (len(coder.compress(known + run)) - len(coder.compress(known))) / max(1, len(run))
 
 
 def _flagged(texts: pa.Array) -> pa.Array:
@@ -110,7 +116,7 @@ def _flagged(texts: pa.Array) -> pa.Array:
 
 
 def identifier_dictionary(docs: DataFrame, text_col: str = "text", size: int = 2000, around: int = 200) -> bytes:
-    """The ``size`` identifiers found near sensitive words in most documents, as zstandard priming.
+    """The ``size`` identifiers and words of identifiers found near sensitive words in most documents, as zstandard priming.
 
     Rare first: zstandard finds matches near the end of a dictionary cheapest.
     """
@@ -125,6 +131,7 @@ def identifier_dictionary(docs: DataFrame, text_col: str = "text", size: int = 2
                         for m in _IDENTIFIER.finditer(text, max(0, near.start() - around), near.end() + around):
                             if 4 <= m.end() - m.start() <= 40:
                                 mine.add(m.group())
+                                mine.update(w for w in _WORDS.findall(m.group()) if len(w) >= 4)
                     words += sorted(mine)
                 yield pa.RecordBatch.from_arrays([pa.array(words, pa.string())], names=["word"])
 
@@ -137,8 +144,8 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  least: int = 16, reach: int = 40, around: int = 200, dictionary_size: int = 2000) -> DataFrame:
     """One row per document: ``id_col`` and ``spans array<struct<kind, start, end, novelty>>``.
 
-    Spans are sorted by start, then kind; base spans have a null novelty.  Null and empty
-    texts have none; repeated rows get equal results; an empty table gives an empty result.
+    Spans are sorted by start, then kind; base spans stay whatever their novelty, which is that of
+    the checked group (low for values that are common or repeated around).  Null and empty texts have none; repeated rows get equal results; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(identifier_dictionary(docs, text_col, dictionary_size, around))
@@ -149,7 +156,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def spans_of(text: str) -> list[dict]:
         base = base_spans(text)
-        found = [(s, k, e, None) for s, k, e in base]
+        found = [(s, k, e, novelty(text, at, e, shared.value, around)) for s, k, e, at in base]
         for s, e in candidates(text, base, reach, least):
             score = novelty(text, s, e, shared.value, around)
             if score >= least_novelty:
