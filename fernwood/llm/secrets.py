@@ -50,6 +50,8 @@ _IDENTIFIER = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z]+[0-9]{0,2}(?:_[A-Za-z]+[0-9
 _WORDS = re.compile(r"[A-Z]?[a-z]{3,}|[A-Z]{4,}")
 #: bytes of the dictionary in front of a candidate
 _KNOWN = 64
+#: zstandard codes the letters of runs of this many bytes
+_CODED = 64
 #: texts without this hold no base span and no candidate
 _SOME = "(?i:" + "|".join(SENSITIVE) + ")|AKIA|[0-9a-f]{24}"
 
@@ -100,14 +102,20 @@ def candidates(text: str, taken: list[tuple[int, ...]], reach: int, least: int):
 
 
 def novelty(text: str, start: int, end: int, identifiers: bytes, around: int, level: int = 5) -> float:
-    """Marginal compressed bytes per byte of ``text[start:end]``."""
+    """Marginal compressed bytes per byte of ``text[start:end]``.
+
+    From 64 bytes on zstandard also codes single letters by their frequency, so random runs of
+    few letters would look known: there a negative level is taken, which codes repeats only.
+    """
     import zstandard as zstd
 
+    run = text[start:end].encode()
+    level = level if len(run) < _CODED else -1
     primed = identifiers + text[max(0, start - around):start].encode() + b" " + text[end:end + around].encode()
     # a dictionary shorter than 8 bytes is not accepted
     coder = zstd.ZstdCompressor(level=level, write_content_size=False, dict_data=zstd.ZstdCompressionDict(
         primed.rjust(8), dict_type=zstd.DICT_TYPE_RAWCONTENT))
-    known, run = primed[:_KNOWN], text[start:end].encode()
+    known = primed[:_KNOWN]
     return (len(coder.compress(known + run)) - len(coder.compress(known))) / max(1, len(run))
 
 

@@ -330,7 +330,7 @@ def test_planted_keys_are_found_among_names(spark):
     for i in range(600):
         line, head = rng.choice(lines), "x = call()\n" * rng.randint(0, 30)
         if i % 2:
-            run = "".join(rng.choices(string.ascii_letters + string.digits, k=rng.choice([20, 32, 40, 64])))
+            run = "".join(rng.choices(string.ascii_letters + string.digits, k=rng.choice([20, 32, 40, 64, 500])))
             at = len(head) + line.index("{")
             keys[i] = ("novel", at, at + len(run))
         else:
@@ -346,6 +346,17 @@ def test_planted_keys_are_found_among_names(spark):
         ("assign", True), ("assign", False), ("access", True)]
 
 
+@pytest.mark.parametrize("letters", [string.ascii_letters + string.digits, "0123456789ABCDEF"])
+def test_random_runs_of_any_length_are_novel_and_repeats_are_not(letters):
+    rng = random.Random(6)
+    for n in (20, 40, 63, 64, 65, 100, 400, 20000):
+        for _ in range(10):
+            key, part = "".join(rng.choices(letters, k=n)), "".join(rng.choices(letters, k=8))
+            assert secrets.novelty(f"the bearer {key} was", 11, 11 + n, b"", 200) > 0.85
+            again = part * (n // 8 + 1)
+            assert secrets.novelty(f"the bearer {again} was", 11, 11 + len(again), b"", 200) < 0.6
+
+
 @pytest.mark.parametrize("n", [39, 40, 64, 200])
 def test_long_keys_before_a_sensitive_word_are_candidates(n):
     key = "A1b2C3d4" * (n // 8) + "z" * (n % 8)
