@@ -1,4 +1,4 @@
-"""Near-duplicate groups: bottom-k sketches of one hash function, exact Jaccard on top.
+"""Near-duplicate groups: min-hash lists, bottom-k sketches, exact Jaccard on top.
 
 A document's set holds its distinct word shingles (A-Z folded); two documents are linked
 when the Jaccard similarity of their full sets reaches ``percent`` / 100, and a group is
@@ -7,26 +7,25 @@ what links connect.
 1. Sketches.  One 64-bit hash per shingle; a document keeps the ``k`` smallest values of its
    set.  Documents with equal sets (size and a 128-bit sum of the set) form a class; from
    here on only one row per class is compared.
-2. Inverted lists of retained values.  Linked documents share a known number of retained
-   values: all of ``percent`` for sets that fit in a sketch (exact), else k times the
-   similarity less five standard deviations of the draw (a link is missed with a chance under
-   one in a million).  So it is enough to list a document under its rarest retained values, as
-   many as its sketch exceeds that number, plus three: a linked pair still meets in at least
-   three lists, and common shingles make no long lists.  Rarity is read from a fixed number of
-   counters over the hash space; any order would be right.
-3. Groups of near copies make long lists of documents that are all alike.  So long lists are
-   first compared with one document per list and size class only (its pivot, another one in
-   every list), links are verified, and groups are formed.  While the pairs of a long list that
-   are in different groups are many more than the list entries, more pivots are drawn.  Then
-   every pair of different groups that meets in three lists is compared, in short and long
-   lists.  No such pair is left out.
-4. A pair is checked by size, then by its union sketch (the k smallest values of both: the
-   share that both retain estimates the similarity; below the floor it is dropped), then by
-   exact Jaccard on the full sets, which are rebuilt from the texts of the documents that
-   need it.
-5. Groups are formed by the smallest row number over links, with pointer jumping.
-
-Lists, pairs, links and groups stay in Spark; the driver sees counts and the counters.
+2. Lists.  A document is listed under one key for each of a number of bands; a key is made of
+   ``depth`` min-hashes, and two documents share it with the chance of their similarity to that
+   power.  There are so many bands that a link at the threshold meets in none with a chance
+   under 1e-8, while documents that share a few common shingles hardly ever meet.
+3. Very long lists are first compared with one document per list and size class only (its
+   pivot, another one in every list), links are verified, and groups are formed.  While the
+   pairs of such a list that are in different groups are many more than the list entries,
+   more pivots are drawn.
+4. What meets in long lists forms a family.  A family is cut into blocks, and every two blocks
+   meet in a task that counts the shared shingles of all pairs of full sets at once.  Its pairs
+   are never rows; blocks of one group only are not compared with each other.  Short lists give
+   the pairs that are in no common family.  No pair of different groups that meets is left out.
+5. A pair from a short list or with a pivot is checked by size, then by its union sketch (the k
+   smallest values of both: the share that both retain estimates the similarity; below the floor
+   it is dropped), then by exact Jaccard on the full sets, which are rebuilt from the texts of
+   the documents that need it.
+6. Groups are formed by the smallest row number over links, with pointer jumping.
+
+Lists, pairs, links and groups stay in Spark; the driver sees counts only.
 """
 
 from __future__ import annotations
@@ -44,9 +43,12 @@ from fernwood.llm.common import (
     maybe_among, mix64, shingle_hashes, slices, spent, text_bytes, word_hashes, written,
 )
 
-COUNTERS = 1 << 22
-#: lists of at most this many documents are compared without pivots
+#: at most so many min-hashes are in a key, and so many bands are taken for more than one
+DEPTH, MAX_BANDS = 5, 64
+#: lists of at most this many documents give their pairs one by one
 SHORT = 16
+#: a block of a family has about so many documents, and shingles, at most
+BLOCK, BLOCK_SHINGLES = 512, 1 << 18
 _LONGS = pa.list_(pa.int64())
 
 
@@ -103,54 +105,53 @@ def _arrays(column: pa.Array) -> list[np.ndarray]:
     return [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
-def sketches(docs: DataFrame, size: int, k: int, id_col: str, text_col: str) -> DataFrame:
-    """``(_row, _id, _h, n, s1, s2, sketch)`` of every row, written; ``_h`` is a hash of the text."""
-    kind = docs.schema[id_col].dataType.simpleString()
+def bands_for(percent: int) -> tuple[int, int]:
+    """Min-hashes in a key, and bands with which a link at the threshold shares no key with a chance under 1e-8."""
+    if percent >= 100:
+        return DEPTH, 1
+    for depth in range(DEPTH, 0, -1):
+        bands = math.ceil(math.log(1e-8) / math.log1p(-((max(percent, 1) / 100) ** depth)))
+        if bands <= MAX_BANDS:
+            break
+    return depth, bands
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [(len(v), a, b, v[:k].copy()) for v, a, b in set_rows(batch.column(1), size)]
-            n, s1, s2, low = zip(*sets, strict=True) if sets else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), *(pa.array(x, pa.int64()) for x in (n, s1, s2)), _longs(list(low))],
-                names=["_id", "_h", "n", "s1", "s2", "sketch"])
 
-    rows = docs.select(F.col(id_col).alias("_id"), text_col, F.xxhash64(F.coalesce(text_col, F.lit("")))).mapInArrow(
-        run, f"_id {kind}, _h long, n long, s1 long, s2 long, sketch array<long>")
-    with small_batches(docs.sparkSession, 1000):
-        return written(rows.withColumn("_row", F.monotonically_increasing_id()), "sketches")
+def min_hashes(values: np.ndarray, factors: np.ndarray, columns: int = 1024) -> np.ndarray:
+    """For every factor the smallest product with a value of the set; an empty set has the largest number."""
+    low = np.full(len(factors), np.iinfo(np.uint64).max)
+    for at in range(0, len(values), columns):
+        low = np.minimum(low, np.multiply.outer(factors, values[at:at + columns]).min(axis=1))
+    return low
 
 
-def list_entries(nodes: DataFrame, k: int, percent: int, shared: int) -> DataFrame:
-    """``(value, node, n)``: every node under its rarest retained values.
+def band_keys(low: np.ndarray, depth: int) -> np.ndarray:
+    """The key of every row in every band, from the rows' min-hashes."""
+    keys = np.arange(low.shape[1] // depth, dtype=np.uint64)[None, :]
+    for i in range(depth):
+        keys = mix64(keys * np.uint64(0xD6E8FEB86659FD93) + low[:, i::depth])
+    return keys
 
-    With ``shared`` values more than are needed to meet once, linked nodes meet ``shared`` + 1 times.
-    """
-    spark = nodes.sparkSession
-    slot = F.pmod(F.col("value"), F.lit(COUNTERS)).cast("int")
-    counted = nodes.select(F.explode("sketch").alias("value")).groupBy(slot.alias("slot")).agg(
-        F.count(F.lit(1)).cast("int").alias("n")).toArrow()  # at most COUNTERS rows
-    counters = np.zeros(COUNTERS, np.int32)
-    counters[counted["slot"].to_numpy()] = counted["n"].to_numpy()
-    sent = spark.sparkContext.broadcast(counters)
+
+def sketches(docs: DataFrame, size: int, percent: int, k: int, id_col: str, text_col: str) -> DataFrame:
+    """``(_row, _id, _h, n, s1, s2, sketch, keys)`` of every row, written; ``_h`` is a hash of the text."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    depth, bands = bands_for(percent)
+    factors = mix64(np.arange(1, depth * bands + 1, dtype=np.uint64)) | np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rarity = sent.value
-        for b in batches:
-            ids, sizes, found = b.column(0).to_numpy(), b.column(1).to_numpy(), []
-            needs = retained_overlap(sizes, k, percent).tolist()
-            for need, low in zip(needs, _arrays(b.column(2)), strict=True):
-                take = len(low) - need + 1 + shared
-                if take < len(low):
-                    order = np.lexsort((low, rarity[low.view(np.int64) & (COUNTERS - 1)]))
-                    low = low[order[:take]]
-                found.append(low)
-            counts = np.array([len(f) for f in found], np.int64)
+        for batch in batches:
+            sets = [(len(v), a, b, v[:k].copy(), min_hashes(v, factors)) for v, a, b in set_rows(batch.column(1), size)]
+            n, s1, s2, low, least = zip(*sets, strict=True) if sets else ((), (), (), (), ())
+            keys = band_keys(np.stack(least), depth) if sets else ()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(found).view(np.int64) if found else [], pa.int64()),
-                 pa.array(np.repeat(ids, counts)), pa.array(np.repeat(sizes, counts))], names=["value", "node", "n"])
+                [batch.column(0), batch.column(2), *(pa.array(x, pa.int64()) for x in (n, s1, s2)),
+                 _longs(list(low)), _longs(list(keys))],
+                names=["_id", "_h", "n", "s1", "s2", "sketch", "keys"])
 
-    return nodes.select("node", "n", "sketch").mapInArrow(run, "value long, node long, n long")
+    rows = docs.select(F.col(id_col).alias("_id"), text_col, F.xxhash64(F.coalesce(text_col, F.lit("")))).mapInArrow(
+        run, f"_id {kind}, _h long, n long, s1 long, s2 long, sketch array<long>, keys array<long>")
+    with small_batches(docs.sparkSession, 1000):
+        return written(rows.withColumn("_row", F.monotonically_increasing_id()), "sketches")
 
 
 def estimated(pairs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
@@ -258,56 +259,129 @@ def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return entries.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def list_pairs(entries: DataFrame, percent: int, shared: int) -> DataFrame:
-    """``(a, b)``: pairs of nodes with different labels that meet in more than ``shared`` lists.
+def list_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)``: pairs of nodes of different groups and families that meet in a list of ``entries``."""
+    others = entries.select("value", *[F.col(c).alias(f"{c}_") for c in ("node", "n", "label", "family")])
+    allowed = 100 * F.least("n", "n_") >= percent * F.greatest("n", "n_")
+    return entries.join(others, "value").filter(
+        (F.col("node") < F.col("node_")) & (F.col("label") != F.col("label_"))
+        & (F.col("family") != F.col("family_")) & allowed).select(
+        F.col("node").alias("a"), F.col("node_").alias("b")).distinct()
+
+
+def families(entries: DataFrame) -> DataFrame:
+    """``(node, family)``: nodes that lists of ``entries`` connect are a family."""
+    first = entries.groupBy("value").agg(F.min("node").alias("a"))
+    stars = entries.join(first, "value").filter("node != a").select("a", F.col("node").alias("b")).distinct()
+    return components(stars).withColumnRenamed("label", "family")
+
 
-    Only pairs of different groups are made: first the pairs of groups in a list whose sizes
-    allow a link, then their members.  Small sets, which have fewer values to share, need to meet in as many as they have.
+def linked_in_block(sets: list[np.ndarray], labels: np.ndarray, second: np.ndarray, percent: int,
+                    columns: int = 2048) -> tuple[np.ndarray, np.ndarray]:
+    """Positions ``(x, root)``: links between the rows of two blocks (``second`` says which), as a forest.
+
+    Where a block meets itself no row is a second one, and all rows are compared with all.
+    """
+    n = np.array([len(s) for s in sets], np.int64)
+    rows = np.repeat(np.arange(len(sets)), n)
+    _, number, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    left, right = (np.flatnonzero(~second), np.flatnonzero(second)) if second.any() else (np.arange(len(sets)),) * 2
+    many = counts > 1  # a shingle of one set is in no intersection
+    column = np.cumsum(many) - 1
+    keep = many[number]
+    order = np.argsort(column[number[keep]], kind="stable")
+    rows, at = rows[keep][order], column[number[keep]][order]
+    shared = np.zeros((len(left), len(right)), np.float32)
+    for lo in range(0, int(many.sum()), columns):
+        a, b = np.searchsorted(at, (lo, lo + columns))
+        has = np.zeros((len(sets), columns), np.float32)
+        has[rows[a:b], at[a:b] - lo] = 1
+        shared += has[left] @ has[right].T
+    common = shared.astype(np.int64)
+    linked = (100 * common >= percent * (n[left][:, None] + n[right][None] - common)) & (
+        labels[left][:, None] != labels[right][None])
+    root = np.arange(len(sets))
+    x, y = np.nonzero(linked)
+    x, y = left[x], right[y]
+    while True:  # the smallest position that links connect a row with
+        new = root.copy()
+        np.minimum.at(new, x, root[y])
+        np.minimum.at(new, y, root[x])
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    x = np.flatnonzero(root != np.arange(len(sets)))
+    return x, root[x]
+
+
+def family_links(members: DataFrame, docs: DataFrame, percent: int, size: int, id_col: str, text_col: str) -> DataFrame:
+    """``(a, b)``, written: links that connect what is linked among ``members(node, _id, s1, n, label, family)``.
+
+    Every pair of a family with different labels is compared on the full sets, block by block.
     """
-    groups = entries.groupBy("value", "label").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    others = groups.withColumnsRenamed({"label": "lb", "low": "other_low", "high": "other_high"})
-    sides = groups.withColumnRenamed("label", "la").join(others, "value").filter(
-        (F.col("la") < F.col("lb")) & (100 * F.col("high") >= percent * F.col("other_low"))
-        & (100 * F.col("other_high") >= percent * F.col("low"))).select("value", "la", "lb")
-    first = entries.select("value", F.col("label").alias("la"), F.col("node").alias("x"), F.col("n").alias("nx"))
-    second = entries.select("value", F.col("label").alias("lb"), F.col("node").alias("y"), F.col("n").alias("ny"))
-    met = (sides.join(first, ["value", "la"]).join(second, ["value", "lb"])
-           .filter(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-           .groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-           .agg(F.count(F.lit(1)).alias("c"), F.min(F.least("nx", "ny")).alias("n")))
-    most = F.ceil(F.col("n") * percent / 100)
-    return met.filter(F.col("c") >= F.least(F.lit(shared + 1), most)).select("a", "b")
+    def count(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.greatest(
+            F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("parts"))
+
+    # a large group has blocks of its own, which are not compared with each other
+    large = count(members, "family", "label").filter("parts > 1").select("family", "label", F.col("label").alias("owner"))
+    owned = members.join(large, ["family", "label"], "left").withColumn("owner", F.coalesce("owner", F.lit(-1)))
+    parts = owned.join(count(owned, "family", "owner"), ["family", "owner"])
+    block = F.struct("owner", F.pmod(F.xxhash64("node", "family"), F.col("parts")).alias("part"))
+    dealt = written(parts.select("node", "_id", "s1", "label", "family", block.alias("block")), "dealt")
+    sets = full_sets(docs, dealt.select("node", "_id", "s1"), size, id_col, text_col)
+    with small_batches(docs.sparkSession, 1000):
+        sets = written(sets, "sets")
+
+    blocks = dealt.select("family", "block").distinct()
+    meets = blocks.withColumnRenamed("block", "one").join(blocks.withColumnRenamed("block", "two"), "family").filter(
+        (F.col("one") <= F.col("two")) & ((F.col("one.owner") != F.col("two.owner")) | (F.col("one.owner") == -1)))
+    meets = written(meets, "meets")
+    sides = meets.withColumns({"block": F.col("one"), "second": F.lit(False)}).unionByName(
+        meets.filter("one != two").withColumns({"block": F.col("two"), "second": F.lit(True)}))
+    rows = dealt.join(sets, "node").join(sides, ["family", "block"]).select(
+        "family", "one", "two", "second", "node", "label", "full")
+
+    def run(t: pa.Table) -> pa.Table:
+        nodes, labels, second = (t[c].to_numpy() for c in ("node", "label", "second"))
+        x, root = linked_in_block(_arrays(t["full"]), labels, second.astype(bool), percent)
+        return pa.table({"a": nodes[x], "b": nodes[root]})
+
+    links = written(rows.groupBy("family", "one", "two").applyInArrow(run, "a long, b long"), "links")
+    spent(dealt, sets, meets)
+    return links
 
 
 def grouped_rows(docs: DataFrame, size: int, percent: int, k: int, id_col: str, text_col: str, rounds: int,
-                 enough: int) -> DataFrame:
+                 enough: int, pivoted: int) -> DataFrame:
     """``(_row, _id, _h, n, label, component_id)`` of every row; ``label`` names its group."""
-    rows = sketches(docs, size, k, id_col, text_col)
+    rows = sketches(docs, size, percent, k, id_col, text_col)
     filled = rows.filter("n > 0")
     # large classes are pre-aggregated; the join back is one that Spark splits where a key is hot
     classes = filled.groupBy("n", "s1", "s2").agg(F.min("_row").alias("node"))
+    first = F.col("_row") == F.col("node")
     members = written(filled.join(classes, ["n", "s1", "s2"]).select(
-        "_row", "_id", "_h", "n", "s1", "node", F.when(F.col("_row") == F.col("node"), F.col("sketch")).alias("sketch")),
-        "members")
+        "_row", "_id", "_h", "n", "s1", "node", F.when(first, F.col("sketch")).alias("sketch"),
+        F.when(first, F.col("keys")).alias("keys")), "members")
     blank = written(rows.filter("n = 0").select("_row", "_id", "_h", "n"), "blank")
     spent(rows)
     nodes = members.filter(F.col("sketch").isNotNull()).select("node", "_id", "n", "s1", "sketch")
 
-    shared = min(2, int(retained_overlap(np.array([1 << 40]), k, percent)[0]) - 1)
-    listed = written(list_entries(nodes, k, percent, shared), "entries")
+    listed = members.select("node", F.explode("keys").alias("value"))
     lengths = listed.groupBy("value").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
     step = math.log(100 / percent) if percent < 100 else 1.0
-    entries = written(listed.join(lengths, "value").withColumn(
+    entries = written(listed.join(lengths, "value").join(nodes.select("node", "n"), "node").withColumn(
         "band", F.floor(F.log(F.col("n").cast("double")) / step).cast("int")), "lists")
-    spent(listed)
 
     def check(pairs: DataFrame) -> DataFrame:
         return verified(pairs, nodes, docs, k, percent, size, id_col, text_col)
 
     labels = links = tested = None
     before = math.inf
-    for turn in range(rounds):
-        now = entries.filter(F.col("length") > SHORT)
+    huge = entries.filter(F.col("length") > pivoted)
+    for turn in range(0 if huge.isEmpty() else rounds):
+        now = huge
         if labels is None:
             now = now.withColumn("label", F.col("node"))
         else:
@@ -336,9 +410,18 @@ def grouped_rows(docs: DataFrame, size: int, percent: int, k: int, id_col: str,
         if turn:
             spent(labelled)
 
-    left = written(_labelled(entries, labels) if labels is not None else entries.withColumn("label", F.col("node")), "open")
-    pairs = list_pairs(left, percent, shared)
+    left = _labelled(entries, labels) if labels is not None else entries.withColumn("label", F.col("node"))
+    left = written(left.select("value", "node", "n", "length", "label"), "open")
+    several = left.groupBy("value").agg((F.min("label") != F.max("label")).alias("_open")).filter("_open")
+    long = left.filter(F.col("length") > SHORT).join(several, "value", "left_semi")
+    family = families(long)
+    short = left.filter(F.col("length") <= SHORT).join(family, "node", "left").withColumn(
+        "family", F.coalesce("family", -1 - F.col("node")))
+    pairs = list_pairs(short, percent)
     found = check(written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs"))
+    relatives = nodes.select("node", "_id", "n", "s1").join(family, "node")
+    relatives = _labelled(relatives, labels) if labels is not None else relatives.withColumn("label", F.col("node"))
+    found = found.unionByName(family_links(relatives, docs, percent, size, id_col, text_col))
     labels = components(found if links is None else links.unionByName(found))
     spent(entries, left)
 
@@ -353,7 +436,8 @@ def grouped_rows(docs: DataFrame, size: int, percent: int, k: int, id_col: str,
 
 
 def near_duplicate_groups(docs: DataFrame, size: int = 5, percent: int = 80, k: int = 64, id_col: str = "doc_id",
-                          text_col: str = "text", rounds: int = 4, enough: int = 4) -> DataFrame:
+                          text_col: str = "text", rounds: int = 4, enough: int = 4,
+                          pivoted: int = 4096) -> DataFrame:
     """One row per input row: ``id_col, n_shingles, component_id, kept``.
 
     ``component_id`` is the smallest id of the row's group, ``kept`` says whether it is the
@@ -361,22 +445,24 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, percent: int = 80, k:
     shingle; null, empty and white-space texts have none and are groups of their own.
     Repeated rows are separate documents with equal sets.  Null ids take part; a group's
     smallest id is null only if all its ids are.  An empty table gives an empty result; other
-    columns are ignored.  ``rounds`` and ``enough`` only set when pivots give way to comparing
-    all open pairs, they change no result.
+    columns are ignored.  Lists of more than ``pivoted`` documents meet pivots first;
+    ``rounds`` and ``enough`` set when pivots give way to comparing all open pairs.  None of the
+    three changes a result.
     """
-    out = grouped_rows(docs, size, percent, k, id_col, text_col, rounds, enough)
+    out = grouped_rows(docs, size, percent, k, id_col, text_col, rounds, enough, pivoted)
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
                       F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80, k: int = 64, id_col: str = "doc_id",
-                 text_col: str = "text", rounds: int = 4, enough: int = 4) -> DataFrame:
+                 text_col: str = "text", rounds: int = 4, enough: int = 4,
+                 pivoted: int = 4096) -> DataFrame:
     """``docs`` with one document of each near-duplicate group, columns unchanged.
 
     The smallest id of a group stays (of rows that share it, the one with the smallest text
     hash, and one row of those that are the same).
     """
-    groups = grouped_rows(docs, size, percent, k, id_col, text_col, rounds, enough)
+    groups = grouped_rows(docs, size, percent, k, id_col, text_col, rounds, enough, pivoted)
     chosen = written(groups.filter(F.col("_id").eqNullSafe(F.col("component_id"))).groupBy("label").agg(
         F.min(F.struct("_h", "_id")).alias("x"), F.count(F.lit(1)).alias("c")).select("x._id", "x._h", "c"), "chosen")
     text_hash = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))

@@ -216,6 +216,68 @@ def test_near_duplicates_of_sets_that_nearly_fill_a_sketch(spark):
     assert sum(a != b for a, b in found.items()) == len(pairs)
 
 
+def test_pairs_of_a_family_are_compared_in_blocks(spark, monkeypatch):
+    # near copies of one text, most of them just below the threshold: nearly all pairs have to be compared
+    rng = random.Random(3)
+    base, docs = [f"t{i}" for i in range(140)], []
+    for i in range(130):
+        words = list(base)
+        for at in rng.sample(range(140), rng.choice((3, 9, 10, 11, 12))):
+            words[at] = f"z{i}x{at}"
+        docs.append((i, " ".join(words)))
+    sets = [shingle_set(t, 2) for _, t in docs]
+    want = sorted((i, docs[root][0]) for (i, _), root in zip(docs, groups_by_brute_force(sets)))
+    assert 20 < len({root for _, root in want}) < 120
+    frame, compared = spark.createDataFrame(docs, "doc_id long, text string"), []
+    monkeypatch.setattr(near_dup, "BLOCK", 16)
+    monkeypatch.setattr(near_dup, "verified", lambda pairs, *rest, real=near_dup.verified: (
+        compared.append(pairs.count()), real(pairs, *rest))[1])
+    got = near_dup.near_duplicate_groups(frame, size=2)
+    assert rows_of(got, "doc_id", "component_id") == want
+    assert sum(compared) <= len(docs)  # the pairs that are rows; without blocks some thousand
+    got = near_dup.near_duplicate_groups(frame, size=2, rounds=1, pivoted=40)
+    assert rows_of(got, "doc_id", "component_id") == want
+
+
+def test_links_of_two_blocks():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 2**63, 60).astype(np.uint64)
+    sets = [np.unique(np.concatenate((rng.choice(base, 52, replace=False), rng.integers(0, 2**63, 2).astype(np.uint64))))
+            for _ in range(40)] + [base[:1], base[1:2]]
+    labels = np.arange(42) // 2
+
+    def linked(i, j):
+        common = len(np.intersect1d(sets[i], sets[j]))
+        return labels[i] != labels[j] and 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common)
+
+    for second in (np.zeros(42, bool), np.arange(42) % 2 == 1):
+        parts = [{i} for i in range(42)]
+        for i in range(42):
+            for j in range(i):
+                if (second[i] != second[j] or not second.any()) and linked(i, j):
+                    one, two = (next(p for p in parts if x in p) for x in (i, j))
+                    if one is not two:
+                        parts.remove(two)
+                        one |= two
+        x, root = near_dup.linked_in_block(sets, labels, second, 80, columns=7)
+        want = {(i, min(p)) for p in parts for i in p if i != min(p)}
+        assert 3 < len(want) and set(zip(x.tolist(), root.tolist(), strict=True)) == want
+
+
+def test_band_keys_are_shared_as_often_as_sets_are_similar():
+    depth, bands = near_dup.bands_for(80)
+    assert (1 - 0.8 ** depth) ** bands < 1e-8 and near_dup.bands_for(1)[0] == 1 and near_dup.bands_for(100)[1] == 1
+    factors = near_dup.mix64(np.arange(1, depth * bands + 1, dtype=np.uint64)) | np.uint64(1)
+    rng, same = np.random.default_rng(2), []
+    for n in (5, 10, 150, 3000):  # the smaller set is 0.8 of the larger one
+        for _ in range(400 if n < 3000 else 20):
+            v = rng.integers(0, 2**64, n, dtype=np.uint64)
+            low = np.stack([near_dup.min_hashes(v, factors), near_dup.min_hashes(v[:n * 4 // 5], factors)])
+            one, two = near_dup.band_keys(low, depth)
+            same.append((one == two).sum())
+    assert min(same) > 0 and abs(np.mean(same) / bands - 0.8 ** depth) < 0.02
+
+
 def test_near_duplicates_of_edge_rows(spark):
     got = near_dup.near_duplicate_groups(edge_docs(spark), size=2)
     rows = rows_of(got, "doc_id", "n_shingles", "component_id", "kept")
