@@ -12,12 +12,13 @@ that square into one task.  Here:
    its range of distances meets the point's distance plus or minus the radius.  This is tested
    between blocks, on one interval per pivot and block: pairs of blocks that fail are dropped;
 4. the pairs left are compared as matrices: a product gives all distances with a bounded error,
-   and the few candidates within it are computed again as sums of squared differences.  At
-   most ``k`` neighbours per point leave a pair, those within its radius;
+   and the few candidates within it are computed again as sums of squared differences.  Pairs are
+   dealt out in tiles of up to ``TILE`` by ``TILE`` blocks; at most ``k`` neighbours per point leave
+   a tile, those within its radius;
 5. a point's candidates are merged by ``(distance, key)``.
 
-No join key holds more than one block's vectors on its right side, and vectors travel once per
-pair of blocks.  In few dimensions, or where a class has structure, most pairs are dropped; in
+No join key holds more than one block's vectors on its right side, a tile holds at most twice ``TILE``
+blocks, and vectors travel once per tile, in single precision where that is what they are given in.  In few dimensions, or where a class has structure, most pairs are dropped; in
 many dimensions without structure nearly all remain, as any exact search would.
 """
 
@@ -39,6 +40,8 @@ PIVOTS = 16
 #: candidates drawn per class for its pivots
 DRAWN = 128
 ROWS = 512
+#: most blocks on a side of a tile; smaller classes have about TILES tiles on a side
+TILE, TILES = 32, 4
 _SLACK = 1e-9
 
 
@@ -104,6 +107,7 @@ def knn_within_class(df: DataFrame, key: str, label: str, features: str, k: int,
     if classes is not None:
         pts = pts.where(F.col("cls").isin(list(classes)))
     key_type, cls_type = pts.schema["key"].dataType, pts.schema["cls"].dataType
+    kind = np.float32 if df.schema[features].dataType.elementType == T.FloatType() else np.float64
     sizes = {r["cls"]: r["n"] for r in pts.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return spark.createDataFrame([], T.StructType([
@@ -170,38 +174,51 @@ def knn_within_class(df: DataFrame, key: str, label: str, features: str, k: int,
         radius = np.sqrt(limit)[:, None] * (1 + _SLACK) + _SLACK * (1 + d)
         lists = pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys)
         spans = [(d - radius).min(axis=0), (d + radius).max(axis=0), d.min(axis=0), d.max(axis=0)]
-        return pa.table([t.column("cls").slice(0, 1), t.column("block").slice(0, 1), lists, pa.array([rows.tobytes()], pa.binary()),
+        return pa.table([t.column("cls").slice(0, 1), t.column("block").slice(0, 1), lists, pa.array([rows.astype(kind).tobytes()], pa.binary()),
                          pa.array([limit.tobytes()], pa.binary()), *[pa.array([s.tolist()], pa.list_(pa.float64())) for s in spans]],
                         names=block_schema.names)
     blocks = write_scratch(located.groupBy("cls", "block").applyInArrow(pack, block_schema), "knn-blocks")
 
     # pairs of blocks whose intervals meet for every pivot
-    counted = spark.createDataFrame(list(n_blocks.items()), T.StructType([
-        T.StructField("cls", cls_type), T.StructField("n", T.IntegerType())]))
+    counted = spark.createDataFrame([(c, n, max(1, min(TILE, math.ceil(n / TILES)))) for c, n in n_blocks.items()], T.StructType([
+        T.StructField("cls", cls_type), T.StructField("n", T.IntegerType()), T.StructField("side", T.IntegerType())]))
     asks = blocks.select("cls", F.col("block").alias("asking"), "ask_lo", "ask_hi").join(F.broadcast(counted), "cls").select(
-        "cls", "asking", "ask_lo", "ask_hi", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("block"))
+        "cls", "side", "asking", "ask_lo", "ask_hi", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("block"))
     apart = F.exists(F.zip_with("ask_lo", "has_hi", lambda a, b: a > b), lambda x: x) | F.exists(
         F.zip_with("ask_hi", "has_lo", lambda a, b: a < b), lambda x: x)
-    pairs = asks.join(blocks.select("cls", "block", "has_lo", "has_hi"), ["cls", "block"]).where(~apart).select(
-        "cls", "asking", "block")
+    tile = [F.floor(F.col(c) / F.col("side")).cast("int").alias(name) for c, name in (("asking", "down"), ("block", "across"))]
+    pairs = write_scratch(asks.join(blocks.select("cls", "block", "has_lo", "has_hi"), ["cls", "block"]).where(~apart).select(
+        "cls", *tile, "asking", "block"), "knn-pairs")
+    at = ["cls", "down", "across"]
     asking = blocks.select("cls", F.col("block").alias("asking"), F.col("keys").alias("q_keys"), F.col("x").alias("q"), "reach")
-    compared = pairs.join(blocks.select("cls", "block", "keys", "x"), ["cls", "block"]).join(asking, ["cls", "asking"]).select(
-        "cls", "q_keys", "q", "reach", "keys", "x")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                q_keys, keys = (batch.column(c)[at].values for c in (1, 4))
-                q, limit, b = (np.frombuffer(batch.column(c)[at].as_py()) for c in (2, 3, 5))
-                i, j, d2 = nearest(q.reshape(len(q_keys), -1), q_keys.to_numpy(zero_copy_only=False), b.reshape(len(keys), -1),
-                                   keys.to_numpy(zero_copy_only=False), k, limit)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch.column(0)[at].as_py()] * len(i), batch.schema.field(0).type), q_keys.take(pa.array(i)),
-                     keys.take(pa.array(j)), pa.array(d2)], names=["cls", "key", "nbr_key", "d2"])
-    found = compared.mapInArrow(compare, T.StructType([
-        T.StructField("cls", cls_type), T.StructField("key", key_type), T.StructField("nbr_key", key_type),
-        T.StructField("d2", T.DoubleType())]))
-    # a point has at most k candidates from each block that was compared
+    left = pairs.groupBy(*at, "asking").agg(F.collect_list("block").alias("blocks")).join(asking, ["cls", "asking"])
+    right = pairs.select(*at, "block").distinct().join(blocks.select("cls", "block", "keys", "x"), ["cls", "block"]).select(
+        *(F.col(c).alias(f"to_{c}") for c in at), "block", "keys", "x")
+    found_schema = T.StructType([T.StructField("cls", cls_type), T.StructField("key", key_type), T.StructField("nbr_key", key_type),
+                                 T.StructField("d2", T.DoubleType())])
+
+    def compare(asks: pa.Table, has: pa.Table) -> pa.Table:
+        held = {b: i for i, b in enumerate(has.column("block").to_pylist())}
+        out = []
+        for cls, names, q, reach, wanted in zip(*(asks.column(c) for c in ("cls", "q_keys", "q", "reach", "blocks")), strict=True):
+            q_keys, limit = names.values.to_numpy(zero_copy_only=False), np.frombuffer(reach.as_buffer())
+            q = np.frombuffer(q.as_buffer(), kind).astype(float).reshape(len(q_keys), -1)
+            some = []
+            for b in wanted.as_py():
+                keys = has.column("keys")[held[b]].values
+                x = np.frombuffer(has.column("x")[held[b]].as_buffer(), kind).astype(float).reshape(len(keys), -1)
+                i, j, d2 = nearest(q, q_keys, x, keys.to_numpy(zero_copy_only=False), k, limit)
+                some.append((i, keys.take(pa.array(j)), d2))
+            i, d2 = (np.concatenate([s[c] for s in some]) for c in (0, 2))
+            keys = pa.concat_arrays([s[1] for s in some])
+            order = np.lexsort((np.argsort(np.argsort(keys.to_numpy(zero_copy_only=False), kind="stable"), kind="stable"), d2, i))
+            order = order[np.arange(len(order)) - np.searchsorted(i[order], i[order]) < k]
+            out.append(pa.table([pa.array([cls.as_py()] * len(order), asks.schema.field("cls").type), names.values.take(pa.array(i[order])),
+                                 keys.take(pa.array(order)), pa.array(d2[order])], names=found_schema.names))
+        return pa.concat_tables(out) if out else pa.table([pa.array([], asks.schema.field("cls").type), *(
+            pa.array([], asks.schema.field("q_keys").type.value_type) for _ in range(2)), pa.array([], pa.float64())], names=found_schema.names)
+    found = left.groupBy(*at).cogroup(right.groupBy(*(f"to_{c}" for c in at))).applyInArrow(compare, found_schema)
+    # a point has at most k candidates from each tile
     merged = found.groupBy("cls", "key").agg(F.slice(F.sort_array(F.collect_list(F.struct("d2", "nbr_key"))), 1, k).alias("near"))
     return merged.select(F.col("cls").alias(label), F.col("key").alias(key), F.posexplode("near").alias("pos", "near")).select(
         label, key, (F.col("pos") + 1).cast("int").alias("nbr_rank"), F.col("near.nbr_key").alias("nbr_key"),

@@ -138,6 +138,30 @@ def test_far_blocks_are_not_compared(spark, monkeypatch):
     assert calls.value < 2 * blocks * blocks // 2  # own blocks and near ones, not every pair
 
 
+@pytest.mark.parametrize("tile, tiles", [(1, 1), (3, 1), (32, 2)])
+def test_neighbours_in_tiles_equal_brute_force(spark, monkeypatch, tile, tiles):
+    monkeypatch.setattr(neighbours, "ROWS", 16)
+    monkeypatch.setattr(neighbours, "TILE", tile)
+    monkeypatch.setattr(neighbours, "TILES", tiles)
+    written = {}
+    monkeypatch.setattr(neighbours, "write_scratch", lambda df, name, real=neighbours.write_scratch: written.setdefault(name, real(df, name)))
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(300, 5)), 1).astype(np.float32)  # some equal distances
+    cls = rng.integers(0, 2, 300)
+    df = spark.createDataFrame([(i, int(c), v.tolist()) for i, (c, v) in enumerate(zip(cls, x))], "id long, c int, x array<float>")
+    got = {}
+    for r in neighbours.knn_within_class(df, "id", "c", "x", 4).orderBy("id", "nbr_rank").collect():
+        got.setdefault(r["id"], []).append((r["nbr_key"], pytest.approx(r["dist"], abs=1e-9)))
+    x = x.astype(float)
+    for i in range(300):
+        near = sorted((((x[i] - x[j]) ** 2).sum(), j) for j in range(300) if j != i and cls[i] == cls[j])[:4]
+        assert got[i] == [(j, d ** 0.5) for d, j in near]
+    # vectors travel once per tile, not once per pair of blocks
+    pairs = written["knn-pairs"]
+    assert pairs.select("cls", "down", "across").distinct().count() <= (pairs.count() if tile == 1 else pairs.count() / 3)
+    assert written["knn-blocks"].first()["x"].__len__() == 4 * 5 * len(written["knn-blocks"].first()["keys"])
+
+
 def test_neighbours_of_string_keys_and_no_rows(spark):
     rows = [(f"k{i:02d}", "c", [float(i % 4)]) for i in range(30)]
     df = spark.createDataFrame(rows, "id string, c string, x array<float>")
